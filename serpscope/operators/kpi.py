@@ -238,7 +238,7 @@ def rolling_metrics(
         for name, (top, bottom) in ratio.items():
             columns.append(
                 F.expr(
-                    f"round(sum({top}) {over} / greatest(1, sum({bottom}) {over}), 6)"
+                    f"round(round(sum({top}) {over}, 6) / greatest(1, sum({bottom}) {over}), 6)"
                 ).alias(f"{name}_roll_{n}d")
             )
     return daily.select(key, "day", *columns)

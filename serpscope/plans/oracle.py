@@ -264,7 +264,7 @@ def _rolling() -> str:
             ("reformulation_rate", "reformulations", "events"),
         ]:
             columns.append(
-                f"round(CAST(sum({top}) {over} AS DOUBLE) / "
+                f"round(round(CAST(sum({top}) {over} AS DOUBLE), 6) / "
                 f"CAST(greatest(1, sum({bottom}) {over}) AS DOUBLE), 6) AS {name}_roll_{n}d"
             )
     return (

@@ -23,7 +23,8 @@ def scan_pruned(
     wanted = StructType([schema[c] for c in columns])
     reader = spark.read.schema(wanted).option("ignoreMissingFiles", "true")
     try:
-        return reader.parquet(path)
+        # Partition folders add their columns; keep the named ones only.
+        return reader.parquet(path).select(*columns)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
