@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from serpscope import schema as S
 from serpscope.functions import keys as K
 from serpscope.functions import scalars as X
+from serpscope.models import attribution as A
+from serpscope.models import forest as OF
+from serpscope.models import quality as QM
+from serpscope.models import screening as VIF
 from serpscope.operators import features as FT
 from serpscope.operators import incremental as I
 from serpscope.operators import joins as J
@@ -22,9 +26,10 @@ from serpscope.operators import star as D
 from serpscope.operators.quantiles import group_quantiles
 from serpscope.plans import oracle as O
 from serpscope.plans import training as T
-from serpscope.session import scratch_path
+from serpscope.session import materialize, scratch_path
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
+from serpscope.streaming import jobs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -673,3 +678,173 @@ on_log(
         "event_id", "block"
     ),
 )
+
+
+# --- models --------------------------------------------------------------------------------------------
+
+# Small ensembles keep the registered runs short; the library defaults search wider.
+SMALL_MODEL = {"maxIter": 12, "maxDepth": 4}
+_trained: dict[tuple, tuple] = {}
+
+
+def _quality(spark: SparkSession, data: str):
+    """(model, training matrix with split), trained once per session and folder."""
+    key = (spark.sparkContext.applicationId, data)
+    if key not in _trained:
+        log = L.load_log(spark, data)
+        matrix = T.training_matrix(
+            log, FT.user_daily_features(log), FT.query_daily_features(log)
+        )
+        split = materialize(T.train_test_split(matrix), "matrix")
+        model = QM.train_quality_model(split.where(F.col("split") == "train"), **SMALL_MODEL)
+        _trained[key] = (model, split)
+    return _trained[key]
+
+
+on_features(
+    "sample_feature_pairing",
+    lambda log, uf, qf: R.sample_n(T.training_matrix(log, uf, qf), 100, 42, "event_id"),
+)
+
+
+@query("train_quality_model")
+def _(spark, data):
+    model, split = _quality(spark, data)
+    return QM.holdout_metrics(model, split.where(F.col("split") == "test"))
+
+
+@query("tune_quality_model")
+def _(spark, data):
+    _, split = _quality(spark, data)
+    train = split.where(F.col("split") == "train")
+    return QM.tune_quality_model(train, depths=(3, 5), trees=(5, 10))[1]
+
+
+@query("score_batch")
+def _(spark, data):
+    model, _ = _quality(spark, data)
+    log = L.load_log(spark, data)
+    requests = log.select(
+        "event_id",
+        "user_id_masked",
+        F.col("search_query_masked").alias("search_query"),
+        "search_intent",
+        "query_category",
+        *S.REQUEST_FEATURES,
+    )
+    ok, _ = Q.valid_requests(requests)
+    keyed = ok.withColumn(
+        "query_key", K.surrogate_key("search_query", "search_intent", "query_category")
+    )
+    served = T.serve_features(
+        keyed, FT.user_daily_features(log), FT.query_daily_features(log), O.AS_OF
+    )
+    scored = QM.predict(model, served)
+    return scored.select(
+        "event_id",
+        "query_key",
+        F.round("prediction", 6).alias("predicted_search_quality_score"),
+    )
+
+
+def _attributions(spark: SparkSession, data: str) -> DataFrame:
+    model, split = _quality(spark, data)
+    return A.feature_attribution(model, split, "event_id")
+
+
+QUERIES["feature_attribution"] = _attributions
+QUERIES["importance_ranking"] = lambda spark, data: A.importance_ranking(
+    _attributions(spark, data)
+)
+QUERIES["top_importances"] = lambda spark, data: A.importance_ranking(
+    _attributions(spark, data)
+).limit(3)
+
+
+@query("train_outlier_model")
+def _(spark, data):
+    return OF.train_outlier_model(_quality(spark, data)[1])
+
+
+@query("score_outliers")
+def _(spark, data):
+    _, split = _quality(spark, data)
+    forest = materialize(OF.train_outlier_model(split), "forest")
+    return OF.score_outliers(forest, split).select(
+        "event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "label", "is_anomaly"
+    )
+
+
+def _record(spark: SparkSession, data: str, version: str, model) -> DataFrame:
+    split = _quality(spark, data)[1]
+    metrics = QM.holdout_metrics(model, split.where(F.col("split") == "test"))
+    ranking = A.importance_ranking(A.feature_attribution(model, split, "event_id"))
+    return QM.model_record(spark, "quality", version, metrics, ranking)
+
+
+@query("model_record")
+def _(spark, data):
+    path = scratch_path(spark, "model-records")
+    W.write_table(_record(spark, data, "1", _quality(spark, data)[0]), path, "append")
+    return spark.read.parquet(path)
+
+
+@query("promote_if_better")
+def _(spark, data):
+    model, split = _quality(spark, data)
+    path = scratch_path(spark, "model-records")
+    W.write_table(_record(spark, data, "1", model), path, "append")
+    train = split.where(F.col("split") == "train")
+    challenger = QM.train_quality_model(train, maxIter=4, maxDepth=3)
+    W.write_table(_record(spark, data, "2", challenger), path, "append")
+    return QM.promote_if_better(spark.read.parquet(path))
+
+
+@query("segment_outliers")
+def _(spark, data):
+    keys = ["country", "device_type", "browser_name"]
+    log = L.load_log(spark, data)
+    segments = R.mart(
+        log, {"day": F.to_date("timestamp"), **{k: F.col(k) for k in keys}}
+    ).select(
+        F.concat_ws("/", F.col("day").cast("string"), *keys).alias("segment_day"),
+        (F.col("latency_sum") / F.col("events")).alias("avg_latency_ms"),
+        (F.col("clicks") / F.col("impressions")).alias("avg_ctr"),
+        (F.col("pogo_sticks") / F.col("events")).alias("avg_pogo_stick_rate"),
+    )
+    columns = ["avg_latency_ms", "avg_ctr", "avg_pogo_stick_rate"]
+    forest = materialize(
+        OF.train_outlier_model(segments, columns, key="segment_day"), "forest"
+    )
+    return OF.score_outliers(forest, segments, columns).select(
+        "segment_day", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly"
+    )
+
+
+@query("collinearity_vif")
+def _(spark, data):
+    return VIF.collinearity_vif(_quality(spark, data)[1])
+
+
+# --- streams ---------------------------------------------------------------------------------------------
+
+
+@query("stream_ingest_fact")
+def _(spark, data):
+    path = scratch_path(spark, "stream-fact")
+    ST.ingest_fact(ST.stream_log(spark, data), path)
+    return spark.read.parquet(f"{path}/data").select(*S.FACT)
+
+
+@query("stream_tumbling_quality")
+def _(spark, data):
+    path = scratch_path(spark, "stream-hours")
+    ST.tumbling_quality(ST.stream_log(spark, data), path)
+    return spark.read.parquet(f"{path}/data")
+
+
+@query("stream_sessions")
+def _(spark, data):
+    path = scratch_path(spark, "stream-sessions")
+    ST.stream_sessions(ST.stream_log(spark, data), path)
+    return spark.read.parquet(f"{path}/data")
