@@ -72,34 +72,45 @@ def incremental_fact(staged: DataFrame, target: DataFrame, **options) -> DataFra
     return kept.unionByName(fresh)
 
 
-def load_incremental(staged: DataFrame, path: str, lookback_hours: int = 0) -> None:
-    """Upsert into a fact table partitioned by ``event_date``, rewriting only the days that
-    receive rows or hold a row being replaced."""
+def load_incremental(
+    staged: DataFrame, path: str, lookback_hours: int = 0, hot_rows: int = HOT_ROWS
+) -> None:
+    """Upsert into a fact table partitioned by ``event_date``.
+
+    Rows with new ids are appended; only when ids are replaced are the days that receive rows
+    or hold a replaced row written anew.
+    """
     spark = staged.sparkSession
     target = spark.read.parquet(path)
-    fresh = incremental_slice(staged, target.drop("event_date"), lookback_hours)
-    fresh = with_event_date(fresh)
-    # The replaced rows may sit in other days than their new version.
-    replaced = target.join(fresh.select("event_id"), "event_id", "left_semi")
-    days = fresh.select("event_date").union(replaced.select("event_date")).distinct()
-    kept = target.join(days, "event_date", "left_semi").join(
-        fresh.select("event_id"), "event_id", "left_anti"
+    sliced = incremental_slice(
+        staged, target.drop("event_date"), lookback_hours, hot_rows=hot_rows
     )
+    fresh = materialize(with_event_date(sliced).select(*target.columns), "slice")
+    ids = fresh.select("event_id")
+    replaced = target.join(ids, "event_id", "left_semi").select("event_date").distinct()
+    replaced = materialize(replaced, "replaced-days")
+    if replaced.isEmpty():
+        _write_days(fresh, path, "append")
+        return
+    days = fresh.select("event_date").distinct().union(replaced).distinct()
+    # One row per calendar day.
+    kept = target.join(F.broadcast(days), "event_date", "left_semi")
     # Staged first: a partition cannot be read while it is being replaced.
-    rows = materialize(kept.unionByName(fresh), "upsert")
-    emptied = days.join(rows.select("event_date").distinct(), "event_date", "left_anti")
-    mode = "dynamic"
-    if not emptied.isEmpty():
-        # A day that loses all its rows is not replaced by a dynamic overwrite.
-        rows = materialize(
-            target.join(fresh.select("event_id"), "event_id", "left_anti").unionByName(fresh),
-            "rebuild",
-        )
-        mode = "static"
+    rows = kept.join(ids, "event_id", "left_anti").unionByName(fresh)
+    rows = materialize(rows, "upsert")
+    if days.join(rows.select("event_date").distinct(), "event_date", "left_anti").isEmpty():
+        _write_days(rows, path, "overwrite", "dynamic")
+        return
+    # A day that loses all its rows is not replaced by a dynamic overwrite.
+    everything = target.join(ids, "event_id", "left_anti").unionByName(fresh)
+    _write_days(materialize(everything, "rebuild"), path, "overwrite", "static")
+
+
+def _write_days(rows: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
     (
         balanced(rows, ["event_date"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", mode)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", overwrite)
         .partitionBy("event_date")
         .parquet(path)
     )

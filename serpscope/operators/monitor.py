@@ -222,7 +222,7 @@ def drift_ks(
     )
     gap = F.abs(F.col("_ub") / F.col("_nb") - F.col("_uc") / F.col("_nc"))
     distance = (
-        upto.join(totals, "feature")
+        upto.join(F.broadcast(totals), "feature")  # one row per compared column
         .groupBy("feature", "_nb", "_nc")
         .agg(F.max(gap).alias("_d"))
         .withColumn("_n", F.col("_nb") * F.col("_nc") / (F.col("_nb") + F.col("_nc")))

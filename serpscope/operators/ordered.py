@@ -3,7 +3,10 @@
 Ordinary keys use one shuffle and one window sort. Keys above ``hot_rows`` are taken out and
 range-partitioned by (key, order), so a hot key spreads over many chunks; every chunk computes
 locally and receives a carry (row count, running sum, last value) from the chunks before it.
-The carry table has one row per key and chunk, so it is bounded by hot keys + chunks.
+
+Size bounds of what is broadcast: with n rows, at most n / hot_rows keys are hot, and chunks hold
+about hot_rows rows each, so hot key tables stay below n / hot_rows rows and carry tables, one row
+per key and chunk, below twice that: 400,000 narrow rows for 10^12 rows at the default setting.
 """
 
 from __future__ import annotations
@@ -20,16 +23,19 @@ HOT_ROWS = 5_000_000
 CHUNK = "_chunk"
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, bounded: bool = False
+) -> DataFrame:
+    """Equi-join on same-named keys where null matches null; keeps the left key columns.
 
-def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Equi-join on same-named keys where null matches null; keeps the left key columns."""
+    ``bounded`` says that the right side is small by construction and may be broadcast.
+    """
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
         *[c for c in right.columns if c not in keys],
     )
+    if bounded:
+        renamed = F.broadcast(renamed)
     condition = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     )
@@ -56,8 +62,8 @@ def split_hot(
         return df, None, None
     names = hot.select(*keys)
     return (
-        join_keys(df, names, keys, "left_anti"),
-        join_keys(df, names, keys, "left_semi"),
+        join_keys(df, names, keys, "left_anti", bounded=True),
+        join_keys(df, names, keys, "left_semi", bounded=True),
         hot,
     )
 
@@ -88,7 +94,7 @@ class Ordered:
         carry = tail.select(
             CHUNK, *self.keys, *[build(before).alias(n) for n, build in carries.items()]
         )
-        return join_keys(df, carry, [CHUNK, *self.keys], "left")
+        return join_keys(df, carry, [CHUNK, *self.keys], "left", bounded=True)
 
     def _last_value(self, value: Column) -> Column:
         order = F.struct(*self.order)
@@ -99,21 +105,21 @@ class Ordered:
         if self.chunked:
             df = self._carried(
                 df,
-                {"_c": F.count(F.lit(1))},
-                {"_c": lambda w: F.sum("_c").over(w)},
+                {"_carry": F.count(F.lit(1))},
+                {"_carry": lambda w: F.sum("_carry").over(w)},
             )
-            df = df.withColumn(out, F.col(out) + F.coalesce("_c", F.lit(0))).drop("_c")
+            df = df.withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0))).drop("_carry")
         return self._with(df)
 
     def running_sum(self, value: str, out: str) -> Ordered:
         df = self.df.withColumn(out, F.sum(value).over(self.running))
         if self.chunked:
             df = self._carried(
-                df, {"_c": F.sum(value)}, {"_c": lambda w: F.sum("_c").over(w)}
+                df, {"_carry": F.sum(value)}, {"_carry": lambda w: F.sum("_carry").over(w)}
             )
-            total = F.coalesce(F.col(out), F.lit(0)) + F.coalesce("_c", F.lit(0))
-            empty = F.col(out).isNull() & F.col("_c").isNull()
-            df = df.withColumn(out, F.when(~empty, total)).drop("_c")
+            total = F.coalesce(F.col(out), F.lit(0)) + F.coalesce("_carry", F.lit(0))
+            empty = F.col(out).isNull() & F.col("_carry").isNull()
+            df = df.withColumn(out, F.when(~empty, total)).drop("_carry")
         return self._with(df)
 
     def last_known(self, value: str, out: str) -> Ordered:
@@ -122,10 +128,10 @@ class Ordered:
         if self.chunked:
             df = self._carried(
                 df,
-                {"_c": self._last_value(F.col(value))},
-                {"_c": lambda w: F.last("_c", ignorenulls=True).over(w)},
+                {"_carry": self._last_value(F.col(value))},
+                {"_carry": lambda w: F.last("_carry", ignorenulls=True).over(w)},
             )
-            df = df.withColumn(out, F.coalesce(out, "_c")).drop("_c")
+            df = df.withColumn(out, F.coalesce(out, "_carry")).drop("_carry")
         return self._with(df)
 
     def lag(self, value: str, out: str) -> Ordered:
@@ -133,15 +139,15 @@ class Ordered:
         df = self.df.withColumn(out, F.lag(value).over(self.window))
         if self.chunked:
             order = F.struct(*self.order)
-            df = df.withColumn("_first", F.row_number().over(self.window) == 1)
+            df = df.withColumn("_chunk_first", F.row_number().over(self.window) == 1)
             df = self._carried(
                 df,
-                {"_c": F.max_by(F.struct(F.col(value).alias("v")), order)},
-                {"_c": lambda w: F.last("_c").over(w)},
+                {"_carry": F.max_by(F.struct(F.col(value).alias("v")), order)},
+                {"_carry": lambda w: F.last("_carry").over(w)},
             )
             df = df.withColumn(
-                out, F.when(F.col("_first"), F.col("_c.v")).otherwise(F.col(out))
-            ).drop("_c", "_first")
+                out, F.when(F.col("_chunk_first"), F.col("_carry.v")).otherwise(F.col(out))
+            ).drop("_carry", "_chunk_first")
         return self._with(df)
 
     def lead(self, value: str, out: str) -> Ordered:
@@ -150,16 +156,16 @@ class Ordered:
         if self.chunked:
             order = F.struct(*self.order)
             # The end of the chunk is found by looking one row ahead for any row at all.
-            df = df.withColumn("_end", F.lead(F.lit(1)).over(self.window).isNull())
+            df = df.withColumn("_chunk_end", F.lead(F.lit(1)).over(self.window).isNull())
             head = df.groupBy(CHUNK, *self.keys).agg(
-                F.min_by(F.struct(F.col(value).alias("v")), order).alias("_c")
+                F.min_by(F.struct(F.col(value).alias("v")), order).alias("_carry")
             )
             after = Window.partitionBy(*self.keys).orderBy(CHUNK)
-            head = head.withColumn("_c", F.lead("_c").over(after))
-            df = join_keys(df, head, [CHUNK, *self.keys], "left")
+            head = head.withColumn("_carry", F.lead("_carry").over(after))
+            df = join_keys(df, head, [CHUNK, *self.keys], "left", bounded=True)
             df = df.withColumn(
-                out, F.when(F.col("_end"), F.col("_c.v")).otherwise(F.col(out))
-            ).drop("_c", "_end")
+                out, F.when(F.col("_chunk_end"), F.col("_carry.v")).otherwise(F.col(out))
+            ).drop("_carry", "_chunk_end")
         return self._with(df)
 
     def assign(self, **columns: Column) -> Ordered:

@@ -22,7 +22,8 @@ def ranked_quantiles(
     ranked = over_order(
         counted, keys, [value], lambda s: s.running_sum("_w", "_upto"), hot_rows
     )
-    ranked = join_keys(ranked, totals, keys, "inner")
+    # One row per hot key, see the bound in the module on ordered computations.
+    ranked = join_keys(ranked, totals, keys, "inner", bounded=True)
 
     def at_rank(rank: Column) -> Column:
         inside = (F.col("_upto") - F.col("_w") <= rank) & (rank < F.col("_upto"))
@@ -49,13 +50,18 @@ def group_quantiles(
     quantiles: dict[str, float],
     aggregates: dict[str, Column] | None = None,
     hot_rows: int = HOT_ROWS,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Ordinary aggregates plus exact quantiles of one column, one row per key.
 
     Groups up to ``hot_rows`` use the built-in exact ``percentile`` in the same hash aggregation
-    as the other aggregates; larger groups go through ranks.
+    as the other aggregates; larger groups go through ranks. With ``accuracy`` set, quantiles
+    are approximate (rank error 1 / accuracy) and need a single pass for any group size.
     """
     extra = [c.alias(n) for n, c in (aggregates or {}).items()]
+    if accuracy is not None:
+        rough = [F.percentile_approx(value, q, accuracy).alias(n) for n, q in quantiles.items()]
+        return df.groupBy(*keys).agg(*extra, *rough)
     built_in = [F.percentile(value, q).alias(n) for n, q in quantiles.items()]
     cold, hot, _ = split_hot(df, keys, hot_rows)
     result = cold.groupBy(*keys).agg(*extra, *built_in)
@@ -63,19 +69,6 @@ def group_quantiles(
         return result
     ranked = ranked_quantiles(hot, keys, value, quantiles, hot_rows)
     if extra:
-        ranked = join_keys(hot.groupBy(*keys).agg(*extra), ranked, keys, "left")
+        grouped = hot.groupBy(*keys).agg(*extra)
+        ranked = join_keys(grouped, ranked, keys, "left", bounded=True)
     return result.unionByName(ranked.select(*result.columns))
-
-
-def column_quantiles(
-    df: DataFrame, columns: list[str], quantiles: dict[str, float], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Quantiles of several numeric columns at once: one row per column name."""
-    long = df.select(
-        F.explode(
-            F.create_map(
-                *[x for c in columns for x in (F.lit(c), F.col(c).cast("double"))]
-            )
-        ).alias("column_name", "value")
-    )
-    return group_quantiles(long, ["column_name"], "value", quantiles, hot_rows=hot_rows)
