@@ -67,15 +67,20 @@ def latest_snapshot(
     ttl_days: int = S.FEATURE_TTL_DAYS,
     ts: str = "event_timestamp",
 ) -> DataFrame:
-    """Newest row per entity at the cut-off, dropped once older than the TTL."""
+    """Newest row per entity at the cut-off, dropped once older than the TTL.
+
+    Snapshots are unique per entity and time. Every column is picked by the same comparison, so
+    the values belong to one row, and plain numeric buffers keep this a hash aggregation.
+    """
     if as_of is not None:
         cut = F.lit(as_of).cast("timestamp_ntz")
         features = features.where(
             (F.col(ts) <= cut) & (F.col(ts) >= cut - F.make_dt_interval(days=F.lit(ttl_days)))
         )
     values = [c for c in features.columns if c not in (key, ts)]
-    newest = features.groupBy(key).agg(F.max(F.struct(ts, *values)).alias("_v"))
-    return newest.select(key, F.col(f"_v.{ts}").alias(ts), *[f"_v.{c}" for c in values])
+    return features.groupBy(key).agg(
+        F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in values]
+    )
 
 
 def fold_latest(latest: DataFrame, new_rows: DataFrame, key: str) -> DataFrame:

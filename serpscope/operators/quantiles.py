@@ -62,9 +62,12 @@ def group_quantiles(
     if accuracy is not None:
         rough = [F.percentile_approx(value, q, accuracy).alias(n) for n, q in quantiles.items()]
         return df.groupBy(*keys).agg(*extra, *rough)
-    built_in = [F.percentile(value, q).alias(n) for n, q in quantiles.items()]
     cold, hot, _ = split_hot(df, keys, hot_rows)
-    result = cold.groupBy(*keys).agg(*extra, *built_in)
+    # One value map per group serves all quantiles.
+    built_in = F.percentile(value, [float(q) for q in quantiles.values()]).alias("_q")
+    grouped = cold.groupBy(*keys).agg(*extra, built_in)
+    named = [F.col("_q")[i].alias(n) for i, n in enumerate(quantiles)]
+    result = grouped.select(*keys, *(aggregates or {}), *named)
     if hot is None:
         return result
     ranked = ranked_quantiles(hot, keys, value, quantiles, hot_rows)
