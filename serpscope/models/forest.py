@@ -14,6 +14,7 @@ from serpscope.functions import keys as K
 from serpscope.operators.kpi import sample_n
 from serpscope.operators.ordered import HOT_ROWS
 from serpscope.operators.quantiles import group_quantiles
+from serpscope.session import materialize
 
 NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, depth double"
@@ -143,6 +144,8 @@ def score_outliers(
     complete = df.na.drop("any", subset=columns)
     scored = complete.withColumn("_score", outlier_score(forest, columns))
     if offset is None:
+        # Scoring is the costly pass: keep its result for the cut and the output.
+        scored = materialize(scored, "scores")
         offset = contamination_cut(scored, contamination, hot_rows)
     decision = F.col("_score") - F.lit(offset)
     return scored.withColumns(

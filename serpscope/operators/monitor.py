@@ -356,28 +356,35 @@ def _micros(ts: str) -> Column:
 
 
 def time_cuts(
-    df: DataFrame, ts: str, shares: list[float], hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    ts: str,
+    shares: list[float],
+    hot_rows: int = HOT_ROWS,
+    accuracy: int | None = None,
 ) -> list[float]:
-    """Times (in microseconds) below which the given shares of the rows lie."""
+    """Times (in microseconds) below which the given shares of the rows lie; ``accuracy``
+    trades exact shares for a single pass."""
     names = {f"q{i}": s for i, s in enumerate(shares)}
     whole = df.select(F.lit(1).alias("_all"), _micros(ts).cast("double").alias("_us"))
-    row = group_quantiles(whole, ["_all"], "_us", names, hot_rows=hot_rows).first()
+    row = group_quantiles(
+        whole, ["_all"], "_us", names, hot_rows=hot_rows, accuracy=accuracy
+    ).first()
     return [row[n] for n in names]
 
 
 def chronological_split(
-    df: DataFrame, ts: str = "timestamp", test_share: float = 0.2, hot_rows: int = HOT_ROWS
+    df: DataFrame, ts: str = "timestamp", test_share: float = 0.2, **options
 ) -> DataFrame:
     """Past rows train, future rows test; equal times never fall on both sides."""
-    cut = time_cuts(df, ts, [1 - test_share], hot_rows)[0]
+    cut = time_cuts(df, ts, [1 - test_share], **options)[0]
     return df.withColumn("split", F.when(_micros(ts) <= cut, "train").otherwise("test"))
 
 
 def chronological_folds(
-    df: DataFrame, ts: str = "timestamp", folds: int = 5, hot_rows: int = HOT_ROWS
+    df: DataFrame, ts: str = "timestamp", folds: int = 5, **options
 ) -> DataFrame:
     """Block number 0..folds in time order; fold i trains on blocks below i and tests on i."""
-    cuts = time_cuts(df, ts, [i / (folds + 1) for i in range(1, folds + 1)], hot_rows)
+    cuts = time_cuts(df, ts, [i / (folds + 1) for i in range(1, folds + 1)], **options)
     block = reduce(
         lambda a, b: a + b, [F.when(_micros(ts) > cut, 1).otherwise(0) for cut in cuts]
     )

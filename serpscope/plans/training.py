@@ -70,20 +70,28 @@ def training_matrix(
     return df.select("event_id", *S.FEATURES, S.LABEL).na.drop("any")
 
 
-def training_matrix_fanout(
-    log: DataFrame, user_features: DataFrame, query_features: DataFrame, **options
+def training_matrix_weighted(
+    log: DataFrame,
+    user_features: DataFrame,
+    query_features: DataFrame,
+    precision: str = "hour",
+    **options,
 ) -> DataFrame:
-    """Variant that re-joins the request columns on (user, query, hour). The key is not unique,
-    so events of the same key and hour pair up with each other, as in an inner merge."""
-    hour = F.date_trunc("hour", F.col("event_timestamp").cast("timestamp"))
-    df = with_features(entity_rows(log), user_features, query_features, **options)
-    found = df.na.drop("any").withColumn("_hour", hour)
-    left = found.select("user_id_masked", "query_key", "_hour", *S.USER_FEATURES,
-                        *S.QUERY_FEATURES)
-    right = entity_rows(log).withColumn("_hour", hour).select(
-        "user_id_masked", "query_key", "_hour", *S.REQUEST_FEATURES, S.LABEL
+    """Matrix with the multiplicity each row has when the request columns are merged back on
+    (user, query, time) and several events share that key: features are the same for the whole
+    key, so a group of n events stands for n times each of its rows. The count replaces the
+    n x n pairs."""
+    keys = ["user_id_masked", "query_key", "_slot"]
+    slot = F.date_trunc(precision, F.col("event_timestamp").cast("timestamp"))
+    counts = (
+        entity_rows(log)
+        .withColumn("_slot", slot)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("multiplicity"))
     )
-    return left.join(right, ["user_id_masked", "query_key", "_hour"])
+    df = with_features(entity_rows(log), user_features, query_features, **options)
+    weighted = df.withColumn("_slot", slot).join(counts, keys)
+    return weighted.select("event_id", *S.FEATURES, S.LABEL, "multiplicity").na.drop("any")
 
 
 def feature_columns(df: DataFrame, *keep: str) -> DataFrame:

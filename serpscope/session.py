@@ -1,7 +1,9 @@
 """Session settings and the shared scratch folder."""
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,10 @@ def build_session(app_name: str = "serpscope", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Streaming state off the heap, so that it may outgrow executor memory.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **conf,
     }
     for key, value in settings.items():
@@ -25,6 +31,22 @@ def build_session(app_name: str = "serpscope", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+_shipped: set[str] = set()
+_local_dirs: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="serpscope-")) / root.name
+    archive = shutil.make_archive(str(target), "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for local runs that name none."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,10 +54,11 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="serpscope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="serpscope-")
+        spark.sparkContext.setCheckpointDir(_local_dirs[app])
+    return _local_dirs[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -99,10 +99,11 @@ def test_split_is_stable_under_repartitioning(log):
     assert 0.75 < share < 0.85
 
 
-def test_fanout_pairs_events_of_one_hour(spark, log):
+def test_multiplicity_counts_the_pairs_of_a_merge(log):
     uf, qf = FT.user_daily_features(log), FT.query_daily_features(log)
-    pairs = T.training_matrix_fanout(log, uf, qf).count()
-    hour = F.date_trunc("hour", F.col("event_timestamp").cast("timestamp"))
-    keyed = T.entity_rows(log).groupBy("user_id_masked", "query_key", hour).count()
-    assert pairs == keyed.agg(F.sum(F.col("count") * F.col("count"))).first()[0]
-    assert T.training_matrix(log, uf, qf).count() == log.count()
+    hour = F.date_trunc("hour", F.col("event_timestamp").cast("timestamp")).alias("hour")
+    side = T.entity_rows(log).select("user_id_masked", "query_key", hour)
+    merged = side.join(side, ["user_id_masked", "query_key", "hour"]).count()
+    weighted = T.training_matrix_weighted(log, uf, qf)
+    assert weighted.agg(F.sum("multiplicity")).first()[0] == merged
+    assert weighted.count() == log.count()
