@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from serpscope import schema as S
 from serpscope.functions import keys as K
-from serpscope.operators.ordered import HOT_ROWS
+from serpscope.operators.ordered import HOT_ROWS, broadcast_if_small
 from serpscope.operators.star import add_sequence
 from serpscope.session import materialize
 from serpscope.sources.sinks import balanced, with_event_date
@@ -86,7 +86,8 @@ def load_incremental(
         staged, target.drop("event_date"), lookback_hours, hot_rows=hot_rows
     )
     fresh = materialize(with_event_date(sliced).select(*target.columns), "slice")
-    ids = fresh.select("event_id")
+    # A usual slice is small against the table: its ids then travel, not the table.
+    ids = broadcast_if_small(fresh.select("event_id"))
     replaced = target.join(ids, "event_id", "left_semi").select("event_date").distinct()
     replaced = materialize(replaced, "replaced-days")
     if replaced.isEmpty():

@@ -42,6 +42,14 @@ def join_keys(
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only after counting; larger tables are left to a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows, as a small table, or None when there are none.
 

@@ -23,6 +23,7 @@ from serpscope.operators import monitor as M
 from serpscope.operators import quality as Q
 from serpscope.operators import staging as G
 from serpscope.operators import star as D
+from serpscope.operators.ordered import over_order
 from serpscope.operators.quantiles import group_quantiles
 from serpscope.plans import oracle as O
 from serpscope.plans import training as T
@@ -681,6 +682,102 @@ on_log(
 )
 
 
+# --- the same operators on the larger relational tables ---------------------------------------------------
+
+LINE_CHECKS = [
+    Q.Check("l_orderkey", "not_null"),
+    Q.Check("l_shipdate", "not_null"),
+    Q.Check("l_returnflag", "in_set", ("A", "N", "R")),
+    Q.Check("l_linestatus", "in_set", ("F",)),
+    Q.Check("l_quantity", "between", (1.0, 40.0)),
+    Q.Check("l_discount", "between", (0.0, 0.1)),
+]
+
+
+def on_table(name: str, source: str, build: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, data: build(table(spark, data, source))
+
+
+on_table("lineitem_checks", "lineitem", lambda df: Q.run_checks(df, LINE_CHECKS))
+on_table(
+    "lineitem_duplicate_keys",
+    "lineitem",
+    lambda df: Q.duplicate_keys(df, ["l_orderkey", "l_linenumber"]),
+)
+on_table(
+    "lineitem_sequence",
+    "lineitem",
+    lambda df: over_order(
+        df.select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"),
+        ["l_suppkey"],
+        ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"],
+        lambda s: s.row_number("step"),
+    ),
+)
+on_table(
+    "lineitem_percentiles",
+    "lineitem",
+    lambda df: group_quantiles(
+        df,
+        ["l_returnflag", "l_linestatus"],
+        "l_extendedprice",
+        {"p50": 0.5, "p95": 0.95},
+        {"row_count": F.count(F.lit(1))},
+    ).withColumns({c: F.round(c, 6) for c in ["p50", "p95"]}),
+)
+on_table(
+    "lineitem_describe",
+    "lineitem",
+    lambda df: R.describe_exact(df, ["l_quantity", "l_extendedprice", "l_discount"]),
+)
+on_table(
+    "lineitem_price_histogram",
+    "lineitem",
+    lambda df: R.histogram(df, "l_extendedprice", 0.0, 100000.0, 20),
+)
+on_table("orders_daily_volume", "orders", lambda df: R.daily_volume(df, "o_orderdate"))
+
+
+@query("customers_without_orders")
+def _(spark, data):
+    customers = table(spark, data, "customer").select("c_custkey", "c_name")
+    orders = table(spark, data, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return J.orphans(customers, orders, "c_custkey")
+
+
+@query("orders_segment_key")
+def _(spark, data):
+    customers = table(spark, data, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        K.surrogate_key("c_mktsegment", "c_nationkey").alias("segment_key"),
+    )
+    orders = table(spark, data, "orders").select("o_orderkey", "o_custkey")
+    return J.attach_key(orders, customers, ["o_custkey"], "segment_key").select(
+        "o_orderkey", "segment_key"
+    )
+
+
+@query("orders_asof_previous_day")
+def _(spark, data):
+    """For each order the customer's latest earlier purchase day within a year."""
+    orders = table(spark, data, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    days = orders.groupBy("o_custkey", X.event_day(F.col("o_orderdate")).alias("day")).agg(
+        F.count(F.lit(1)).alias("orders_that_day")
+    )
+    return J.asof_join(
+        orders,
+        days,
+        "o_custkey",
+        "o_orderdate",
+        "day",
+        ["orders_that_day"],
+        lag_days=1,
+        right_unique=True,
+        tie=["o_orderkey"],
+        matched_ts="previous_day",
+    ).select("o_orderkey", "orders_that_day", "previous_day")
+
+
 # --- models --------------------------------------------------------------------------------------------
 
 # Small ensembles keep the registered runs short; the library defaults search wider.
@@ -697,7 +794,9 @@ def _quality(spark: SparkSession, data: str):
             log, FT.user_daily_features(log), FT.query_daily_features(log)
         )
         split = materialize(T.train_test_split(matrix), "matrix")
-        model = QM.train_quality_model(split.where(F.col("split") == "train"), **SMALL_MODEL)
+        tasks = spark.sparkContext.defaultParallelism
+        train = split.where(F.col("split") == "train")
+        model = QM.train_quality_model(train, partitions=tasks, **SMALL_MODEL)
         _trained[key] = (model, split)
     return _trained[key]
 

@@ -154,9 +154,13 @@ CHECKS_SQL = [
 ]
 
 
-def _checks(source: str = "log", kinds: tuple = ("not_null", "in_set", "between")) -> str:
+def _checks(
+    source: str = "log",
+    kinds: tuple = ("not_null", "in_set", "between"),
+    listed: list[tuple] = CHECKS_SQL,
+) -> str:
     parts = []
-    for column, kind, broken in CHECKS_SQL:
+    for column, kind, broken in listed:
         if kind not in kinds:
             continue
         base = "count(*)" if kind == "not_null" else f'count("{column}")'
@@ -1042,6 +1046,61 @@ def statements() -> dict[str, str]:
         MATRIX,
     )
 
+    # relational tables
+    line_checks = [
+        ("l_orderkey", "not_null", "l_orderkey IS NULL"),
+        ("l_shipdate", "not_null", "l_shipdate IS NULL"),
+        ("l_returnflag", "in_set", "l_returnflag NOT IN ('A', 'N', 'R')"),
+        ("l_linestatus", "in_set", "l_linestatus NOT IN ('F')"),
+        ("l_quantity", "between", "l_quantity NOT BETWEEN 1 AND 40"),
+        ("l_discount", "between", "l_discount NOT BETWEEN 0 AND 0.1e0"),
+    ]
+    sql["lineitem_checks"] = _checks("lineitem", listed=line_checks)
+    sql["lineitem_duplicate_keys"] = (
+        "SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem "
+        "GROUP BY 1, 2 HAVING count(*) > 1"
+    )
+    sql["lineitem_sequence"] = (
+        "SELECT l_suppkey, l_shipdate, l_orderkey, l_linenumber, l_partkey, row_number() OVER "
+        "(PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) "
+        "AS step FROM lineitem"
+    )
+    sql["lineitem_percentiles"] = (
+        "SELECT l_returnflag, l_linestatus, count(*) AS row_count, "
+        "round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, "
+        "round(quantile_cont(l_extendedprice, 0.95), 6) AS p95 FROM lineitem GROUP BY 1, 2"
+    )
+    sql["lineitem_describe"] = _describe(
+        "lineitem", ["l_quantity", "l_extendedprice", "l_discount"]
+    )
+    sql["lineitem_price_histogram"] = (
+        "SELECT bin, bin * 5000e0 AS bin_start, count(*) AS row_count FROM (SELECT greatest(0, "
+        "least(19, CAST(floor(l_extendedprice / 5000e0) AS INTEGER))) AS bin FROM lineitem) "
+        "GROUP BY 1"
+    )
+    sql["orders_daily_volume"] = (
+        "SELECT CAST(d.day AS DATE) AS day, count(o.o_orderkey) AS volume FROM (SELECT "
+        "unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), "
+        "INTERVAL 1 DAY)) AS day FROM orders) d LEFT JOIN orders o ON "
+        "CAST(o.o_orderdate AS DATE) = d.day GROUP BY 1"
+    )
+    sql["customers_without_orders"] = (
+        "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN "
+        "(SELECT o_custkey FROM orders)"
+    )
+    sql["orders_segment_key"] = (
+        "SELECT o_orderkey, md5(c_mktsegment || '_' || CAST(c_nationkey AS VARCHAR)) AS "
+        "segment_key FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
+    )
+    sql["orders_asof_previous_day"] = (
+        "WITH days AS (SELECT o_custkey, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS day, "
+        "count(*) AS n FROM orders GROUP BY 1, 2) SELECT o_orderkey, "
+        "CASE WHEN o_orderdate - day <= INTERVAL 365 DAY THEN n END AS orders_that_day, "
+        "CASE WHEN o_orderdate - day <= INTERVAL 365 DAY THEN day END AS previous_day "
+        "FROM orders o ASOF LEFT JOIN days d ON o.o_custkey = d.o_custkey AND "
+        "o.o_orderdate >= d.day + INTERVAL 1 DAY"
+    )
+
     sql["attribution_additivity"] = on_log("SELECT event_id, true AS adds_up FROM log")
 
     # streams: windows and sessions still open at the final watermark are not written

@@ -28,7 +28,9 @@ def build_session(app_name: str = "serpscope", master: str | None = None, **conf
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
 
 
 _shipped: set[str] = set()
