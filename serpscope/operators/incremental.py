@@ -20,7 +20,11 @@ def high_watermark(target: DataFrame, ts: str = "event_timestamp") -> DataFrame:
 
 
 def watermark_value(target: DataFrame, lookback_hours: int = 0) -> datetime | None:
-    """One timestamp on the driver, so that it reaches the scan as a literal."""
+    """One timestamp on the driver, so that it reaches the scan as a literal. In a table
+    partitioned by day only the newest day is read for it."""
+    if "event_date" in target.columns:
+        newest_day = target.agg(F.max("event_date")).first()[0]
+        target = target.where(F.col("event_date") == F.lit(newest_day))
     newest = high_watermark(target).first()[0]
     return None if newest is None else newest - timedelta(hours=lookback_hours)
 
@@ -82,9 +86,7 @@ def load_incremental(
     """
     spark = staged.sparkSession
     target = spark.read.parquet(path)
-    sliced = incremental_slice(
-        staged, target.drop("event_date"), lookback_hours, hot_rows=hot_rows
-    )
+    sliced = incremental_slice(staged, target, lookback_hours, hot_rows=hot_rows)
     fresh = materialize(with_event_date(sliced).select(*target.columns), "slice")
     # A usual slice is small against the table: its ids then travel, not the table.
     ids = broadcast_if_small(fresh.select("event_id"))

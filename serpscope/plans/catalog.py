@@ -27,6 +27,7 @@ from serpscope.operators.ordered import over_order
 from serpscope.operators.quantiles import group_quantiles
 from serpscope.plans import oracle as O
 from serpscope.plans import training as T
+from serpscope.plans.daily import requests_of
 from serpscope.session import materialize, scratch_path
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
@@ -824,15 +825,7 @@ def _(spark, data):
 def _(spark, data):
     model, _ = _quality(spark, data)
     log = L.load_log(spark, data)
-    requests = log.select(
-        "event_id",
-        "user_id_masked",
-        F.col("search_query_masked").alias("search_query"),
-        "search_intent",
-        "query_category",
-        *S.REQUEST_FEATURES,
-    )
-    ok, _ = Q.valid_requests(requests)
+    ok, _ = Q.valid_requests(requests_of(log))
     keyed = ok.withColumn(
         "query_key", K.surrogate_key("search_query", "search_intent", "query_category")
     )

@@ -31,6 +31,33 @@ def scan_pruned(
         return spark.createDataFrame([], wanted)
 
 
+def time_slice(
+    df: DataFrame, start: str | None = None, end: str | None = None, ts: str = "timestamp"
+) -> DataFrame:
+    """Rows with start <= ts < end. The same bounds are put on whichever partition columns the
+    table has, so that only the folders in range are listed and read."""
+    if {"year", "month", "day"} <= set(df.columns):
+        folder = F.make_date("year", F.col("month").cast("int"), F.col("day").cast("int"))
+        unit = "day"
+    elif "event_date" in df.columns:
+        folder, unit = F.col("event_date"), "day"
+    elif "event_month" in df.columns:
+        # Months written as yyyy-MM may be read back as text.
+        folder = F.to_date(F.concat(F.col("event_month").cast("string"), F.lit("-01")))
+        unit = "month"
+    else:
+        folder, unit = None, None
+    for bound, above in ((start, True), (end, False)):
+        if bound is None:
+            continue
+        at = F.lit(bound).cast("timestamp_ntz")
+        df = df.where(F.col(ts) >= at if above else F.col(ts) < at)
+        if folder is not None:
+            first = F.trunc(at.cast("date"), "month") if unit == "month" else at.cast("date")
+            df = df.where(folder >= first if above else folder <= at.cast("date"))
+    return df
+
+
 def union_daily(batches: list[DataFrame]) -> DataFrame:
     """Concatenate daily slices by column name."""
     result = batches[0]
