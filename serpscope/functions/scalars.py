@@ -6,10 +6,15 @@ from pyspark.sql import functions as F
 from serpscope import schema as S
 
 
+# Whitespace as text splitting usually understands it: ASCII, control separators, Unicode spaces.
+WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+
+
 def word_count(text: Column) -> Column:
     """Whitespace-separated tokens; blank text counts 0, null counts as one token ('None')."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("None")), r"^\s+|\s+$", "")
-    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, r"\s+"))).cast("int")
+    words = F.coalesce(text, F.lit("None"))
+    trimmed = F.regexp_replace(words, f"^{WHITESPACE}|{WHITESPACE}$", "")
+    return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, WHITESPACE))).cast("int")
 
 
 def intent_flag(intent: Column, name: str) -> Column:

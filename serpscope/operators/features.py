@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from serpscope import schema as S
@@ -12,13 +12,20 @@ from serpscope.operators.ordered import HOT_ROWS
 from serpscope.operators.quantiles import group_quantiles
 
 
+def _total(column: str) -> Column:
+    """Sum that is 0 when every value is missing."""
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
 def user_daily_features(log: DataFrame) -> DataFrame:
-    """Per user and day: ctr, mean dwell, pogo-stick count. Map-side combined."""
-    daily = log.groupBy("user_id_masked", F.to_date("timestamp").alias("_day")).agg(
-        F.sum("clicks").alias("_clicks"),
-        F.sum("impressions").alias("_imps"),
+    """Per user and day: ctr, mean dwell, pogo-stick count. Map-side combined. Events without
+    user or time belong to no snapshot."""
+    known = log.where(F.col("user_id_masked").isNotNull() & F.col("timestamp").isNotNull())
+    daily = known.groupBy("user_id_masked", F.to_date("timestamp").alias("_day")).agg(
+        _total("clicks").alias("_clicks"),
+        _total("impressions").alias("_imps"),
         F.avg("dwell_time_sec").alias("_dwell"),
-        F.sum("pogo_stick_flag").alias("_pogo"),
+        _total("pogo_stick_flag").alias("_pogo"),
     )
     return daily.select(
         "user_id_masked",
@@ -31,7 +38,7 @@ def user_daily_features(log: DataFrame) -> DataFrame:
 
 def query_daily_features(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per query and day: ctr, exact p95 latency, reformulation rate, in one aggregation."""
-    keyed = log.select(
+    keyed = log.where(F.col("timestamp").isNotNull()).select(
         K.query_key().alias("query_key"),
         F.to_date("timestamp").alias("_day"),
         "clicks",
@@ -45,8 +52,8 @@ def query_daily_features(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         "latency_ms",
         {"_p95": 0.95},
         {
-            "_clicks": F.sum("clicks"),
-            "_imps": F.sum("impressions"),
+            "_clicks": _total("clicks"),
+            "_imps": _total("impressions"),
             "_reform": F.avg("reformulation_flag"),
         },
         hot_rows,

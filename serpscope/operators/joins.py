@@ -48,7 +48,8 @@ def asof_join(
     if not right_unique:
         right = right.groupBy(on, right_ts).agg(F.max(F.struct(*columns)).alias("_v"))
         right = right.select(on, right_ts, *[F.col(f"_v.{c}").alias(c) for c in columns])
-    snapshots = right.select(
+    # A null key identifies nobody: such left rows stay, unmatched.
+    snapshots = right.where(F.col(on).isNotNull()).select(
         F.col(on),
         (F.col(right_ts) + F.make_dt_interval(days=F.lit(lag_days))).alias("_t"),
         F.lit(0).alias("_side"),

@@ -721,7 +721,8 @@ def statements() -> dict[str, str]:
         DIMS,
     )
     sql["query_word_count"] = (
-        "SELECT doc_id, CAST(len(list_filter(string_split_regex(text, '\\s+'), lambda x: x <> '')) "
+        "SELECT doc_id, CAST(len(list_filter(string_split_regex(text, "
+        "'[\\s\\x0B\\x1C-\\x1F\\x85\\pZ]+'), lambda x: x <> '')) "
         "AS INTEGER) AS words FROM documents"
     )
     sql["intent_flags"] = on_log(

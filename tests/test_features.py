@@ -43,6 +43,15 @@ def test_zero_impressions_count_as_one(spark):
     assert got == {"usr_01": 1.0, "usr_02": 1.0}
 
 
+def test_missing_values(spark):
+    rows = feature_rows(spark)
+    nobody = rows.withColumn("user_id_masked", F.lit(None).cast("string"))
+    assert FT.user_daily_features(nobody.unionByName(rows)).count() == 2
+    assert FT.query_daily_features(nobody).count() == 2
+    unknown = rows.withColumn("clicks", F.lit(None).cast("int"))
+    assert {r.user_7d_ctr for r in FT.user_daily_features(unknown).collect()} == {0.0}
+
+
 def _history(spark):
     days = [(1, 0.1), (3, 0.3), (5, 0.5)]
     return spark.createDataFrame(

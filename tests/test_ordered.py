@@ -144,6 +144,16 @@ def test_asof_includes_exact_time_and_ttl_edge(spark):
     assert [r.x for r in got.orderBy("ts").collect()] == [1.0, 1.0, None]
 
 
+def test_null_keys_match_nothing(spark):
+    left = spark.createDataFrame([(None, datetime(2024, 1, 2))], "k string, ts timestamp_ntz")
+    right = spark.createDataFrame(
+        [(None, datetime(2024, 1, 1), 1.0)], "k string, fts timestamp_ntz, x double"
+    )
+    for unique in (True, False):
+        got = J.asof_join(left, right, "k", "ts", "fts", ["x"], right_unique=unique).collect()
+        assert [r.x for r in got] == [None]
+
+
 def test_asof_repeated_snapshots_give_one_row(spark):
     left = spark.createDataFrame([("u", datetime(2024, 1, 2))], "k string, ts timestamp_ntz")
     right = spark.createDataFrame(

@@ -179,7 +179,9 @@ def test_chronological_split_never_leaks(log):
 
 
 def test_scalars(spark):
-    words = [("", 0), ("  ", 0), (" a  b\tc ", 3), ("one", 1), (None, 1)]
+    words = [("", 0), ("  ", 0), (" a  b\tc ", 3), ("one", 1), (None, 1),
+             ("a\u00a0b\u3000c", 3), ("\u2003x\x1fy\u0085", 2)]
+    assert all(n == len(t.split()) for t, n in words if t is not None)
     df = spark.createDataFrame(words, "t string, n int")
     assert all(r.n == r.w for r in df.withColumn("w", X.word_count(F.col("t"))).collect())
     score = one(
