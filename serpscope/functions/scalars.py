@@ -3,8 +3,6 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from serpscope import schema as S
-
 
 # Whitespace as text splitting usually understands it: ASCII, control separators, Unicode spaces.
 WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"

@@ -36,6 +36,7 @@ def asof_join(
     matched_ts: str | None = None,
     tie: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
+    costly: bool = False,
 ) -> DataFrame:
     """For each left row the newest right row of the same key at or before its time, not older
     than the TTL; every left row is kept.
@@ -70,6 +71,7 @@ def asof_join(
         ["_t", "_side", "_tie"],
         lambda s: s.last_known("_seen", "_match"),
         hot_rows,
+        costly,
     ).where(F.col("_side") == 1)
     fresh = F.col(left_ts) - F.col("_match.ts") <= F.make_dt_interval(days=F.lit(ttl_days))
     found = [F.when(fresh, F.col(f"_match.{c}")).alias(c) for c in columns]

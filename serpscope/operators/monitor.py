@@ -219,6 +219,7 @@ def drift_ks(
         ["value"],
         lambda s: s.running_sum("_b", "_ub").running_sum("_c", "_uc"),
         hot_rows,
+        costly=True,
     )
     gap = F.abs(F.col("_ub") / F.col("_nb") - F.col("_uc") / F.col("_nc"))
     distance = (

@@ -62,12 +62,17 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
 
 
 def split_hot(
-    df: DataFrame, keys: list[str], hot_rows: int
+    df: DataFrame, keys: list[str], hot_rows: int, costly: bool = False
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys, hot key table)."""
+    """(rows of ordinary keys, rows of hot keys, hot key table).
+
+    A split reads the input twice; a ``costly`` input is computed once and written first.
+    """
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return df, None, None
+    if costly:
+        df = materialize(df, "split")
     names = hot.select(*keys)
     return (
         join_keys(df, names, keys, "left_anti", bounded=True),
@@ -195,13 +200,15 @@ def over_order(
     order: list[str],
     build: Callable[[Ordered], Ordered],
     hot_rows: int = HOT_ROWS,
+    costly: bool = False,
 ) -> DataFrame:
     """Run ``build`` within each key in the given order.
 
     ``order`` must be total for results that depend on ties, and should end in a column that
     differs between rows, so that even rows tied on the rest can be split over chunks.
+    ``costly`` marks an input with shuffles of its own, see ``split_hot``.
     """
-    cold, hot, counts = split_hot(df, keys, hot_rows)
+    cold, hot, counts = split_hot(df, keys, hot_rows, costly)
     result = build(Ordered(cold, keys, order, chunked=False)).df
     if hot is None:
         return result

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from serpscope.operators.ordered import HOT_ROWS, join_keys, over_order, split_hot
+from serpscope.session import materialize
 
 
 def ranked_quantiles(
@@ -18,6 +19,8 @@ def ranked_quantiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_w"))
     )
+    # Read several times below, so written once.
+    counted = materialize(counted, "value-counts")
     totals = counted.groupBy(*keys).agg(F.sum("_w").alias("_n"))
     ranked = over_order(
         counted, keys, [value], lambda s: s.running_sum("_w", "_upto"), hot_rows

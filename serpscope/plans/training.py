@@ -57,6 +57,7 @@ def with_features(
         "event_timestamp",
         "event_timestamp",
         S.QUERY_FEATURES,
+        costly=True,
         **options,
     )
 
