@@ -3,30 +3,20 @@
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from serpscope.session import materialize
 
-#: Distinct words whose hashes a worker remembers at a time.
-REMEMBERED_WORDS = 500_000
 #: Odd multiplier of the polynomial over word hashes, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 
 
-class _WordHashes(dict):
-    """64-bit hash of a word, remembered: words repeat far more often than they are new."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = _WordHashes()
+# A random number for each byte, and 0 for the characters between words: 0x20 and 0x09-0x0D.
+_BYTES = np.random.default_rng(1302).integers(1, 1 << 64, 256, dtype=np.uint64)
+_BYTES[[*range(0x09, 0x0E), 0x20]] = 0
+_SOLID = _BYTES != 0
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -40,13 +30,18 @@ def _powers_of(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
-def split_words(text: bytes | None) -> list[bytes]:
-    """Words between the characters 0x20 and 0x09-0x0D, which is how bytes are split."""
-    return text.split() if text else []
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """Hashes of the words of a text, those of `text.split()`."""
+    codes = np.frombuffer(text or b"", dtype=np.uint8)
+    solid = np.zeros(len(codes) + 1, dtype=bool)
+    solid[1:] = _SOLID[codes]
+    start = np.flatnonzero(solid[1:] & ~solid[:-1])
+    if not len(start):
+        return np.zeros(0, dtype=np.uint64)
+    size = np.diff(start, append=len(codes))
+    place = np.arange(start[0], len(codes)) - np.repeat(start, size)
+    terms = _BYTES[codes[start[0] :]] * _powers_of(BASE, int(size.max()))[place]
+    return mix(np.add.reduceat(terms, start - start[0]))
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serpscope.llm.common import Spans, components, signed, split_words, word_hashes
+from serpscope.llm.common import Spans, components, signed, word_hashes
 from serpscope.session import materialize
 
 #: Words of a shingle.
@@ -48,10 +48,10 @@ _SHIFTS = _random.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64)
 
 def shingles(text: bytes | None) -> np.ndarray:
     """Sorted distinct hashes of the 5-word runs in lower case (A-Z); shorter texts are one run."""
-    words = split_words(text.lower() if text else text)
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    return np.unique(Spans(word_hashes(words)).grams(min(SHINGLE, len(words))))
+    hashes = word_hashes(text.lower() if text else text)
+    if not len(hashes):
+        return hashes
+    return np.unique(Spans(hashes).grams(min(SHINGLE, len(hashes))))
 
 
 def signature(values: np.ndarray) -> np.ndarray:

@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from serpscope.llm.decontaminate import benchmark_matches
 from serpscope.llm.minmax import near_duplicates
+from serpscope.llm.packing import pack
+from serpscope.llm.pii import personal_data
+from serpscope.llm.sharding import hilbert_shards
 from serpscope.llm.substring import substring_dedup
+from serpscope.llm.tokenfiles import through_files
 from serpscope.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +28,31 @@ def substring(spark: SparkSession, data: str) -> DataFrame:
     return substring_dedup(docs, width=13, keep_text=False).drop("kept_text")
 
 
+def sharding(spark: SparkSession, data: str) -> DataFrame:
+    """16 shards along a Hilbert curve over language, source and length."""
+    return hilbert_shards(table(spark, data, "documents"), ["lang", "source", "n_chars"], 16)
+
+
+def pii(spark: SparkSession, data: str) -> DataFrame:
+    """Personal data in all documents."""
+    return personal_data(table(spark, data, "documents"))
+
+
+def packing(spark: SparkSession, data: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    return pack(table(spark, data, "documents"))
+
+
+def tokenfiles(spark: SparkSession, data: str) -> DataFrame:
+    """All documents' ids written to coded files and read back."""
+    return through_files(table(spark, data, "documents"))
+
+
+def decontaminate(spark: SparkSession, data: str) -> DataFrame:
+    """Documents that hold benchmark items, with the items."""
+    return benchmark_matches(table(spark, data, "documents"), table(spark, data, "benchmark"))
+
+
 def minmax(spark: SparkSession, data: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(table(spark, data, "documents"), percent=85)
@@ -36,6 +66,11 @@ def vectors(spark: SparkSession, data: str) -> DataFrame:
 ORACLES: dict[str, str] = {}
 QUERIES: dict[str, Query] = {
     "op1_relative_parsing": substring,
+    "op2_hilbert_shards": sharding,
+    "op3_anchor_expansion": pii,
+    "op5_cost_packing": packing,
+    "op6_ranked_codes": tokenfiles,
+    "op8_pigeonhole_matching": decontaminate,
     "op9_minmax_dedup": minmax,
     "op10_projection_passes": vectors,
 }

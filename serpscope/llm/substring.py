@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serpscope.llm.common import Spans, signed, split_words, word_hashes
+from serpscope.llm.common import Spans, signed, word_hashes
 
 #: Words of an anchor. Longer ones are rarer in running text, but more of them are needed.
 ANCHOR = 4
@@ -61,10 +62,10 @@ def _anchors(width: int, with_block: bool):
         for batch in batches:
             ids, keys, around = [], [], []
             for doc_id, text in _texts(batch):
-                words = split_words(text)
-                if len(words) < width:
+                hashes = word_hashes(text)
+                if len(hashes) < width:
                     continue
-                _, _, anchor, block = blocks(Spans(word_hashes(words)), width)
+                _, _, anchor, block = blocks(Spans(hashes), width)
                 _, at = np.unique(block if with_block else anchor, return_index=True)
                 ids.append(np.full(len(at), doc_id, dtype=np.int64))
                 keys.append(signed(anchor[at]))
@@ -110,7 +111,7 @@ def _open_windows(width: int):
             for row in _rows(batch):
                 if not row["open"]:
                     continue
-                spans = Spans(word_hashes(split_words(press.decompress(row["packed"]))))
+                spans = Spans(word_hashes(press.decompress(row["packed"])))
                 first, count, anchor, _ = blocks(spans, width)
                 is_open = np.repeat(np.isin(anchor, _known(row, "open")), count)
                 start = np.flatnonzero(is_open)
@@ -159,20 +160,21 @@ def _factor(width: int, keep_text: bool):
         for batch in batches:
             out = []
             for row in _rows(batch):
-                words = split_words(press.decompress(row["packed"])) if row["packed"] else []
+                text = press.decompress(row["packed"]) if row["packed"] else b""
+                words = text.split()
                 n, factors, keep = len(words), [], words
                 if n >= width and (row["whole"] or row["windows"]):
-                    spans = Spans(word_hashes(words))
+                    spans = Spans(word_hashes(text))
                     _, count, anchor, _ = blocks(spans, width)
                     whole = _lookup(anchor, _known(row, "whole"), row["whole_source"])
                     single = _known(row, "windows")
                     single = _lookup(spans.grams(width), single, row["window_source"])
                     source = np.maximum(np.repeat(whole, count), single)
                     factors = _factors(source, width)
-                    gone = np.zeros(n, dtype=bool)
+                    left = np.ones(n, dtype=bool)
                     for start, end, _ in factors:
-                        gone[start:end] = True
-                    keep = [w for w, g in zip(words, gone.tolist()) if not g]
+                        left[start:end] = False
+                    keep = list(compress(words, left.tolist()))
                 kept = b" ".join(keep)
                 out.append(
                     {
