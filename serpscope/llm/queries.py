@@ -10,9 +10,11 @@ from serpscope.llm.decontaminate import benchmark_matches
 from serpscope.llm.minmax import near_duplicates
 from serpscope.llm.packing import pack
 from serpscope.llm.pii import personal_data
+from serpscope.llm.quality import score_quality
 from serpscope.llm.sharding import hilbert_shards
 from serpscope.llm.substring import substring_dedup
 from serpscope.llm.tokenfiles import through_files
+from serpscope.llm.toxicity import score_toxicity
 from serpscope.llm.vectors import near_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +40,16 @@ def pii(spark: SparkSession, data: str) -> DataFrame:
     return personal_data(table(spark, data, "documents"))
 
 
+def quality(spark: SparkSession, data: str) -> DataFrame:
+    """Quality of all documents."""
+    return score_quality(table(spark, data, "documents"), table(spark, data, "labels"))
+
+
+def toxicity(spark: SparkSession, data: str) -> DataFrame:
+    """Toxicity categories of all documents."""
+    return score_toxicity(table(spark, data, "documents"), table(spark, data, "labels"))
+
+
 def packing(spark: SparkSession, data: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return pack(table(spark, data, "documents"))
@@ -68,8 +80,10 @@ QUERIES: dict[str, Query] = {
     "op1_relative_parsing": substring,
     "op2_hilbert_shards": sharding,
     "op3_anchor_expansion": pii,
+    "op4_attention_quality": quality,
     "op5_cost_packing": packing,
     "op6_ranked_codes": tokenfiles,
+    "op7_classifier_chain": toxicity,
     "op8_pigeonhole_matching": decontaminate,
     "op9_minmax_dedup": minmax,
     "op10_projection_passes": vectors,
