@@ -25,7 +25,7 @@ def tables(spark):
             for _ in range(draw.randint(1, 4)):
                 words.insert(draw.randrange(len(words)), draw.choice(["zorkish", "zorked", "quuxer"]))
         rows.append((i, " ".join(words), 1, 0.5))
-        if i % 3:
+        if i % 4:
             labels.append((i, int(not bad), int(toxic), "x"))
     labels += [(1, None, None, "x"), (None, 1, 1, "x"), (9999, 0, 1, "x"), (2, 1, 0, "x")]
     rows += [(None, "some text", 1, 0.5), (1000, None, None, None), (1001, "", 1, 0.5)]
