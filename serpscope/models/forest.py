@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from serpscope import schema as S
-from serpscope.functions import keys as K
-from serpscope.operators.kpi import sample_n
 from serpscope.operators.ordered import HOT_ROWS
 from serpscope.operators.quantiles import group_quantiles
 from serpscope.session import materialize
 
 NODE_SCHEMA = (
-    "tree int, node int, feature int, threshold double, left int, right int, depth double"
+    "tree int, node int, feature int, threshold double, left int, right int, depth double, "
+    "sample_rows int"
 )
 
 
@@ -33,20 +33,24 @@ def mean_depth(rows: float) -> float:
 def tree_samples(
     df: DataFrame, columns: list[str], key: str, trees: int, rows_per_tree: int, seed: int
 ) -> DataFrame:
-    """About ``rows_per_tree`` distinct rows for every tree; at most trees x rows_per_tree rows
-    plus one copy of the table when the table is smaller than that."""
-    wanted = trees * rows_per_tree
+    """Exactly min(rows_per_tree, rows) distinct rows for every tree: those with its smallest
+    salted hashes. Only rows with a hash below a bound just above the share wanted are ranked."""
     narrow = df.select(F.col(key).cast("string").alias("_id"), *columns).na.drop("any")
     total = narrow.count()
-    copies = min(trees, max(1, -(-wanted // max(total, 1))))
-    if copies == 1:
-        narrow = sample_n(narrow, wanted, seed, "_id")
-    # Copy c only goes to trees congruent to c, so a tree never holds a row twice.
-    placed = narrow.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    slots = -(-trees // copies)
-    salt = F.concat(F.lit(f"{seed}/"), F.col("_copy").cast("string"), F.lit("/"), F.col("_id"))
-    tree = K.hash_bucket(salt) % slots * copies + F.col("_copy")
-    return placed.select(tree.cast("int").alias("tree"), *columns).where(F.col("tree") < trees)
+    wanted = min(rows_per_tree, total)
+    rank = F.md5(F.concat(F.lit(f"{seed}/"), F.col("tree").cast("string"), F.lit("/"), F.col("_id")))
+    placed = narrow.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    placed = placed.withColumn("_rank", rank)
+    share = (rows_per_tree + 6 * math.sqrt(rows_per_tree) + 10) / max(1, total)
+    if share < 1:
+        few = placed.where(F.col("_rank") < f"{math.ceil(share * (1 << 32)):08x}")
+        few = materialize(few, "tree-samples")
+        enough = few.groupBy("tree").count().where(F.col("count") >= wanted).count() == trees
+        placed = few if enough else placed
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("_rank", "_id"))
+    return placed.withColumn("_place", place).where(F.col("_place") <= wanted).select(
+        "tree", "_id", *columns
+    )
 
 
 def grow(sample: pd.DataFrame, columns: list[str], limit: int, seed: int) -> pd.DataFrame:
@@ -76,7 +80,7 @@ def grow(sample: pd.DataFrame, columns: list[str], limit: int, seed: int) -> pd.
         stack.append((rows[goes_left], depth + 1, (node, 4)))
     return pd.DataFrame(
         nodes, columns=["tree", "node", "feature", "threshold", "left", "right", "depth"]
-    )
+    ).assign(sample_rows=len(data))
 
 
 def train_outlier_model(
@@ -110,23 +114,29 @@ def path_depths(x: np.ndarray, tree: dict[str, np.ndarray]) -> np.ndarray:
         at[rows] = np.where(left, tree["left"][here], tree["right"][here])
 
 
-def outlier_score(forest: DataFrame, columns: list[str], rows_per_tree: int = 256) -> Column:
-    """Score column in (-1, 0); more negative is more unusual. The node table is collected: it
-    is bounded by trees x 2 x rows_per_tree rows."""
+def outlier_score(forest: DataFrame, columns: list[str]) -> Column:
+    """Score column in (-1, 0); more negative is more unusual, null where an input is missing.
+    The node table is collected: it is bounded by trees x 2 x rows of a tree."""
     nodes = forest.orderBy("tree", "node").toPandas()
     arrays = [
         {c: part[c].to_numpy() for c in ["feature", "threshold", "left", "right", "depth"]}
         for _, part in nodes.groupby("tree")
     ]
     shared = forest.sparkSession.sparkContext.broadcast(arrays)
-    usual = mean_depth(rows_per_tree)
+    # What the trees were grown from, not what was asked for, sets the usual depth. A forest from
+    # one row tells nothing apart.
+    usual = mean_depth(int(nodes["sample_rows"].max()) if len(nodes) else 0) or 1.0
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for batch in batches:
             x = np.column_stack([c.to_numpy(dtype=float) for c in batch])
-            depth = np.mean([path_depths(x, t) for t in shared.value], axis=0)
-            yield pd.Series(-np.power(2.0, -depth / usual))
+            known = ~np.isnan(x).any(axis=1)
+            out = np.full(len(x), np.nan)
+            if known.any() and shared.value:
+                depth = np.mean([path_depths(x[known], t) for t in shared.value], axis=0)
+                out[known] = -np.power(2.0, -depth / usual)
+            yield pd.Series(out).astype(object).where(~np.isnan(out), None)
 
     return score(*[F.col(c).cast("double") for c in columns])
 
@@ -139,10 +149,11 @@ def score_outliers(
     offset: float | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Decision score and flag per row; the cut is the contamination share of the scores."""
+    """Decision score and flag per row. ``offset`` is the cut that ``training_cut`` found on the
+    training rows; without one the rows scored are taken to be those, and the contamination share
+    of them is flagged. Rows with a missing input keep a null score and no flag."""
     columns = columns or S.OUTLIER_FEATURES
-    complete = df.na.drop("any", subset=columns)
-    scored = complete.withColumn("_score", outlier_score(forest, columns))
+    scored = df.withColumn("_score", outlier_score(forest, columns))
     if offset is None:
         # Scoring is the costly pass: keep its result for the cut and the output.
         scored = materialize(scored, "scores")
@@ -151,14 +162,27 @@ def score_outliers(
     return scored.withColumns(
         {
             "anomaly_score": decision,
-            "label": F.when(decision < 0, -1).otherwise(1),
+            "label": F.when(decision < 0, -1).when(decision >= 0, 1),
             "is_anomaly": decision < 0,
         }
     ).drop("_score")
 
 
+def training_cut(
+    forest: DataFrame,
+    df: DataFrame,
+    columns: list[str] | None = None,
+    contamination: float = 0.1,
+    hot_rows: int = HOT_ROWS,
+) -> float:
+    """The cut to keep beside a forest: the contamination share of its training rows lies below."""
+    scored = df.select(outlier_score(forest, columns or S.OUTLIER_FEATURES).alias("_score"))
+    return contamination_cut(materialize(scored, "scores"), contamination, hot_rows)
+
+
 def contamination_cut(scored: DataFrame, contamination: float, hot_rows: int = HOT_ROWS) -> float:
     """Score below which the contamination share of the rows lies."""
-    whole = scored.select(F.lit(1).alias("_all"), "_score")
+    whole = scored.where("_score is not null").select(F.lit(1).alias("_all"), "_score")
     cut = group_quantiles(whole, ["_all"], "_score", {"cut": contamination}, hot_rows=hot_rows)
-    return cut.first()["cut"]
+    row = cut.first()
+    return row["cut"] if row else None

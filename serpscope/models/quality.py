@@ -113,9 +113,16 @@ def tune_quality_model(
 
 
 def model_record(
-    spark: SparkSession, name: str, version: str, metrics: DataFrame, importances: DataFrame
+    spark: SparkSession,
+    name: str,
+    version: str,
+    metrics: DataFrame,
+    importances: DataFrame,
+    recorded_at: str | None = None,
 ) -> DataFrame:
-    """One row per trained model with its measured metrics and ranked importances."""
+    """One row per trained model with its measured metrics and ranked importances; the time is
+    now unless one is given."""
+    at = F.current_timestamp() if recorded_at is None else F.lit(recorded_at).cast("timestamp")
     ranked = importances.agg(
         F.sort_array(F.collect_list(F.struct("importance", "feature")), asc=False).alias(
             "importances"
@@ -132,7 +139,7 @@ def model_record(
             "r2",
             F.col("row_count").alias("holdout_rows"),
             "importances",
-            F.current_timestamp().alias("recorded_at"),
+            at.alias("recorded_at"),
         )
     )
 

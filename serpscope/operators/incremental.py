@@ -40,9 +40,10 @@ def new_slice(staged: DataFrame, watermark: datetime | None) -> DataFrame:
 
 
 def late_rows(staged: DataFrame, target: DataFrame, lookback_hours: int = 0) -> DataFrame:
-    """Rows at or before the watermark: the incremental load skips them."""
+    """Rows that the incremental load skips: those at or before the watermark, and those without
+    a time once there is one."""
     watermark = watermark_value(target, lookback_hours)
-    return staged.where(~_after(watermark))
+    return staged.where(~F.coalesce(_after(watermark), F.lit(False)))
 
 
 def incremental_slice(
@@ -131,7 +132,9 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, tracked: list[str] = VERSIONE
     """Close the current version of changed users and open a new one.
 
     ``changes`` has one row per user: user_id_masked, the tracked columns and changed_at.
-    Rows equal to the current version leave it untouched.
+    Rows equal to the current version leave it untouched, and so do changes that are no newer than
+    it. ``user_key`` names the user in all versions, so facts keep resolving; ``version_key`` names
+    one version.
     """
     incoming = changes.select(
         "user_id_masked", "changed_at", *[F.col(c).alias(f"_new_{c}") for c in tracked]
@@ -144,7 +147,8 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, tracked: list[str] = VERSIONE
         same = same & F.col(c).eqNullSafe(F.col(f"_new_{c}"))
     known = F.col("record_start_timestamp").isNotNull()
     arrived = F.col("changed_at").isNotNull()
-    changed = arrived & (~known | ~same)
+    newer = F.col("changed_at") > F.col("record_start_timestamp")
+    changed = arrived & (~known | (~same & newer))
     # Each pair yields the old version, the new version, or both, in one pass.
     open_version = F.struct(
         *[F.col(f"_new_{c}").alias(c) for c in tracked],
@@ -166,8 +170,8 @@ def scd2_merge(dim: DataFrame, changes: DataFrame, tracked: list[str] = VERSIONE
     columns = ["user_id_masked", *merged.columns[1:]]
     return (
         merged.unionByName(history.select(*columns))
-        .withColumn("user_key", version_key())
-        .select("user_key", *columns)
+        .withColumns({"user_key": K.user_key(), "version_key": version_key()})
+        .select("user_key", "version_key", *columns)
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,8 +80,17 @@ def describe_exact(df: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS)
 
 
 def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
-    """Reproducible exact-size sample: the n smallest salted hashes."""
+    """Reproducible exact-size sample: the n smallest salted hashes.
+
+    Only rows with a hash below a bound just above n / rows are sorted, so no task gathers n rows
+    of every partition. Should too few lie below it, all rows are sorted.
+    """
     rank = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
+    share = (n + 6 * math.sqrt(n) + 10) / max(1, df.count())
+    if share < 1:
+        few = df.where(rank < f"{math.ceil(share * (1 << 32)):08x}")
+        if few.limit(n).count() == n:
+            df = few
     return df.orderBy(rank, key).limit(n)
 
 
@@ -290,12 +301,14 @@ def ctr_at_rank(log: DataFrame) -> DataFrame:
 
 
 def kpi_change(log: DataFrame) -> DataFrame:
-    """Daily score against the day before, and the revenue exposed to the drop."""
+    """Daily score against that of the calendar day before, and the revenue exposed to the drop.
+    After a day without events there is no change."""
     daily = mart(log, {"day": F.to_date("timestamp")})
     # One row per day: the single-partition window runs over the calendar only.
     by_day = Window.orderBy("day")
     score = F.col("score_sum") / F.col("events")
-    previous = F.lag("_score").over(by_day)
+    follows = F.lag("day").over(by_day) == F.date_sub("day", 1)
+    previous = F.when(follows, F.lag("_score").over(by_day))
     change = F.col("_score") - F.col("_prev")
     drop = F.greatest(F.lit(0.0), -change) / F.col("_prev")
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from serpscope import schema as S
@@ -24,17 +24,25 @@ def hourly_mart(log: DataFrame, segments: list[str]) -> DataFrame:
     return mart(log, {**{c: F.col(c) for c in segments}, "hour": _hour()})
 
 
+def _hours_before(keys: list[str], hours: int) -> WindowSpec:
+    """The hours before a row's own by the clock; quiet hours do not stretch it."""
+    seconds = F.unix_seconds(F.col("hour").cast("timestamp"))
+    return Window.partitionBy(*keys).orderBy(seconds).rangeBetween(-3600 * hours, -1)
+
+
 def zscore_anomalies(
     log: DataFrame,
     segments: list[str] | None = None,
     history: int = 24,
     limit: float = S.ZSCORE_LIMIT,
+    least_hours: int = 12,
 ) -> DataFrame:
-    """Hourly segment latency against the mean and deviation of its preceding hours. The
-    window runs over one row per segment and hour."""
+    """Hourly segment latency against the mean and deviation of the ``history`` hours before it.
+    With fewer than ``least_hours`` of them present there is no score. The window runs over one
+    row per segment and hour."""
     segments = segments or ["country", "device_type"]
     hours = hourly_mart(log, segments).withColumn("_x", F.col("latency_sum") / F.col("events"))
-    before = Window.partitionBy(*segments).orderBy("hour").rowsBetween(-history, -1)
+    before = _hours_before(segments, history)
     scored = hours.withColumns(
         {
             "_n": F.count("_x").over(before),
@@ -43,7 +51,7 @@ def zscore_anomalies(
         }
     )
     z = F.when(
-        (F.col("_n") >= 12) & (F.col("_std") > 0), (F.col("_x") - F.col("_mean")) / F.col("_std")
+        (F.col("_n") >= least_hours) & (F.col("_std") > 0), (F.col("_x") - F.col("_mean")) / F.col("_std")
     )
     return scored.withColumn("_z", z).select(
         *segments,
@@ -83,7 +91,7 @@ def alert_levels(
     segments = segments or ["country", "device_type"]
 
     def drops(hours: DataFrame, keys: list[str]) -> DataFrame:
-        before = Window.partitionBy(*keys).orderBy("hour").rowsBetween(-history, -1)
+        before = _hours_before(keys, history)
         score = F.col("score_sum") / F.col("events")
         hours = hours.withColumn("_score", score)
         return hours.withColumn("_drop", 1 - F.col("_score") / F.avg("_score").over(before))
@@ -144,7 +152,8 @@ def drift_psi(
     bins: int = 10,
     limit: float = S.PSI_LIMIT,
 ) -> DataFrame:
-    """Population stability index over equal-width bins of the baseline range."""
+    """Population stability index over equal-width bins of the baseline range. It is null for a
+    column without values in either period."""
     columns = columns or DRIFT_COLUMNS
     base = periods.where(F.col("period") == "baseline")
     # One row with two numbers per feature: the bin edges become literals.
@@ -155,10 +164,15 @@ def drift_psi(
     slots = []
     for c in columns:
         lo, hi = edges[f"lo_{c}"], edges[f"hi_{c}"]
+        if lo is None:
+            continue
         width = ((hi - lo) / bins) or 1.0
         slot = F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(width))
         slot = F.greatest(F.lit(0), F.least(F.lit(bins - 1), slot))
         slots.append(F.struct(F.lit(c).alias("feature"), slot.cast("int").alias("bin")))
+    names = periods.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    if not slots:
+        return names.select("feature", F.lit(None).cast("double").alias("psi"), F.lit(None).cast("boolean").alias("drifted"))
     counts = (
         periods.select("period", F.inline(F.array(*slots)))
         .where(F.col("bin").isNotNull())
@@ -169,13 +183,20 @@ def drift_psi(
         )
     )
     whole = Window.partitionBy("feature")
-    p = F.greatest(F.col("_b") / F.sum("_b").over(whole), F.lit(1e-6))
-    q = F.greatest(F.col("_c") / F.sum("_c").over(whole), F.lit(1e-6))
+
+    def share(count: str) -> Column:
+        total = F.sum(count).over(whole)
+        return F.when(total > 0, F.greatest(F.col(count) / total, F.lit(1e-6)))
+
+    p, q = share("_b"), share("_c")
     # Bins that are empty on both sides add nothing, so they need no row.
-    return (
+    sums = (
         counts.select("feature", p.alias("_p"), q.alias("_q"))
         .groupBy("feature")
         .agg(F.sum((F.col("_q") - F.col("_p")) * F.log(F.col("_q") / F.col("_p"))).alias("_psi"))
+    )
+    return (
+        names.join(sums, "feature", "left")
         .select(
             "feature",
             F.round("_psi", 6).alias("psi"),

@@ -8,9 +8,33 @@ from pyspark.sql import functions as F
 from serpscope.functions import scalars as X
 
 
-def _text(name: str, length: int, source: str | None = None) -> Column:
-    """Bounded text: longer values are cut, as a varchar cast does."""
-    return F.substring(F.col(source or name).cast("string"), 1, length).alias(name)
+#: Longest text that the warehouse columns are declared for.
+LIMITS = {"gender": 10, "user_segment": 10, "language": 10, "browser_version": 20}
+LIMITS |= dict.fromkeys(["search_intent", "device_type", "browser_name", "os_name"], 30)
+LIMITS |= dict.fromkeys(["signup_channel", "query_category", "country", "region"], 50)
+LIMITS |= dict.fromkeys(
+    ["event_id", "user_key", "query_key", "system_key", "geo_key", "session_id", "user_id_masked"],
+    64,
+)
+
+
+def _text(name: str, source: str | None = None) -> Column:
+    """Whole text: a value cut to the declared length could be mistaken for another."""
+    return F.col(source or name).cast("string").alias(name)
+
+
+def overlong_values(df: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
+    """How many values of each text column are longer than declared."""
+    limits = limits or LIMITS
+    names = [c for c in df.columns if c in limits]
+    counts = df.agg(*[F.count_if(F.length(F.col(c).cast("string")) > limits[c]).alias(c) for c in names])
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(limits[c]).alias("declared"), F.col(c).alias("overlong")
+        )
+        for c in names
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def _as(name: str, kind: str) -> Column:
@@ -19,10 +43,10 @@ def _as(name: str, kind: str) -> Column:
 
 def stg_search_events(df: DataFrame) -> DataFrame:
     return df.select(
-        _text("event_id", 64),
+        _text("event_id"),
         _as("event_timestamp", "timestamp_ntz"),
         *[
-            _text(c, 64)
+            _text(c)
             for c in ["user_key", "query_key", "system_key", "geo_key", "session_id"]
         ],
         *[_as(c, "int") for c in ["position", "clicks", "impressions"]],
@@ -37,13 +61,13 @@ def stg_search_events(df: DataFrame) -> DataFrame:
 
 def stg_users(df: DataFrame) -> DataFrame:
     return df.select(
-        _text("user_key", 64),
-        _text("user_id_masked", 64),
-        _text("gender", 10),
+        _text("user_key"),
+        _text("user_id_masked"),
+        _text("gender"),
         _as("age", "int"),
-        _text("signup_channel", 50),
+        _text("signup_channel"),
         _as("signup_timestamp", "timestamp_ntz"),
-        _text("user_segment", 10),
+        _text("user_segment"),
         _as("record_start_timestamp", "timestamp_ntz"),
         _as("record_end_timestamp", "timestamp_ntz"),
         _as("is_current_record", "int"),
@@ -53,21 +77,21 @@ def stg_users(df: DataFrame) -> DataFrame:
 def stg_queries(df: DataFrame) -> DataFrame:
     flags = ["is_navigational", "is_informational", "is_transactional", "query_length_words"]
     return df.select(
-        _text("query_key", 64),
+        _text("query_key"),
         X.normalize_text(F.col("search_query_masked").cast("string")).alias(
             "search_query_masked"
         ),
-        _text("search_intent", 30),
-        _text("query_category", 50),
+        _text("search_intent"),
+        _text("query_category"),
         *[_as(c, "int") for c in flags],
     )
 
 
 def stg_systems(df: DataFrame) -> DataFrame:
     return df.select(
-        _text("system_key", 64),
-        *[_text(c, 30) for c in ["device_type", "browser_name", "os_name"]],
-        _text("browser_version", 20),
+        _text("system_key"),
+        *[_text(c) for c in ["device_type", "browser_name", "os_name"]],
+        _text("browser_version"),
     )
 
 
@@ -75,8 +99,8 @@ def stg_geography(df: DataFrame) -> DataFrame:
     """Takes the language column under either of its two names."""
     source = "primary_language" if "primary_language" in df.columns else "language"
     return df.select(
-        _text("geo_key", 64),
-        _text("country", 50),
-        _text("region", 50),
-        _text("language", 10, source),
+        _text("geo_key"),
+        _text("country"),
+        _text("region"),
+        _text("language", source),
     )

@@ -417,8 +417,9 @@ def _(spark, data):
     path = scratch_path(spark, "log")
     W.write_date_partitioned(L.load_log(spark, data), path)
     log = L.scan_events(spark, path)
-    days = [r[0] for r in log.select("day").distinct().orderBy("day").collect()]
-    batches = [log.where(F.col("day") == d) for d in days]
+    # One row for each calendar day that has events.
+    days = log.select("year", "month", "day").distinct().orderBy("year", "month", "day").collect()
+    batches = [log.where(reduce(lambda a, b: a & b, [F.col(c) == d[c] for c in d.asDict()])) for d in days]
     return L.union_daily(batches).select("event_id", "timestamp", "latency_ms")
 
 
@@ -615,6 +616,24 @@ def _versions(star: dict[str, DataFrame]) -> DataFrame:
 
 
 on_star("scd2_merge", _versions)
+on_star(
+    "scd2_orphans",
+    lambda s: s["fct_search_events"]
+    .join(_versions(s), "user_key", "left_anti")
+    .agg(F.count(F.lit(1)).alias("orphans")),
+)
+
+
+def _untouched(star: dict[str, DataFrame]) -> DataFrame:
+    """Users with one version, under the key that the dimension gave them."""
+    merged = _versions(star)
+    single = merged.groupBy("user_id_masked").agg(F.count(F.lit(1)).alias("_n"), F.max("user_key").alias("_key"))
+    same = star["dim_users"].join(single.where("_n = 1"), "user_id_masked")
+    return same.where(F.col("user_key") == F.col("_key")).select("user_id_masked", "user_key")
+
+
+on_star("scd2_untouched", _untouched)
+on_star("overlong_text", lambda s: G.overlong_values(G.stg_search_events(s["fct_search_events"])))
 QUERIES["scd2_asof_lookup"] = lambda spark, data: I.scd2_asof_lookup(
     L.load_log(spark, data).select("event_id", "user_id_masked", "timestamp"),
     _versions(D.build_star(L.load_log(spark, data))),
@@ -825,18 +844,20 @@ def _(spark, data):
 def _(spark, data):
     model, _ = _quality(spark, data)
     log = L.load_log(spark, data)
-    ok, _ = Q.valid_requests(requests_of(log))
+    ok, rejected = Q.valid_requests(requests_of(log))
     keyed = ok.withColumn(
         "query_key", K.surrogate_key("search_query", "search_intent", "query_category")
     )
     served = T.serve_features(
         keyed, FT.user_daily_features(log), FT.query_daily_features(log), O.AS_OF
     )
-    scored = QM.predict(model, served)
-    return scored.select(
+    scored = QM.predict(model, served).withColumn("status", F.lit("scored"))
+    refused = rejected.withColumn("status", F.lit("rejected"))
+    return scored.unionByName(refused, allowMissingColumns=True).select(
         "event_id",
         "query_key",
         F.round("prediction", 6).alias("predicted_search_quality_score"),
+        "status",
     )
 
 
@@ -874,6 +895,16 @@ def _(spark, data):
     return OF.train_outlier_model(_quality(spark, data)[1])
 
 
+@query("outlier_tree_samples")
+def _(spark, data):
+    """Which events each of ten trees is grown from."""
+    columns = ["latency_ms", "page_speed_score", "bounce_rate"]
+    log = L.load_log(spark, data)
+    return OF.tree_samples(log, columns, "event_id", 10, 256, 42).select(
+        "tree", F.col("_id").alias("event_id")
+    )
+
+
 @query("score_outliers")
 def _(spark, data):
     _, split = _quality(spark, data)
@@ -887,7 +918,8 @@ def _record(spark: SparkSession, data: str, version: str, model) -> DataFrame:
     split = _quality(spark, data)[1]
     metrics = QM.holdout_metrics(model, split.where(F.col("split") == "test"))
     ranking = A.importance_ranking(A.feature_attribution(model, split, "event_id"))
-    return QM.model_record(spark, "quality", version, metrics, ranking)
+    at = f"2024-02-0{version} 00:00:00"
+    return QM.model_record(spark, "quality", version, metrics, ranking, recorded_at=at)
 
 
 @query("model_record")

@@ -73,6 +73,10 @@ def train(log: DataFrame, store: Store, version: str, **params) -> DataFrame:
     model.write().overwrite().save(store.path(f"models/quality/{version}"))
     trees = forest.train_outlier_model(split)
     sinks.write_table(trees, store.path(f"models/outliers/{version}"))
+    # The cut is part of the model: later batches are held against the training rows.
+    cut = forest.training_cut(store.read(spark, f"models/outliers/{version}"), split)
+    cuts = spark.createDataFrame([(cut,)], "outlier_cut double")
+    sinks.write_table(cuts, store.path(f"models/outlier_cuts/{version}"))
     ranking = attribution.importance_ranking(
         attribution.feature_attribution(model, held, "event_id")
     )
@@ -83,9 +87,10 @@ def train(log: DataFrame, store: Store, version: str, **params) -> DataFrame:
 
 
 def score(requests: DataFrame, store: Store, version: str) -> DataFrame:
-    """Quality score and outlier flag for a table of requests; bounds are checked first."""
+    """Quality score and outlier flag for a table of requests; bounds are checked first, and
+    rejected requests stay in the result without scores."""
     spark = requests.sparkSession
-    ok, _ = checks.valid_requests(requests)
+    ok, rejected = checks.valid_requests(requests)
     keyed = ok.withColumn(
         "query_key", K.surrogate_key("search_query", "search_intent", "query_category")
     )
@@ -97,7 +102,11 @@ def score(requests: DataFrame, store: Store, version: str) -> DataFrame:
     model = GBTRegressionModel.load(store.path(f"models/quality/{version}"))
     trees = store.read(spark, f"models/outliers/{version}")
     scored = quality.predict(model, served)
-    return forest.score_outliers(trees, scored)
+    cut = store.read(spark, f"models/outlier_cuts/{version}").first()["outlier_cut"]
+    status = F.lit("scored")
+    flagged = forest.score_outliers(trees, scored, offset=cut).withColumn("status", status)
+    refused = rejected.withColumn("status", F.lit("rejected"))
+    return flagged.unionByName(refused, allowMissingColumns=True)
 
 
 def report(log: DataFrame, store: Store) -> list[str]:

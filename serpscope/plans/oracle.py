@@ -359,8 +359,8 @@ versions AS (
 
 _ALERTS = """,
 overall AS (
-  SELECT hour, 1 - score / avg(score) OVER (ORDER BY hour ROWS BETWEEN 24 PRECEDING AND
-      1 PRECEDING) AS fall, p99
+  SELECT hour, 1 - score / avg(score) OVER (ORDER BY hour RANGE BETWEEN
+      INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS fall, p99
   FROM (SELECT date_trunc('hour', "timestamp") AS hour,
           round(sum(search_quality_score), 6) / count(*) AS score,
           quantile_cont(latency_ms, 0.99) AS p99 FROM log GROUP BY 1)
@@ -368,7 +368,7 @@ overall AS (
 seg AS (
   SELECT country, device_type, hour, 1 - score / avg(score) OVER (
       PARTITION BY country, device_type ORDER BY hour
-      ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS fall
+      RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS fall
   FROM (SELECT country, device_type, date_trunc('hour', "timestamp") AS hour,
           round(sum(search_quality_score), 6) / count(*) AS score FROM log GROUP BY 1, 2, 3)
 ),
@@ -838,8 +838,8 @@ def statements() -> dict[str, str]:
         _LINEUP,
     )
     sql["late_rows_dropped"] = on_log(
-        "SELECT count(*) AS late_rows FROM fact WHERE event_timestamp <= "
-        "(SELECT max(event_timestamp) FROM target)",
+        "SELECT count(*) AS late_rows FROM fact WHERE event_timestamp IS NULL OR "
+        "event_timestamp <= (SELECT max(event_timestamp) FROM target)",
         FACT,
         _LINEUP,
     )
@@ -920,7 +920,8 @@ def statements() -> dict[str, str]:
     sql["kpi_change_24h"] = on_log(
         "SELECT day, round(s, 6) AS avg_quality_score, round(s - p, 6) AS change_24h, "
         "round(r, 6) AS revenue, round(r * (greatest(0e0, p - s) / p), 6) AS revenue_at_risk "
-        "FROM (SELECT day, s, r, lag(s) OVER (ORDER BY day) AS p FROM (SELECT "
+        "FROM (SELECT day, s, r, max(s) OVER (ORDER BY day RANGE BETWEEN INTERVAL 1 DAY PRECEDING "
+        "AND INTERVAL 1 DAY PRECEDING) AS p FROM (SELECT "
         'CAST("timestamp" AS DATE) AS day, round(sum(search_quality_score), 6) / count(*) AS s, '
         "round(sum(revenue_estimate_usd), 6) AS r FROM log GROUP BY 1))"
     ).replace("round(r * (greatest(0e0, p - s) / p), 6)",
@@ -936,8 +937,8 @@ def statements() -> dict[str, str]:
         "CASE WHEN n >= 12 AND sd > 0 THEN (x - m) / sd END AS z FROM (SELECT *, "
         "count(x) OVER w AS n, avg(x) OVER w AS m, stddev_samp(x) OVER w AS sd FROM "
         f"(SELECT country, device_type, {_HOURS}, round(sum(latency_ms), 6) / count(*) AS x FROM log "
-        "GROUP BY 1, 2, 3) WINDOW w AS (PARTITION BY country, device_type ORDER BY hour ROWS "
-        "BETWEEN 24 PRECEDING AND 1 PRECEDING)))"
+        "GROUP BY 1, 2, 3) WINDOW w AS (PARTITION BY country, device_type ORDER BY hour RANGE "
+        "BETWEEN INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING)))"
     )
     sql["seasonal_baseline"] = on_log(
         "SELECT hour, round(x, 6) AS avg_latency_ms, round(b, 6) AS seasonal_latency_ms, "
@@ -1028,8 +1029,35 @@ def statements() -> dict[str, str]:
         + " AS block FROM log"
     )
     sql["scd2_merge"] = on_log(
-        "SELECT md5(user_id_masked || '_' || strftime(record_start_timestamp, "
-        "'%Y-%m-%d %H:%M:%S')) AS user_key, * FROM versions",
+        "SELECT md5(user_id_masked) AS user_key, md5(user_id_masked || '_' || "
+        "strftime(record_start_timestamp, '%Y-%m-%d %H:%M:%S')) AS version_key, * FROM versions",
+        DIMS,
+        SCD2,
+    )
+    sql["outlier_tree_samples"] = on_log(
+        "SELECT tree, event_id FROM (SELECT tree, event_id, row_number() OVER (PARTITION BY tree "
+        "ORDER BY md5('42/' || tree || '/' || event_id), event_id) AS n FROM log, "
+        "(SELECT CAST(unnest(range(10)) AS INTEGER) AS tree) WHERE latency_ms IS NOT NULL AND "
+        "page_speed_score IS NOT NULL AND bounce_rate IS NOT NULL) WHERE n <= 256"
+    )
+    sql["overlong_text"] = on_log(
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column_name, 64 AS declared, count(*) FILTER (WHERE length({c}) > 64) "
+            "AS overlong FROM fact"
+            for c in ["event_id", "user_key", "query_key", "system_key", "geo_key", "session_id"]
+        ),
+        FACT,
+    )
+    sql["scd2_orphans"] = on_log(
+        "SELECT count(*) AS orphans FROM fact WHERE user_key NOT IN "
+        "(SELECT md5(user_id_masked) FROM versions)",
+        FACT,
+        DIMS,
+        SCD2,
+    )
+    sql["scd2_untouched"] = on_log(
+        "SELECT user_id_masked, user_key FROM dim_users d WHERE (SELECT count(*) FROM versions v "
+        "WHERE v.user_id_masked = d.user_id_masked) = 1",
         DIMS,
         SCD2,
     )

@@ -21,7 +21,7 @@ def scan_pruned(
 ) -> DataFrame:
     """Only the named columns; a missing table reads as empty."""
     wanted = StructType([schema[c] for c in columns])
-    reader = spark.read.schema(wanted).option("ignoreMissingFiles", "true")
+    reader = spark.read.schema(wanted)
     try:
         # Partition folders add their columns; keep the named ones only.
         return reader.parquet(path).select(*columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,11 +79,13 @@ def counts_frame(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
 def publish(star: dict[str, DataFrame], root: str, version: int) -> dict[str, int]:
     """All tables or none: load into a folder of its own, then append one pointer row.
 
-    A failed load leaves the pointer, and so every reader, on the version before.
+    A failed load leaves the pointer, and so every reader, on the version before. The folder's
+    name is unique, so that two loads at a time cannot overwrite each other.
     """
     spark = star[LOAD_ORDER[0]].sparkSession
-    counts = load_star(star, f"{root}/version={version}")
-    pointer = spark.createDataFrame([(version,)], "version long")
+    folder = f"version-{version}-{uuid.uuid4().hex}"
+    counts = load_star(star, f"{root}/{folder}")
+    pointer = spark.createDataFrame([(version, folder)], "version long, folder string")
     pointer.coalesce(1).write.mode("append").parquet(f"{root}/_published")
     return counts
 
@@ -97,7 +100,9 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/version={current_version(spark, root)}/{table}")
+    published = spark.read.parquet(f"{root}/_published")
+    newest = published.agg(F.max(F.struct("version", "folder")).alias("newest")).first()["newest"]
+    return spark.read.parquet(f"{root}/{newest['folder']}/{table}")
 
 
 def full_refresh(star: dict[str, DataFrame], root: str) -> dict[str, int]:

@@ -125,6 +125,18 @@ def test_forest_finds_far_points(points):
     assert all((r.label == -1) == r.is_anomaly == (r.anomaly_score < 0) for r in scored)
 
 
+def test_normal_batch_is_held_against_the_training_cut(spark, points):
+    gap = spark.createDataFrame([("gap", None, 1.0)], points.schema)
+    forest = materialize(OF.train_outlier_model(points, ["a", "b"], "id", 50, 64), "forest")
+    cut = OF.training_cut(forest, points, ["a", "b"])
+    middle = points.where("abs(a) < 0.5 and abs(b) < 0.5").unionByName(gap)
+    scored = OF.score_outliers(forest, middle, ["a", "b"], offset=cut).collect()
+    assert sum(bool(r.is_anomaly) for r in scored) == 0
+    last = next(r for r in scored if r.id == "gap")
+    assert (last.anomaly_score, last.label, last.is_anomaly) == (None, None, None)
+    assert {r.sample_rows for r in forest.collect()} == {64}
+
+
 def test_forest_does_not_depend_on_partitioning(points):
     one = OF.train_outlier_model(points.repartition(1), ["a", "b"], "id", 10, 64)
     many = OF.train_outlier_model(points.repartition(6), ["a", "b"], "id", 10, 64)
@@ -144,7 +156,10 @@ def test_tree_samples_stay_small_and_distinct(points):
     assert few.count() == 4 * 32
     many = OF.tree_samples(points, ["a", "b"], "id", 100, 64, 1)
     sizes = [r[1] for r in many.groupBy("tree").count().collect()]
-    assert len(sizes) == 100 and max(sizes) < 200
+    assert sizes == [64] * 100
+    # Fewer rows than asked for: every tree has all of them.
+    short = OF.tree_samples(points.limit(40), ["a", "b"], "id", 5, 64, 1)
+    assert [r[1] for r in short.groupBy("tree").count().collect()] == [40] * 5
     assert many.groupBy("tree", "a", "b").count().where("count > 1").count() == 0
 
 

@@ -134,6 +134,9 @@ def test_psi_of_equal_and_shifted_periods(spark):
     assert M.drift_psi(df, ["x"]).first().psi == 0
     moved = df.withColumn("x", F.when(F.col("period") == "current", 49.0).otherwise(F.col("x")))
     assert M.drift_psi(moved, ["x"]).first().drifted
+    for gone in ("period = 'current'", "period = 'baseline'", "false"):
+        row = M.drift_psi(moved.where(gone), ["x"]).first()
+        assert (row.feature, row.psi, row.drifted) == ("x", None, None)
 
 
 def _hours(spark, scores, latency=100.0):

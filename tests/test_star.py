@@ -172,7 +172,8 @@ def test_scd2_merge_and_lookup(spark):
     assert (opened.is_current_record, opened.age, opened.record_end_timestamp) == (1, 77, None)
     assert len(by_user["usr_xyz"]) == 1 and by_user["usr_xyz"][0].is_current_record == 1
     assert len(by_user["usr_new"]) == 1
-    assert Q.duplicate_keys(merged, ["user_key"]).count() == 0
+    assert Q.duplicate_keys(merged, ["version_key"]).count() == 0
+    assert all(len({r.user_key for r in versions}) == 1 for versions in by_user.values())
     # A second merge keeps history.
     assert I.scd2_merge(merged, frame).count() == merged.count()
 
