@@ -16,7 +16,7 @@ INVERSE = pow(BASE, -1, 1 << 64)
 # A random number for each byte, and 0 for the characters between words: 0x20 and 0x09-0x0D.
 _BYTES = np.random.default_rng(1302).integers(1, 1 << 64, 256, dtype=np.uint64)
 _BYTES[[*range(0x09, 0x0E), 0x20]] = 0
-_SOLID = _BYTES != 0
+_SOLID = bytes((_BYTES != 0).astype(np.uint8).tolist())
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -32,16 +32,19 @@ def _powers_of(base: int, n: int) -> np.ndarray:
 
 def word_hashes(text: bytes | None) -> np.ndarray:
     """Hashes of the words of a text, those of `text.split()`."""
-    codes = np.frombuffer(text or b"", dtype=np.uint8)
-    solid = np.zeros(len(codes) + 1, dtype=bool)
-    solid[1:] = _SOLID[codes]
-    start = np.flatnonzero(solid[1:] & ~solid[:-1])
+    if not text:
+        return np.zeros(0, dtype=np.uint64)
+    solid = np.frombuffer(b"\0" + text.translate(_SOLID), dtype=bool)
+    start = np.flatnonzero(solid[1:] > solid[:-1])
     if not len(start):
         return np.zeros(0, dtype=np.uint64)
-    size = np.diff(start, append=len(codes))
-    place = np.arange(start[0], len(codes)) - np.repeat(start, size)
-    terms = _BYTES[codes[start[0] :]] * _powers_of(BASE, int(size.max()))[place]
-    return mix(np.add.reduceat(terms, start - start[0]))
+    codes = np.frombuffer(text, dtype=np.uint8)[start[0] :]
+    size = np.diff(start, append=len(text))
+    start -= start[0]
+    place = np.arange(len(codes)) - np.repeat(start, size)
+    powers = _powers_of(BASE, int(size.max()))
+    terms = np.take(_BYTES, codes, mode="clip") * np.take(powers, place, mode="clip")
+    return mix(np.add.reduceat(terms, start))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
