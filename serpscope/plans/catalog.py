@@ -53,10 +53,18 @@ def on_star(name: str, build: Callable[[dict[str, DataFrame]], DataFrame]) -> No
     QUERIES[name] = lambda spark, data: build(D.build_star(L.load_log(spark, data)))
 
 
-def on_features(name: str, build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> None:
+def on_features(
+    name: str,
+    build: Callable[[DataFrame, DataFrame | None, DataFrame | None], DataFrame],
+    uses: tuple[str, ...] = ("user", "query"),
+) -> None:
+    """Only the feature tables that are used are built: building one may run jobs."""
+
     def run(spark: SparkSession, data: str) -> DataFrame:
         log = L.load_log(spark, data)
-        return build(log, FT.user_daily_features(log), FT.query_daily_features(log))
+        users = FT.user_daily_features(log) if "user" in uses else None
+        queries = FT.query_daily_features(log) if "query" in uses else None
+        return build(log, users, queries)
 
     QUERIES[name] = run
 
@@ -302,10 +310,12 @@ def _asof(log, features, on, columns, **options) -> DataFrame:
 
 
 on_features(
-    "asof_user_features", lambda log, uf, qf: _asof(log, uf, "user_id_masked", S.USER_FEATURES)
+    "asof_user_features", lambda log, uf, qf: _asof(log, uf, "user_id_masked", S.USER_FEATURES),
+    uses=("user",),
 )
 on_features(
-    "asof_query_features", lambda log, uf, qf: _asof(log, qf, "query_key", S.QUERY_FEATURES)
+    "asof_query_features", lambda log, uf, qf: _asof(log, qf, "query_key", S.QUERY_FEATURES),
+    uses=("query",),
 )
 
 
@@ -373,17 +383,21 @@ on_log("kpi_overview", R.kpi_overview)
 on_log("daily_volume", R.daily_volume)
 on_log("score_histogram", lambda log: R.histogram(log, S.LABEL, 0.0, 100.0, 50))
 on_features(
-    "describe_user_features", lambda log, uf, qf: R.describe_exact(uf, S.USER_FEATURES)
+    "describe_user_features", lambda log, uf, qf: R.describe_exact(uf, S.USER_FEATURES),
+    uses=("user",),
 )
 on_features(
-    "describe_query_features", lambda log, uf, qf: R.describe_exact(qf, S.QUERY_FEATURES)
+    "describe_query_features", lambda log, uf, qf: R.describe_exact(qf, S.QUERY_FEATURES),
+    uses=("query",),
 )
 on_log("dim_distinct", lambda log: D.dim_distinct(log, S.SYSTEM_ATTRS))
 on_features(
-    "latest_user_snapshot", lambda log, uf, qf: FT.latest_snapshot(uf, "user_id_masked", O.AS_OF)
+    "latest_user_snapshot", lambda log, uf, qf: FT.latest_snapshot(uf, "user_id_masked", O.AS_OF),
+    uses=("user",),
 )
 on_features(
-    "latest_query_snapshot", lambda log, uf, qf: FT.latest_snapshot(qf, "query_key", O.AS_OF)
+    "latest_query_snapshot", lambda log, uf, qf: FT.latest_snapshot(qf, "query_key", O.AS_OF),
+    uses=("query",),
 )
 on_star("high_watermark", lambda s: I.high_watermark(s["fct_search_events"]))
 on_log("dq_statistics", lambda log: Q.dq_statistics(Q.validate_events(log)))
@@ -408,7 +422,8 @@ on_features(
 )
 on_star("session_event_sequence", lambda s: D.add_sequence(s["fct_search_events"]))
 on_features(
-    "first_n", lambda log, uf, qf: R.first_n(uf, ["user_id_masked", "event_timestamp"], 100)
+    "first_n", lambda log, uf, qf: R.first_n(uf, ["user_id_masked", "event_timestamp"], 100),
+    uses=("user",),
 )
 
 
@@ -976,15 +991,21 @@ def _(spark, data):
     return spark.read.parquet(f"{path}/data").select(*S.FACT)
 
 
+def _timed(log: DataFrame) -> DataFrame:
+    return log.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+
+
 @query("stream_tumbling_quality")
 def _(spark, data):
     path = scratch_path(spark, "stream-hours")
     ST.tumbling_quality(ST.stream_log(spark, data), path)
-    return spark.read.parquet(f"{path}/data")
+    events = _timed(L.load_log(spark, data))
+    return ST.with_open_rows(ST.quality_windows(events), path, ["window_start", "device_type"])
 
 
 @query("stream_sessions")
 def _(spark, data):
     path = scratch_path(spark, "stream-sessions")
     ST.stream_sessions(ST.stream_log(spark, data), path)
-    return spark.read.parquet(f"{path}/data")
+    events = _timed(L.load_log(spark, data))
+    return ST.with_open_rows(ST.sessions(events), path, ["user_id_masked", "session_start"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from serpscope import schema as S
 from serpscope.operators.kpi import mart
 from serpscope.operators.star import fact_with_keys
+from serpscope.session import materialize
 from serpscope.sources.log import derive_log
 
 
@@ -50,13 +51,10 @@ def ingest_fact(log: DataFrame, path: str, delay: str = "2 hours") -> None:
     run_available(fact, path, ["event_date"])
 
 
-def tumbling_quality(
-    log: DataFrame, path: str, width: str = "1 hour", delay: str = "2 hours"
-) -> None:
-    """Metrics per device and window, written once the window is closed by the watermark."""
-    windows = mart(
-        with_watermark(log, delay),
-        {"window": F.window("event_time", width), "device_type": F.col("device_type")},
+def quality_windows(events: DataFrame, width: str = "1 hour") -> DataFrame:
+    """Metrics per device and window of ``event_time``, for a stream or a table."""
+    return mart(
+        events, {"window": F.window("event_time", width), "device_type": F.col("device_type")}
     ).select(
         F.col("window.start").cast("timestamp_ntz").alias("window_start"),
         "device_type",
@@ -65,16 +63,19 @@ def tumbling_quality(
         F.round(F.col("latency_sum") / F.col("events"), 6).alias("avg_latency_ms"),
         F.round(F.col("score_sum") / F.col("events"), 6).alias("avg_quality_score"),
     )
-    run_available(windows, path)
 
 
-def stream_sessions(
-    log: DataFrame, path: str, gap: str = "30 minutes", delay: str = "2 hours"
+def tumbling_quality(
+    log: DataFrame, path: str, width: str = "1 hour", delay: str = "2 hours"
 ) -> None:
-    """Sessions per user, written once no further event can join them."""
-    sessions = (
-        with_watermark(log, delay)
-        .groupBy("user_id_masked", F.session_window("event_time", gap).alias("session"))
+    """Metrics per device and window, written once the window is closed by the watermark."""
+    run_available(quality_windows(with_watermark(log, delay), width), path)
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Sessions per user by ``event_time``, for a stream or a table."""
+    return (
+        events.groupBy("user_id_masked", F.session_window("event_time", gap).alias("session"))
         .agg(F.count(F.lit(1)).alias("events"), F.sum("clicks").alias("clicks"))
         .select(
             "user_id_masked",
@@ -84,4 +85,22 @@ def stream_sessions(
             "clicks",
         )
     )
-    run_available(sessions, path)
+
+
+def stream_sessions(
+    log: DataFrame, path: str, gap: str = "30 minutes", delay: str = "2 hours"
+) -> None:
+    """Sessions per user, written once no further event can join them."""
+    run_available(sessions(with_watermark(log, delay), gap), path)
+
+
+def with_open_rows(computed: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """What a stream has written, and the rows it still holds open at its end.
+
+    ``computed`` is the same result over all events as a table; rows of it whose keys the stream
+    has not written are those that the watermark left open.
+    """
+    # Written first: the optimizer would move the anti-join below the merging of session windows.
+    computed = materialize(computed, "batch-rows")
+    written = computed.sparkSession.read.schema(computed.schema).parquet(f"{path}/data")
+    return written.unionByName(computed.join(written.select(*keys), keys, "left_anti"))
