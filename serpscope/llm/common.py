@@ -122,7 +122,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = links.select(
         F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     ).where("u > v").distinct()
-    edges, before = materialize(edges, "edges"), None
+
+    def state(of: DataFrame):
+        return of.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    edges = materialize(edges, "edges")
+    before = state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
@@ -138,10 +143,28 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .distinct()
         )
         edges = materialize(small, "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        after = state(edges)
+        if after == before:
             break
-        before = state
+        before = after
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return nodes.unionByName(roots)
+
+
+def tile_pairs(df: DataFrame, key: str, order: str, size: int, name: str) -> DataFrame:
+    """Rows dealt so that all rows of a key meet in pairs of tiles, none of them large.
+
+    Rows are cut into tiles of `size` in the order of the key, so small keys share a tile and a
+    large one fills several. Each row is repeated for every pair of tiles that its key reaches; a
+    group by (`low`, `high`) has two tiles at most. `tile` tells them apart.
+    """
+    placed = global_rank(df, [key, order], name).withColumn("tile", F.floor(F.col("rank") / size))
+    reach = placed.groupBy(key).agg(F.min("tile").alias("_from"), F.max("tile").alias("_to"))
+    return (
+        placed.join(reach, key)
+        .withColumn("_other", F.explode(F.sequence("_from", "_to")))
+        .withColumn("low", F.least("tile", "_other"))
+        .withColumn("high", F.greatest("tile", "_other"))
+        .drop("rank", "_from", "_to", "_other")
+    )

@@ -6,25 +6,27 @@ the evaluations give a signature of the same length. Bands of signature values p
 whole shingle sets decide them.
 
 Pairs are never enumerated within a band bucket. Documents with equal sets form one class first.
-Each bucket then compares its members with one of them, links are merged into components, and only
-buckets whose members still lie in different components go on, with another member in the middle.
-When few pairs across components are left, all of those are compared. So no candidate pair that
-could still join two components goes untested, and a bucket of near copies costs about one
-comparison for each member.
+Each bucket then compares its members with two of them, and links are merged into components. Only
+buckets whose members still lie in different components go on: their members are compared across
+components, in tiles of bounded size. Sizes and whole signatures leave few pairs to decide by whole
+sets, the likeliest first, and a pair that a link found before already joins is settled. A tile
+gives out those links only. So a bucket of near copies emits about as many rows as it has members,
+and no candidate pair that could still join two components is passed over.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serpscope.llm.common import Spans, components, signed, word_hashes
+from serpscope.llm.common import Spans, components, signed, tile_pairs, word_hashes
 from serpscope.session import materialize
 
 #: Words of a shingle.
@@ -36,10 +38,11 @@ ROWS = 5
 BANDS = 2 * PERMUTATIONS // ROWS
 #: Shingles that are permuted at a time, to bound memory for very long texts.
 CHUNK = 8192
-#: All pairs left across components are compared once they are at most so many for each document.
-LEFT_PER_DOCUMENT = 2
-#: Rounds with one member of each bucket in the middle before all pairs left are compared.
-ROUNDS = 6
+#: Members of a bucket whose signatures are compared at a time.
+TILE = 512
+#: Standard deviations by which the agreement of two signatures may stay below its mean at the
+#: similarity asked for; beyond that (chance 3e-7) whole sets are not compared.
+DEVIATIONS = 5.0
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(0, 1 << 63, PERMUTATIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -66,33 +69,40 @@ def signature(values: np.ndarray) -> np.ndarray:
     return np.concatenate((low, high))
 
 
-def bands(values: np.ndarray) -> list[int]:
-    """One key for each band; a band's number is part of it."""
-    sign = signature(values)[: BANDS * ROWS].reshape(ROWS, BANDS)
+def bands(sign: np.ndarray) -> list[int]:
+    """One key for each band of a signature; a band's number is part of it."""
+    sign = sign[: BANDS * ROWS].reshape(ROWS, BANDS)
     keys = [xxhash.xxh64_intdigest(np.ascontiguousarray(sign[:, b]), seed=b) for b in range(BANDS)]
     return signed(np.array(keys, dtype=np.uint64)).tolist()
 
 
-SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>"
+SIGNED = "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch binary"
 
 
 def _sign(batches):
-    """Size, key and band keys of each document's shingle set."""
+    """Size, key, band keys and sketch of each document's shingle set."""
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
             ("n_shingles", pa.int64()),
             ("set_key", pa.binary()),
             ("bands", pa.list_(pa.int64())),
+            ("sketch", pa.binary()),
         ]
     )
+
+    def row(doc_id, text):
+        found = shingles(text)
+        if not len(found):
+            return doc_id, 0, None, None, None
+        sign = signature(found)
+        # The lowest byte of each value is enough to count agreements.
+        sketch = (sign & np.uint64(255)).astype(np.uint8).tobytes()
+        return doc_id, len(found), xxhash.xxh3_128_digest(found), bands(sign), sketch
+
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        sets = map(shingles, batch.column("text").cast(pa.binary()).to_pylist())
-        rows = [
-            (i, len(s), xxhash.xxh3_128_digest(s), bands(s)) if len(s) else (i, 0, None, None)
-            for i, s in zip(ids, sets)
-        ]
+        rows = list(map(row, ids, batch.column("text").cast(pa.binary()).to_pylist()))
         columns = zip(*rows) if rows else ([] for _ in schema)
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
@@ -141,6 +151,80 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirm(percent), "a long, b long")
 
 
+def _least_agreement(percent: int) -> float:
+    """Agreeing signature values below which a pair is taken to be less similar."""
+    n, p = 2 * PERMUTATIONS, percent / 100
+    return n * p - DEVIATIONS * math.sqrt(n * p * (1 - p))
+
+
+def _across(percent: int):
+    """Links between different components among the members of two tiles."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "node"])
+        low = rows["low"].iloc[0]
+        apart = low != rows["high"].iloc[0]
+        bucket, node, part, size, tile = (
+            rows[c].to_numpy() for c in ("bucket", "node", "part", "n_shingles", "tile")
+        )
+        packed = rows["packed"].to_list()
+        sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+        edge = np.flatnonzero(np.diff(bucket)) + 1
+        first, second, alike = [], [], []
+        for a, b in zip(np.concatenate(([0], edge)), np.concatenate((edge, [len(rows)]))):
+            own = np.arange(a, b)
+            one, other = (own[tile[own] == low], own[tile[own] != low]) if apart else (own, own)
+            if not len(one) or not len(other):
+                continue
+            fits = part[one][:, None] != part[other][None, :]
+            fits &= 100 * size[one][:, None] >= percent * size[other][None, :]
+            fits &= 100 * size[other][None, :] >= percent * size[one][:, None]
+            if not apart:
+                fits &= one[:, None] < other[None, :]
+            x, y = np.nonzero(fits)
+            x, y = one[x], other[y]
+            for at in range(0, len(x), 1 << 16):
+                i, j = x[at : at + (1 << 16)], y[at : at + (1 << 16)]
+                same = (sketch[i] == sketch[j]).sum(axis=1)
+                fits = same >= _least_agreement(percent)
+                first.append(i[fits])
+                second.append(j[fits])
+                alike.append(same[fits])
+        if not first:
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        first, second, alike = map(np.concatenate, (first, second, alike))
+        press = zstandard.ZstdDecompressor()
+        sets: dict[int, np.ndarray] = {}
+        joined: dict[int, int] = {}
+
+        def top(label: int) -> int:
+            while label in joined:
+                label = joined[label]
+            return label
+
+        def own_set(i: int) -> np.ndarray:
+            if node[i] not in sets:
+                sets[node[i]] = shingles(press.decompress(packed[i]))
+            return sets[node[i]]
+
+        links, tried = [], set()
+        order = np.argsort(-alike, kind="stable")
+        for i, j in zip(first[order].tolist(), second[order].tolist()):
+            p, q = top(part[i]), top(part[j])
+            pair = (node[i], node[j])
+            if p == q or pair in tried:
+                continue
+            tried.add(pair)
+            x, y = own_set(i), own_set(j)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                links.append(pair)
+                joined[max(p, q)] = min(p, q)
+        return pd.DataFrame(links or None, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """Components of documents that share at least `percent` of 100 of their joint shingles.
 
@@ -157,7 +241,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = materialize(
         marked.where("doc_id is not null and set_key is not null")
         .groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("node"),
+            # Equal sets have equal values.
+            *(F.first(c).alias(c) for c in ("n_shingles", "bands", "sketch")),
+        ),
         "minmax-classes",
     )
     placed = classes.select("node", F.explode("bands").alias("bucket"))
@@ -166,12 +254,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .where("low < high")
     )
-    members = materialize(
-        placed.join(crowded.select("bucket", "low"), "bucket").select(
-            "bucket", "node", F.col("low").alias("center")
-        ),
-        "minmax-buckets",
-    )
+    members = materialize(placed.join(crowded, "bucket"), "minmax-buckets")
     candidates = members.select(F.col("node").alias("doc_id")).distinct()
     texts = materialize(
         docs.where("text is not null and doc_id is not null")
@@ -179,43 +262,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         .join(candidates, "doc_id", "left_semi"),
         "minmax-texts",
     )
-    pairs = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b"))
-    links = [materialize(confirm(pairs.distinct(), texts, percent), "minmax-links")]
-    n_nodes, last = classes.count(), False
-    for round_ in range(1, ROUNDS + 1):
-        # Rows that share an id but not their text are one node of several classes.
-        merged = components(reduce(DataFrame.unionByName, links))
-        part = F.coalesce("component", "node")
-        labelled = members.join(merged, "node", "left").select("bucket", "node", part.alias("part"))
-        if last:
-            break
-        mixed = (
-            labelled.groupBy("bucket")
-            .agg(F.min("part").alias("low"), F.max("part").alias("high"))
-            .where("low < high")
-            .select("bucket")
-        )
-        labelled = materialize(labelled.join(mixed, "bucket", "left_semi"), "minmax-open")
-        sizes = labelled.groupBy("bucket", "part").agg(F.count("*").cast("double").alias("n"))
-        sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.expr("n * n")).alias("s"))
-        left = sizes.agg(F.sum(F.expr("(n * n - s) / 2"))).first()[0] or 0.0
-        if not left:
-            break
-        last = left <= LEFT_PER_DOCUMENT * n_nodes or round_ == ROUNDS - 1
-        if last:
-            other = labelled.select("bucket", F.col("node").alias("b"), F.col("part").alias("part_b"))
-            pairs = labelled.join(other, "bucket").where("node < b and part <> part_b")
-        else:
-            order = F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "part")
-            middle = labelled.groupBy("bucket").agg(F.min(order).alias("m"))
-            middle = middle.select(
-                "bucket", F.col("m.node").alias("b"), F.col("m.part").alias("part_b")
-            )
-            pairs = labelled.join(middle, "bucket").where("part <> part_b")
-        pairs = pairs.select(F.col("node").alias("a"), "b").distinct()
-        links.append(materialize(confirm(pairs, texts, percent), "minmax-links"))
-    found = classes.select("set_key", "node").join(merged, "node", "left")
-    found = found.select("set_key", F.coalesce("component", "node").alias("component_id"))
+    pairs = members.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b"))
+    pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = materialize(confirm(pairs.distinct(), texts, percent), "minmax-links")
+    merged = materialize(components(links), "minmax-components")
+
+    labelled = members.drop("low", "high").join(merged, "node", "left")
+    labelled = labelled.withColumn("part", F.coalesce("component", "node")).drop("component")
+    mixed = (
+        labelled.groupBy("bucket")
+        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
+        .where("least < most")
+        .select("bucket")
+    )
+    left = labelled.join(mixed, "bucket", "left_semi")
+    facts = classes.select("node", "n_shingles", "sketch")
+    late = (
+        tile_pairs(left, "bucket", "node", TILE, "minmax-tiles")
+        .join(facts, "node")
+        .join(texts.toDF("node", "packed"), "node")
+        .groupBy("low", "high")
+        .applyInPandas(_across(percent), "a long, b long")
+        .distinct()
+    )
+    late = materialize(late, "minmax-links")
+    names = merged.select("node", "component")
+    joined = (
+        late.join(names.toDF("a", "part_a"), "a", "left")
+        .join(names.toDF("b", "part_b"), "b", "left")
+        .select(F.coalesce("part_a", "a").alias("a"), F.coalesce("part_b", "b").alias("b"))
+    )
+    last = materialize(components(joined), "minmax-components").toDF("component", "last")
+    own = classes.select("set_key", "node").join(merged, "node", "left")
+    own = own.withColumn("component", F.coalesce("component", "node"))
+    own = own.join(last, "component", "left")
+    found = own.select("set_key", F.coalesce("last", "component").alias("component_id"))
     result = marked.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     own = F.coalesce("component_id", "doc_id")
     return result.select(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from serpscope.llm.common import components, global_rank
+from serpscope.llm.common import components, global_rank, tile_pairs
 from serpscope.session import materialize
 
 #: Signs in a hash; they fit a positive long.
@@ -176,16 +176,8 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     merged = materialize(components(links), "vector-components")
 
     inside = classes.join(merged, "node").withColumn("width", F.size("vector"))
-    inside = global_rank(inside, ["component", "node"], "vector-tiles")
-    inside = inside.withColumn("tile", F.floor(F.col("rank") / TILE))
-    reach = inside.groupBy("component").agg(
-        F.min("tile").alias("from"), F.max("tile").alias("to")
-    )
     counts = (
-        inside.join(reach, "component")
-        .withColumn("other", F.explode(F.sequence("from", "to")))
-        .withColumn("low", F.least("tile", "other"))
-        .withColumn("high", F.greatest("tile", "other"))
+        tile_pairs(inside, "component", "node", TILE, "vector-tiles")
         .groupBy("low", "high")
         .applyInPandas(_tile_counts(threshold), "node long, n long")
         .groupBy("node")
