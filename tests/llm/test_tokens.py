@@ -12,7 +12,7 @@ from serpscope.llm.tokens import BYTE_BPE, END_ID, WORD_BPE, Encoder
 
 OWN = {path: Encoder(path) for path in (BYTE_BPE, WORD_BPE)}
 TEXTS = st.text(
-    st.sampled_from("aB's 09\n\t\r\x0b\x1c\x1f\x85\xa0 ​́éÅΣß漢🙂<|>!") | st.characters(exclude_categories=["Cs"]),
+    st.sampled_from("aBtsl''s 09$,_\n\t\r\x0b\x1c\x1f\x85\xa0 ​́éÅΣß漢🙂<|>!") | st.characters(exclude_categories=["Cs"]),
     max_size=40,
 )
 
