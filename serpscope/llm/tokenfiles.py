@@ -25,7 +25,9 @@ from serpscope.llm.tokens import BYTE_BPE, encoder, groups_of, with_end
 from serpscope.session import materialize, scratch_path
 
 #: Ids after which a block is closed; a longer document is a block of its own.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 16
+#: Bytes of a row group: writers buffer so much for each task.
+ROW_GROUP = 8 << 20
 
 # Lengths of the four values of each control byte.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
@@ -78,7 +80,7 @@ def _tokens(path: str):
 
         def block():
             sizes = np.array([len(t) for t in tokens], dtype="<u8").tobytes()
-            flat = np.concatenate(tokens).astype("<u4").tobytes()
+            flat = np.concatenate(tokens).tobytes()
             return pa.RecordBatch.from_pydict(
                 {"part": [part], "block": [number], "doc_ids": [ids], "sizes": [sizes], "raw": [flat]},
                 pa.schema(
@@ -114,39 +116,44 @@ def _tokens(path: str):
     return run
 
 
-def _frequencies(batches):
+def _raw_ids(column: pa.Array, at: int, path: str) -> np.ndarray:
+    return np.frombuffer(column[at].as_buffer(), dtype=encoder(path).kind)
+
+
+def _frequencies(path: str):
     """How often each id occurs in a task."""
-    count = np.zeros(0, dtype=np.int64)
-    for batch in batches:
-        for raw in batch.column("raw").to_pylist():
-            own = np.bincount(np.frombuffer(raw, dtype="<u4"))
-            if len(own) > len(count):
-                count = np.concatenate((count, np.zeros(len(own) - len(count), dtype=np.int64)))
-            count[: len(own)] += own
-    used = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], ["id", "n"])
 
+    def run(batches):
+        count = np.zeros(encoder(path).tokenizer.get_vocab_size(), dtype=np.int64)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                ids = _raw_ids(batch.column("raw"), at, path)
+                count += np.bincount(ids, minlength=len(count))
+        used = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], ["id", "n"])
+
+    return run
 
-def _code(rank_of: np.ndarray):
+
+def _code(path: str, rank_of: np.ndarray):
     def run(batches):
+        names = ("part", "block", "doc_ids", "sizes")
         for batch in batches:
-            coded = [
-                encode_values(rank_of[np.frombuffer(raw, dtype="<u4")])
-                for raw in batch.column("raw").to_pylist()
-            ]
-            control, data = zip(*coded) if coded else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in ("part", "block", "doc_ids", "sizes")),
-                    pa.array(control, pa.binary()),
-                    pa.array(data, pa.binary()),
-                ],
-                ["part", "block", "doc_ids", "sizes", "control", "data"],
-            )
+            for at in range(batch.num_rows):
+                control, data = encode_values(rank_of[_raw_ids(batch.column("raw"), at, path)])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(at, 1) for c in names),
+                        pa.array([control], pa.binary()),
+                        pa.array([data], pa.binary()),
+                    ],
+                    [*names, "control", "data"],
+                )
 
     return run
 
 
+_WRITER = {"parquet.block.size": ROW_GROUP, "compression": "zstd"}
 BLOCK = "part int, block long, doc_ids array<long>, sizes binary"
 
 
@@ -166,16 +173,19 @@ def write_tokens(docs: DataFrame, target: str, path: str = BYTE_BPE) -> None:
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
     )
-    raw = materialize(ordered.mapInArrow(_tokens(path), f"{BLOCK}, raw binary"), "token-blocks")
-    counts = raw.select("raw").mapInArrow(_frequencies, "id long, n long")
+    held = scratch_path(spark, "token-blocks")
+    schema = f"{BLOCK}, raw binary"
+    ordered.mapInArrow(_tokens(path), schema).write.options(**_WRITER).parquet(held)
+    raw = spark.read.schema(schema).parquet(held)
+    counts = raw.select("raw").mapInArrow(_frequencies(path), "id long, n long")
     counts = counts.groupBy("id").agg(F.sum("n").alias("n")).collect()
     by_rank = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
     rank_of = np.zeros(max(by_rank, default=0) + 1, dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
     ranks = spark.createDataFrame(list(enumerate(by_rank)), "rank long, id long")
     ranks.coalesce(1).write.parquet(f"{target}/ranks")
-    coded = raw.mapInArrow(_code(rank_of), f"{BLOCK}, control binary, data binary")
-    coded.write.parquet(f"{target}/blocks")
+    coded = raw.mapInArrow(_code(path, rank_of), f"{BLOCK}, control binary, data binary")
+    coded.write.options(**_WRITER).parquet(f"{target}/blocks")
 
 
 def _decode(by_rank: np.ndarray):
