@@ -3,6 +3,7 @@ import random
 from brute import documents, edit_distance
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from texts import corpus  # noqa: F401
 
 from serpscope.llm import decontaminate as D
 

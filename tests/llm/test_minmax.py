@@ -1,5 +1,6 @@
 import numpy as np
 from brute import documents, near_copies
+from texts import corpus  # noqa: F401
 
 from serpscope.llm import minmax as M
 

@@ -3,6 +3,7 @@ import hashlib
 from brute import base_spans, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from texts import corpus  # noqa: F401
 
 from serpscope.llm import pii
 

@@ -1,5 +1,6 @@
 import pytest
 from brute import documents, windows_removed
+from texts import corpus  # noqa: F401
 
 from serpscope.llm.substring import substring_dedup
 

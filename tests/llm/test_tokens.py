@@ -6,6 +6,7 @@ from brute import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
+from texts import corpus  # noqa: F401
 
 from serpscope.llm import packing, tokenfiles
 from serpscope.llm.tokens import BYTE_BPE, END_ID, WORD_BPE, Encoder

@@ -1,11 +1,9 @@
+"""Texts that the tests of corpus operators share."""
+
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 
 @pytest.fixture(scope="session")
 def corpus():
