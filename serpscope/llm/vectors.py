@@ -5,9 +5,14 @@ by it: close vectors share a long prefix and come to stand near each other. Vect
 with their neighbours in a bounded window, and the verified pairs of all passes are united. Equal
 vectors are one class and are compared once.
 
-A window bounds what one pass finds, not the result: components joined by the passes are then
-compared whole, in tiles of bounded size, so that a dense group larger than a window keeps all its
-links.
+A pair at the threshold shares the first `depth` signs of a pass with a chance that depends on the
+depth alone, not on how the vectors lie. How many rows share them does depend on that, so it is
+counted for each label; depth and passes are the cheapest that give RECALL. Rows that share them
+are compared whole: by windows while they fit one, else in tiles of bounded size, unless windows
+have joined them all.
+
+Components joined by the passes are then compared whole, in tiles too, so that a dense group larger
+than a window keeps all its links.
 """
 
 from __future__ import annotations
@@ -31,19 +36,23 @@ WINDOW = 128
 RUN = 512
 #: Rows on each side of a tile.
 TILE = 512
+#: Rows on each side of a tile of rows that share their first signs.
+BLOCK = 2048
+#: Numbers of first signs to choose from.
+DEPTHS = range(0, 33, 2)
+#: Comparisons in a tile that take as long as one row in one pass; weighs passes against tiles.
+PASS = 1500
 #: Chance aimed at for a pair just at the threshold to meet in some pass.
 RECALL = 0.97
 
 
-def passes_for(n: int, threshold: float) -> int:
-    """Passes after which a pair at the threshold has met in a window with probability RECALL.
+def passes_for(depth: int, threshold: float) -> int:
+    """Passes after which a pair at the threshold has shared its first signs with chance RECALL.
 
-    Two such vectors differ in a sign with probability angle / pi, and meet if the first
-    log2(n / window) signs agree.
+    Two such vectors differ in a sign with probability angle / pi, wherever they lie.
     """
-    agree = 1 - math.acos(threshold) / math.pi
-    meet = agree ** max(1.0, math.log2(max(2, n) / WINDOW))
-    return max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - meet)))
+    meet = (1 - math.acos(min(1.0, threshold)) / math.pi) ** depth
+    return 1 if meet >= RECALL else math.ceil(math.log(1 - RECALL) / math.log(1 - meet))
 
 
 def _valid(vector: str) -> str:
@@ -60,30 +69,100 @@ def _matrix(column) -> np.ndarray:
     return values / np.linalg.norm(values, axis=1, keepdims=True)
 
 
-def _hash(passes: int):
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            vectors = batch.column("vector").to_pylist()
-            widths = np.array([len(v) for v in vectors])
-            for width in np.unique(widths):
-                at = np.flatnonzero(widths == width)
-                rows, own = _matrix([vectors[i] for i in at]), batch.take(pa.array(at))
-                for number in range(passes):
-                    planes = np.random.default_rng([number, width]).standard_normal((width, BITS))
-                    code = ((rows @ planes) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(len(at), number, dtype=np.int32)),
-                            own.column("label"),
-                            pa.array(np.full(len(at), width, dtype=np.int32)),
-                            pa.array(code.astype(np.int64)),
-                            own.column("node"),
-                            own.column("vector"),
-                        ],
-                        ["turn", "label", "width", "code", "node", "vector"],
-                    )
+def _hash(batches):
+    """A row for each of the `passes` of a vector."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        vectors = batch.column("vector").to_pylist()
+        widths = np.array([len(v) for v in vectors])
+        passes = np.array(batch.column("passes").to_pylist())
+        for width in np.unique(widths):
+            at = np.flatnonzero(widths == width)
+            at = at[np.argsort(-passes[at], kind="stable")]
+            rows, own = _matrix([vectors[i] for i in at]), batch.take(pa.array(at))
+            for number in range(passes[at[0]]):
+                n = int((passes[at] > number).sum())
+                planes = np.random.default_rng([number, width]).standard_normal((width, BITS))
+                code = ((rows[:n] @ planes) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n, number, dtype=np.int32)),
+                        own.column("label")[:n],
+                        pa.array(np.full(n, width, dtype=np.int32)),
+                        own.column("depth")[:n],
+                        pa.array(code.astype(np.int64)),
+                        own.column("node")[:n],
+                        own.column("vector")[:n],
+                    ],
+                    ["turn", "label", "width", "depth", "code", "node", "vector"],
+                )
+
+
+def _depths(classes: DataFrame, kind: str, vector: str, threshold: float) -> DataFrame:
+    """`label`, `width`, `depth`, `passes`: the cheapest depth by the rows that share signs in a pass.
+
+    A label whose vectors crowd together gets more signs and passes, or none and one whole
+    comparison, whichever takes fewer comparisons. The choice bears on time only.
+    """
+    trial = classes.withColumn("depth", F.lit(0)).withColumn("passes", F.lit(1))
+    trial = trial.mapInArrow(_hash, _hashed(kind, vector)).select("label", "width", "code")
+    shared = (
+        trial.withColumn("depth", F.explode(F.array(*map(F.lit, DEPTHS))))
+        .withColumn("prefix", F.expr(f"shiftright(code, {BITS} - depth)"))
+        .groupBy("label", "width", "depth", "prefix")
+        .agg(F.count("*").cast("double").alias("n"))
+    )
+    passes = F.create_map(*(F.lit(x) for d in DEPTHS for x in (d, passes_for(d, threshold))))
+    wide = F.when(F.col("n") > WINDOW, F.col("n") * F.col("n")).otherwise(0.0)
+    costs = (
+        shared.groupBy("label", "width", "depth")
+        .agg((F.sum("n") * PASS + F.sum(wide)).alias("cost"))
+        .withColumn("passes", passes[F.col("depth")])
+    )
+    best = F.min(F.struct(F.col("cost") * F.col("passes"), "depth", "passes")).alias("best")
+    return costs.groupBy("label", "width").agg(best).select(
+        "label", "width", "best.depth", "best.passes"
+    )
+
+
+def _hashed(kind: str, vector: str) -> str:
+    return f"turn int, label {kind}, width int, depth int, code long, node long, vector {vector}"
+
+
+def _spanning(node: np.ndarray, close: np.ndarray) -> pd.DataFrame:
+    """Each node with the smallest one it is joined to: these links say as much as all of them."""
+    at = np.flatnonzero(close.any(axis=1))
+    node, close = node[at], close[np.ix_(at, at)]
+    label = node.copy()
+    while True:
+        least = np.minimum(label, np.array([label[row].min() for row in close], dtype=label.dtype))
+        if (least == label).all():
+            return pd.DataFrame({"a": node, "b": label})[node != label]
+        label = least
+
+
+def _wide_links(threshold: float):
+    """Links between rows that share their first signs, among the pairs of two tiles."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        first = rows["low"].iloc[0]
+        apart = first != rows["high"].iloc[0]
+        links = [pd.DataFrame({"a": [], "b": []}, dtype="int64")]
+        for _, same in rows.groupby("group", sort=False):
+            node, unit = same["node"].to_numpy(), _matrix(same["vector"])
+            own = same["tile"].to_numpy() == first
+            close = np.zeros((len(node), len(node)), dtype=bool)
+            if apart:
+                one, other = np.flatnonzero(own), np.flatnonzero(~own)
+                found = unit[one] @ unit[other].T >= threshold
+                close[np.ix_(one, other)] = found
+                close[np.ix_(other, one)] = found.T
+            else:
+                close = unit @ unit.T >= threshold
+                np.fill_diagonal(close, False)
+            links.append(_spanning(node, close))
+        return pd.concat(links)
 
     return run
 
@@ -157,11 +236,12 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
         ),
         "vector-classes",
     )
-    n = classes.count()
-    hashed = classes.drop("size").mapInArrow(
-        _hash(passes_for(n, threshold)),
-        f"turn int, label {kinds['label']}, width int, code long, node long, "
-        f"vector {kinds['vector']}",
+    sized = classes.drop("size").withColumn("width", F.size("vector"))
+    depths = materialize(
+        _depths(classes.drop("size"), kinds["label"], kinds["vector"], threshold), "vector-depths"
+    )
+    hashed = sized.join(depths, ["label", "width"]).mapInArrow(
+        _hash, _hashed(kinds["label"], kinds["vector"])
     )
     ranked = global_rank(hashed, ["turn", "label", "width", "code", "node"], "vector-order")
     run = F.floor(F.col("rank") / RUN)
@@ -175,6 +255,31 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     links = materialize(links.distinct(), "vector-links")
     merged = materialize(components(links), "vector-components")
 
+    # Rows that share their first signs, do not fit a window and are not joined yet.
+    shared = ["turn", "label", "width", "prefix"]
+    signs = ranked.withColumn("prefix", F.expr(f"shiftright(code, {BITS} - depth)"))
+    parts = signs.select(*shared, "node").join(merged, "node", "left")
+    parts = parts.withColumn("part", F.coalesce("component", "node"))
+    wide = (
+        parts.groupBy(*shared)
+        .agg(
+            F.count("*").alias("n"),
+            F.min("part").alias("least"),
+            F.max("part").alias("most"),
+            F.min("node").alias("low"),
+        )
+        .where(f"n > {WINDOW} and least < most")
+        .select(*shared, F.concat_ws("/", "turn", "low").alias("group"))
+    )
+    inside = signs.join(wide, shared).select("group", "node", "vector")
+    late = (
+        tile_pairs(inside, "group", "node", BLOCK, "vector-blocks")
+        .groupBy("low", "high")
+        .applyInPandas(_wide_links(threshold), "a long, b long")
+    )
+    links = materialize(links.unionByName(late).distinct(), "vector-links")
+    merged = materialize(components(links), "vector-components")
+
     inside = classes.join(merged, "node").withColumn("width", F.size("vector"))
     counts = (
         tile_pairs(inside, "component", "node", TILE, "vector-tiles")

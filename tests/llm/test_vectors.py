@@ -62,3 +62,33 @@ def test_recall_with_small_windows_and_tiles(spark, rows, monkeypatch):
 
 def test_empty_table(spark):
     assert V.near_vectors(table(spark, [])).count() == 0
+
+
+def test_crowded_vectors_keep_their_links(spark, monkeypatch):
+    """Vectors with a strong common mean share their first signs far beyond a window."""
+    monkeypatch.setattr(V, "WINDOW", 8)
+    monkeypatch.setattr(V, "RUN", 32)
+    monkeypatch.setattr(V, "TILE", 16)
+    monkeypatch.setattr(V, "BLOCK", 64)
+    draw = np.random.default_rng(5)
+    mean = 2 * draw.standard_normal(64)
+    crowd = mean + draw.standard_normal((1500, 64))
+    pairs = crowd[:200] + 0.8 * draw.standard_normal((200, 64))
+    values = np.concatenate((crowd, pairs)).astype(np.float32)
+    rows = [(i, [float(x) for x in v], 1) for i, v in enumerate(values)]
+    unit = values.astype(float) / np.linalg.norm(values.astype(float), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert want.sum() >= 300
+    # A pass that seems dear leaves one whole comparison, a cheap one more signs.
+    for cost in (1500, 10):
+        monkeypatch.setattr(V, "PASS", cost)
+        got = np.zeros(len(rows))
+        for r in V.near_vectors(table(spark, rows)).collect():
+            got[r["vec_id"]] = r["n_links"]
+        assert (got <= want).all() and got.sum() >= 0.95 * want.sum()
+
+
+def test_passes_give_the_chance_asked_for():
+    for depth in V.DEPTHS:
+        meet = (1 - np.arccos(0.93) / np.pi) ** depth
+        assert 1 - (1 - meet) ** V.passes_for(depth, 0.93) >= V.RECALL
