@@ -44,3 +44,14 @@ def test_each_stage_against_brute_force(spark, data):
     assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in before}
     run = P.run(spark, data).collect()
     assert sorted(map(tuple, run)) == sorted(map(tuple, packed))
+
+
+def test_near_copies_of_four_fifths_are_dropped(spark, data):
+    """One word in about 50 changed: similarity between 0.80 and 0.85."""
+    own = [f"w{i}" for i in range(300)]
+    other = ["x" if i % 52 == 26 else w for i, w in enumerate(own)]
+    rows = [(1, " ".join(own)), (2, " ".join(other)), (3, " ".join(own[:150]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in P.keep_one_of_each(spark, docs, data).collect()}
+    assert kept == {r[0] for r in near_copies(rows, 80) if r[3]} == {1, 3}
+    assert all(r[3] for r in near_copies(rows, 85))
