@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from serpscope.llm.bpe import coded_digests, round_trip
 from serpscope.llm.decontaminate import benchmark_matches
+from serpscope.llm.merkle import manifest, proofs, tampered_text
 from serpscope.llm.minmax import near_duplicates
 from serpscope.llm.packing import pack
 from serpscope.llm.pii import personal_data
 from serpscope.llm.quality import score_quality
+from serpscope.llm.repair import repair_damaged
 from serpscope.llm.sharding import hilbert_shards
 from serpscope.llm.substring import substring_dedup
 from serpscope.llm.tokenfiles import through_files
@@ -75,6 +78,22 @@ def vectors(spark: SparkSession, data: str) -> DataFrame:
     return near_vectors(table(spark, data, "embeddings"), threshold=0.93)
 
 
+def repaired(spark: SparkSession, data: str) -> DataFrame:
+    """All conversations, damaged and repaired."""
+    return repair_damaged(table(spark, data, "conversations")).drop("repaired")
+
+
+def byte_pairs(spark: SparkSession, data: str) -> DataFrame:
+    """All documents encoded and decoded."""
+    return coded_digests(round_trip(table(spark, data, "documents")))
+
+
+def merkle(spark: SparkSession, data: str) -> DataFrame:
+    """Proofs of all documents against the manifest, some of them tampered with."""
+    docs = table(spark, data, "documents")
+    return proofs(manifest(docs, seen={"text": tampered_text()}), keep=False).drop("proof")
+
+
 ORACLES: dict[str, str] = {}
 QUERIES: dict[str, Query] = {
     "op1_relative_parsing": substring,
@@ -87,4 +106,7 @@ QUERIES: dict[str, Query] = {
     "op8_pigeonhole_matching": decontaminate,
     "op9_minmax_dedup": minmax,
     "op10_projection_passes": vectors,
+    "op11_iterative_deepening": repaired,
+    "op12_recursive_merges": byte_pairs,
+    "op13_butterfly_manifest": merkle,
 }
