@@ -2,9 +2,13 @@
 
 Neither vocabulary joins text across the end of a run of non-blank characters, nor across the border
 between an ASCII letter and a mark, so a text's ids are those of its pieces between such ends and
-borders. The library encodes each new part once per worker; a text is then put together from
-remembered ids. New words of plain letters are encoded as one text and told apart by the tokens that
-end or begin a word, which costs less than an encoding for each.
+borders. Pieces are cut by numpy from the bytes of many texts at once, dictionary-encoded by Arrow,
+and each distinct piece is looked up once; the ids of all pieces are one gather from the ids of the
+distinct ones. The library encodes each new piece once per worker. New words of plain letters are
+encoded as one text and told apart by the tokens that end or begin a word.
+
+Texts with blanks beyond ASCII are cut by a pattern instead; texts with a special token's string go
+to the library whole.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 
 #: Default vocabulary files; every operator takes the path as a parameter.
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,10 +26,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Ends each document.
 END_ID = 2
 #: Pieces a worker remembers, and the length beyond which it doesn't.
-REMEMBERED = 800_000
+REMEMBERED = 1_600_000
 REMEMBERED_LENGTH = 64
 #: Words that are encoded as one text.
 TOGETHER = 2000
+#: Characters of text that are cut at a time.
+SLICE = 4_000_000
 
 # Fixed: blank characters as the library has them; Python also counts 0x1c-0x1f. Latin letters are
 # those that no normalisation takes apart.
@@ -47,7 +54,23 @@ _PIECES = {
     False: re.compile("|".join(_PARTS)),
 }
 #: Words of one token run each.
-_PLAIN = {True: re.compile(f" {_LATIN}+").fullmatch, False: re.compile(f"{_LATIN}+").fullmatch}
+_LATIN_BYTES = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
+_PLAIN = {True: re.compile(b" " + _LATIN_BYTES).fullmatch, False: re.compile(_LATIN_BYTES).fullmatch}
+#: A blank that is none of ASCII's.
+_ODD = re.compile(r"[^\S\t-\r\x1c-\x20]").search
+#: Where a text may be cut whatever follows.
+_EDGE = re.compile(r"(?<=[^\t-\r ])[\t-\r ]").search
+
+# Classes of bytes; letters beyond ASCII, digits and controls are 0.
+_SPACE, _OTHER_BLANK, _LETTER, _APOSTROPHE, _OTHER_MARK = 1, 2, 3, 4, 5
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[0x09:0x0E] = _OTHER_BLANK
+_CLASS[0x20] = _SPACE
+for _from, _to in ((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)):
+    _CLASS[_from : _to + 1] = _OTHER_MARK
+_CLASS[0x27] = _APOSTROPHE
+for _from, _to in ((0x41, 0x5A), (0x61, 0x7A)):
+    _CLASS[_from : _to + 1] = _LETTER
 
 
 def _lower(text: str) -> str:
@@ -59,27 +82,58 @@ def _lower(text: str) -> str:
     return text.lower()
 
 
+def _starts(data: np.ndarray, blanks: bool) -> np.ndarray:
+    """Where pieces begin, as flags; the first byte's is not set."""
+    kind = _CLASS[data]
+    blank = (kind == _SPACE) | (kind == _OTHER_BLANK)
+    letter, mark = kind == _LETTER, kind >= _APOSTROPHE
+    starts = np.zeros(len(data), dtype=bool)
+    before = slice(None, -1)
+    starts[1:] = ~blank[before] & blank[1:]
+    starts[1:] |= letter[before] & mark[1:]
+    starts[1:] |= (kind[before] == _OTHER_MARK) & letter[1:]
+    if blanks:
+        # A space belongs to what follows it; any other blank does not.
+        starts[1:] |= (kind[before] == _OTHER_BLANK) & ~blank[1:]
+        starts[1:-1] |= blank[:-2] & (kind[1:-1] == _SPACE) & ~blank[2:]
+    else:
+        starts[1:] |= blank[before] & ~blank[1:]
+    return starts
+
+
 class Encoder:
-    """Encodes texts to arrays of ids without special tokens; their strings are ordinary text."""
+    """Encodes texts to arrays of ids without adding special tokens.
 
-    def __init__(self, path: str):
+    A special token's string in a text is that token, as the library has it; with
+    `special_as_text` it is ordinary text.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        special = [] if special_as_text else [re.escape(t.content) for t in special]
+        self.special = re.compile("|".join(special) or r"(?!)").search
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
         # Tokens at which a word begins (with its blank) or ends.
         self.turns = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.turns[i] = token.startswith("Ġ") if self.blanks else token.endswith("</w>")
-        self.known: dict[str, bytes] = {}
+        # Two generations: when the younger is full, what the older alone has is forgotten.
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, dtype=self.kind) for f in found]
 
-    def _together(self, words: list[str]) -> list[bytes] | None:
+    def _together(self, words: list[bytes]) -> list[bytes] | None:
         """Ids of plain words from one encoding, if it can be taken apart."""
-        text = "".join(words) if self.blanks else " ".join(words)
-        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind)
+        (ids,) = self._ids([(b"" if self.blanks else b" ").join(words).decode()])
         turn = np.flatnonzero(self.turns[ids])
         if len(turn) != len(words):
             return None
@@ -88,10 +142,10 @@ class Encoder:
         raw, size = ids.tobytes(), self.kind.itemsize
         return [raw[a * size : b * size] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, new: set[str]) -> None:
-        plain, other = [], []
-        for piece in new:
-            (plain if _PLAIN[self.blanks](piece) else other).append(piece)
+    def _learn(self, new: list[bytes]) -> None:
+        is_plain = _PLAIN[self.blanks]
+        plain = [piece for piece in new if is_plain(piece)]
+        other = [piece for piece in new if not is_plain(piece)] if len(plain) < len(new) else []
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
             found = self._together(some)
@@ -99,23 +153,92 @@ class Encoder:
                 other += some
             else:
                 self.known.update(zip(some, found))
-        for piece, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, dtype=self.kind).tobytes()
+        for piece, ids in zip(other, self._ids([piece.decode() for piece in other])):
+            self.known[piece] = ids.tobytes()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        # The kind of vocabulary that drops blanks has no capitals either.
-        cut = [_PIECES[self.blanks].findall(t if self.blanks else _lower(t)) for t in texts]
-        seen = set().union(*cut)
-        if len(self.known) + len(seen) > REMEMBERED:
-            self.known.clear()
-        new = seen - self.known.keys()
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
+        if len(self.known) + len(pieces) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
+        missing = [piece for piece in pieces if piece not in self.known]
+        new = [piece for piece in missing if piece not in self.older]
+        self.known.update((piece, self.older[piece]) for piece in missing if piece in self.older)
         self._learn(new)
-        look = self.known.__getitem__
-        ids = [np.frombuffer(b"".join(map(look, pieces)), dtype=self.kind) for pieces in cut]
+        found = [self.known[piece] for piece in pieces]
         for piece in new:
             if len(piece) > REMEMBERED_LENGTH:
                 del self.known[piece]
-        return ids
+        return found
+
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts without odd blanks, and the number of pieces before each text."""
+        raw = [(t if self.blanks else _lower(t)).encode() for t in texts]
+        data = b"".join(raw)
+        begin = np.cumsum([0, *map(len, raw)])
+        starts = _starts(np.frombuffer(data, dtype=np.uint8), self.blanks)
+        starts[begin[:-1][begin[:-1] < len(data)]] = True
+        starts = np.flatnonzero(starts)
+        offsets = np.append(starts, len(data)).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+        return pa.Array.from_buffers(pa.binary(), len(starts), buffers), np.searchsorted(starts, begin)
+
+    def _encode(self, texts: list[str], odd: bool) -> list[np.ndarray]:
+        """Ids of texts that are cut alike."""
+        if not any(texts):
+            return [np.zeros(0, dtype=self.kind) for _ in texts]
+        if odd:
+            cut = [_PIECES[self.blanks].findall(t if self.blanks else _lower(t)) for t in texts]
+            begin = np.cumsum([0, *map(len, cut)])
+            pieces = pa.array([p.encode() for own in cut for p in own], pa.binary())
+        else:
+            pieces, begin = self._cut(texts)
+        coded = pieces.dictionary_encode()
+        which = coded.indices.to_numpy()
+        known = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat = np.frombuffer(b"".join(known), dtype=self.kind)
+        size = np.array([len(k) for k in known], dtype=np.int64) // self.kind.itemsize
+        first = np.cumsum(size) - size
+        # One gather: each piece's ids lie in a row among those of the distinct pieces.
+        size, first = size[which], first[which]
+        end = np.concatenate(([0], np.cumsum(size)))
+        ids = flat[np.repeat(first - end[:-1], size) + np.arange(end[-1])]
+        return np.split(ids, end[begin[1:-1]])
+
+    def _slices(self, text: str) -> list[str]:
+        cuts = [0]
+        while len(text) - cuts[-1] > SLICE:
+            edge = _EDGE(text, cuts[-1] + SLICE)
+            if edge is None or _ODD(text):
+                break
+            cuts.append(edge.start())
+        return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; long ones are cut in slices, so that memory follows SLICE."""
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        some: list[tuple[int, str]] = []
+        size = 0
+
+        def close():
+            odd = _ODD("".join(t for _, t in some)) is not None
+            groups = [[x for x in some if bool(_ODD(x[1])) == o] for o in (False, True)] if odd else [some]
+            for own, is_odd in zip(groups, (False, True)):
+                for (k, _), ids in zip(own, self._encode([t for _, t in own], is_odd)):
+                    found[k].append(ids)
+            some.clear()
+
+        for k, text in enumerate(texts):
+            if self.special(text):
+                found[k].append(self._ids([text])[0])
+                continue
+            for part in self._slices(text):
+                some.append((k, part))
+                size += len(part)
+                if size >= SLICE:
+                    close()
+                    size = 0
+        close()
+        empty = np.zeros(0, dtype=self.kind)
+        return [parts[0] if len(parts) == 1 else np.concatenate([empty, *parts]) for parts in found]
 
 
 _encoders: dict[str, Encoder] = {}
@@ -132,7 +255,7 @@ def with_end(ids: np.ndarray) -> np.ndarray:
     return np.append(ids, np.array([END_ID], dtype=ids.dtype))
 
 
-def groups_of(texts: list, characters: int = 2_000_000):
+def groups_of(texts: list, characters: int = SLICE):
     """Ranges of a list of texts of about so many characters, one text at least."""
     start, total = 0, 0
     for i, text in enumerate(texts):

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 from texts import corpus  # noqa: F401
 
-from serpscope.llm import packing, tokenfiles
+from serpscope.llm import packing, tokenfiles, tokens
 from serpscope.llm.tokens import BYTE_BPE, END_ID, WORD_BPE, Encoder
 
 OWN = {path: Encoder(path) for path in (BYTE_BPE, WORD_BPE)}
@@ -18,9 +18,10 @@ TEXTS = st.text(
 )
 
 
-def library(path):
+def library(path, special_as_text=False):
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
+    if special_as_text:
+        own.encode_special_tokens = True
     return lambda text: own.encode(text, add_special_tokens=False).ids
 
 
@@ -39,6 +40,26 @@ def test_ids_equal_the_library(path):
         assert OWN[path].encode([text])[0].tolist() == LIBRARY[path](text)
 
 
+@pytest.mark.parametrize("path", OWN)
+def test_special_strings_as_text(path):
+    own, want = Encoder(path, special_as_text=True), library(path, special_as_text=True)
+    for text in ("hello <|endoftext|> world", "<|ENDOFTEXT|>a<|startoftext|>", "<|endoftext|>"):
+        assert own.encode([text])[0].tolist() == want(text)
+        if text.isascii() and "<|endoftext|>" in text:
+            assert OWN[path].encode([text])[0].tolist() == LIBRARY[path](text) != want(text)
+
+
+@pytest.mark.parametrize("setting", ["SLICE", "REMEMBERED", "REMEMBERED_LENGTH", "TOGETHER"])
+@pytest.mark.parametrize("path", OWN)
+def test_bounds_change_no_ids(monkeypatch, path, setting):
+    texts = ["it's a  (test) of\n\n blanks ", "", "\u3000x  y\u00a0z", "word " * 40, "<|endoftext|> x y", "é" * 90]
+    want = [LIBRARY[path](t) for t in texts]
+    monkeypatch.setattr(tokens, setting, 8)
+    own = Encoder(path)
+    for _ in range(3):
+        assert [i.tolist() for i in own.encode(texts)] == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([0, 1, 255, 256, 65535, 65536, 1 << 24, (1 << 32) - 1])))
 def test_codes_round_trip(values):
