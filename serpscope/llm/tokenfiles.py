@@ -4,7 +4,7 @@ Ids are replaced by their rank in the corpus, so the most frequent 256 take one
 all others two. A value takes one to four bytes, lowest first. Two control bits hold its number of
 bytes less one; four values share a control byte, the first in the lowest bits. Control and data
 bytes are stored apart, so a block is decoded without a loop: one table lookup for each control
-byte gives four lengths, their sums give the places of the bytes.
+byte says which bytes of four values are stored, and the data bytes fall into these places.
 
 Files are Parquet: a row is a block of whole documents in ascending order of doc_id, with the
 documents' ids and lengths beside both byte strings. The ranks are a table of their own.
@@ -29,36 +29,30 @@ BLOCK_IDS = 1 << 16
 #: Bytes of a row group: writers buffer so much for each task.
 ROW_GROUP = 8 << 20
 
-# Lengths of the four values of each control byte.
-_LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+# By a value's number of bytes less one, which of its four bytes are kept; and the same for the four
+# values of each control byte.
+_KEPT = np.arange(4) <= np.arange(4)[:, None]
+_KEPT_BY_CONTROL = _KEPT[(np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3].reshape(256, 16)
 
 
 def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
-    values = values.astype(np.uint32)
-    extra = (values >= 1 << 8).astype(np.int64) + (values >= 1 << 16) + (values >= 1 << 24)
-    end = np.cumsum(extra + 1)
-    start = end - extra - 1
-    data = np.zeros(int(end[-1]) if len(end) else 0, dtype=np.uint8)
-    for k in range(4):
-        has = extra >= k
-        data[start[has] + k] = (values[has] >> np.uint32(8 * k)) & np.uint32(255)
-    codes = np.zeros((len(values) + 3) // 4 * 4, dtype=np.int64)
-    codes[: len(values)] = extra
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6])).sum(axis=1).astype(np.uint8)
+    values = np.ascontiguousarray(values, dtype="<u4")
+    extra = np.zeros((len(values) + 3) // 4 * 4, dtype=np.uint8)
+    for limit in (1 << 8, 1 << 16, 1 << 24):
+        extra[: len(values)] += values >= limit
+    data = values.view(np.uint8).reshape(-1, 4)[_KEPT[extra[: len(values)]]]
+    codes = extra.reshape(-1, 4)
+    control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     return control.tobytes(), data.tobytes()
 
 
 def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The first n values."""
-    length = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:n]
-    start = np.cumsum(length) - length
-    data = np.frombuffer(data, dtype=np.uint8)
-    values = np.zeros(n, dtype=np.uint32)
-    for k in range(4):
-        has = length > k
-        values[has] |= data[start[has] + k].astype(np.uint32) << np.uint32(8 * k)
-    return values
+    kept = _KEPT_BY_CONTROL[np.frombuffer(control, dtype=np.uint8)].reshape(-1, 4)[:n]
+    values = np.zeros((n, 4), dtype=np.uint8)
+    values[kept] = np.frombuffer(data, dtype=np.uint8)
+    return values.view("<u4").ravel()
 
 
 def _packed(batches):
