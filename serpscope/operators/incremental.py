@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from serpscope.functions import keys as K
 from serpscope.operators.ordered import HOT_ROWS, broadcast_if_small
 from serpscope.operators.star import add_sequence
 from serpscope.session import materialize
-from serpscope.sources.sinks import balanced, with_event_date
+from serpscope.sources.versioned import LOOKUP_IDS, Folder, VersionedTable
 
 
 def high_watermark(target: DataFrame, ts: str = "event_timestamp") -> DataFrame:
@@ -61,6 +61,11 @@ def incremental_slice(
         return numbered
     replaced = fresh.select("event_id")
     kept = target.join(replaced, "event_id", "left_anti") if lookback_hours else target
+    return _continued(numbered, kept)
+
+
+def _continued(numbered: DataFrame, kept: DataFrame) -> DataFrame:
+    """Numbers that go on from each session's last one."""
     last = kept.groupBy("session_id").agg(F.max("session_event_sequence").alias("_last"))
     return numbered.join(last, "session_id", "left").select(
         *S.FACT,
@@ -78,46 +83,56 @@ def incremental_fact(staged: DataFrame, target: DataFrame, **options) -> DataFra
 
 
 def load_incremental(
-    staged: DataFrame, path: str, lookback_hours: int = 0, hot_rows: int = HOT_ROWS
-) -> None:
-    """Upsert into a fact table partitioned by ``event_date``.
+    staged: DataFrame,
+    table: VersionedTable,
+    lookback_hours: int = 0,
+    continue_sequences: bool = False,
+    hot_rows: int = HOT_ROWS,
+) -> int:
+    """Upsert into a versioned table; returns the version readers see from now on.
+
+    The watermark comes from the table's list. New rows go into folders of their own; of the loaded
+    folders only those that hold a replaced id are read whole and written anew, and one that loses
+    all its rows is no longer listed. All of that is invisible until the last step, the commit: a
+    load that breaks before can simply be run again, and of two at a time one gets a `Conflict`. A
+    load without new rows makes no version.
+    """
+    base = table.version()
+    folders = table.folders(base)
+    newest = table.newest(folders)
+    watermark = None if newest is None else newest - timedelta(hours=lookback_hours)
+    fresh = materialize(new_slice(staged, watermark), "slice")
+    ids = fresh.select(table.key)
+    touched = _holding(table, folders, ids)
+    kept = table.read_folders(touched).drop("event_date", "load")
+    kept = kept.join(ids, table.key, "left_anti")
+    numbered = add_sequence(fresh, hot_rows=hot_rows)
+    if continue_sequences:
+        numbered = _continued(numbered, _others(table, folders, ids))
+    new = table.write(numbered.unionByName(kept))
+    if not new and not touched:
+        return base
+    return table.commit(base, [f for f in folders if f not in touched] + new)
+
 
-    Rows with new ids are appended; only when ids are replaced are the days that receive rows
-    or hold a replaced row written anew.
+def _holding(table: VersionedTable, folders: list[Folder], ids: DataFrame) -> list[Folder]:
+    """The folders with a row of one of the ids.
+
+    Few ids are looked up, which reads the row groups that may have them by their Bloom filters; of
+    many, the ids of all folders are joined, and no other column.
     """
-    spark = staged.sparkSession
-    target = spark.read.parquet(path)
-    sliced = incremental_slice(staged, target, lookback_hours, hot_rows=hot_rows)
-    fresh = materialize(with_event_date(sliced).select(*target.columns), "slice")
-    # A usual slice is small against the table: its ids then travel, not the table.
-    ids = broadcast_if_small(fresh.select("event_id"))
-    replaced = target.join(ids, "event_id", "left_semi").select("event_date").distinct()
-    replaced = materialize(replaced, "replaced-days")
-    if replaced.isEmpty():
-        _write_days(fresh, path, "append")
-        return
-    days = fresh.select("event_date").distinct().union(replaced).distinct()
-    # One row per calendar day.
-    kept = target.join(F.broadcast(days), "event_date", "left_semi")
-    # Staged first: a partition cannot be read while it is being replaced.
-    rows = kept.join(ids, "event_id", "left_anti").unionByName(fresh)
-    rows = materialize(rows, "upsert")
-    if days.join(rows.select("event_date").distinct(), "event_date", "left_anti").isEmpty():
-        _write_days(rows, path, "overwrite", "dynamic")
-        return
-    # A day that loses all its rows is not replaced by a dynamic overwrite.
-    everything = target.join(ids, "event_id", "left_anti").unionByName(fresh)
-    _write_days(materialize(everything, "rebuild"), path, "overwrite", "static")
-
-
-def _write_days(rows: DataFrame, path: str, mode: str, overwrite: str = "dynamic") -> None:
-    (
-        balanced(rows, ["event_date"])
-        .write.mode(mode)
-        .option("partitionOverwriteMode", overwrite)
-        .partitionBy("event_date")
-        .parquet(path)
-    )
+    few = [r[0] for r in ids.where(F.col(table.key).isNotNull()).limit(LOOKUP_IDS + 1).collect()]
+    if len(few) <= LOOKUP_IDS:
+        hits = table.find(few, folders)
+    else:
+        hits = table.read_folders(folders).join(broadcast_if_small(ids), table.key, "left_semi")
+    # At most one row per folder.
+    found = {(r[0], r[1]) for r in hits.select("event_date", "load").distinct().collect()}
+    return [f for f in folders if (date.fromisoformat(f.day) if f.day else None, f.load) in found]
+
+
+def _others(table: VersionedTable, folders: list[Folder], ids: DataFrame) -> DataFrame:
+    return table.read_folders(folders).join(ids, table.key, "left_anti")
 
 
 VERSIONED = ["gender", "age", "signup_channel", "signup_timestamp", "user_segment"]

@@ -31,6 +31,7 @@ from serpscope.plans.daily import requests_of
 from serpscope.session import materialize, scratch_path
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
+from serpscope.sources import versioned as V
 from serpscope.streaming import jobs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -599,6 +600,51 @@ on_star(
         s["fct_search_events"], _loaded_before(s["fct_search_events"])
     ),
 )
+
+
+def _versioned(spark: SparkSession, fact: DataFrame) -> V.VersionedTable:
+    """A table that an earlier load has filled."""
+    before = _loaded_before(fact)
+    table = V.VersionedTable(spark, scratch_path(spark, "versions"), before.schema)
+    table.commit(0, table.write(before))
+    return table
+
+
+@query("load_incremental")
+def _(spark, data):
+    fact = D.fact_with_keys(L.load_log(spark, data))
+    table = _versioned(spark, fact)
+    I.load_incremental(fact, table)
+    return table.read().drop("event_date")
+
+
+@query("load_incremental_moved")
+def _(spark, data):
+    """A load in which a part of the loaded events comes again with a later time."""
+    fact = D.fact_with_keys(L.load_log(spark, data))
+    table = _versioned(spark, fact)
+    again = fact.where(
+        (F.col("event_timestamp") <= F.lit(O.WATERMARK_CUT).cast("timestamp_ntz"))
+        & (K.hash_bucket(F.col("event_id")) % 7 == 0)
+    )
+    later = F.col("event_timestamp") + F.make_dt_interval(days=F.lit(60))
+    I.load_incremental(again.withColumn("event_timestamp", later), table)
+    return table.read().drop("event_date")
+
+
+@query("load_incremental_days")
+def _(spark, data):
+    """Rows and newest time of each day as the table's own list has them after a load."""
+    fact = D.fact_with_keys(L.load_log(spark, data))
+    table = _versioned(spark, fact)
+    I.load_incremental(fact, table)
+    days = [(f.day, f.rows, f.newest) for f in table.folders()]
+    listed = spark.createDataFrame(days, "event_date string, n long, newest string")
+    return listed.groupBy(F.to_date("event_date").alias("event_date")).agg(
+        F.sum("n").alias("row_count"), F.max(F.col("newest").cast("timestamp_ntz")).alias("newest")
+    )
+
+
 on_star(
     "incremental_continue",
     lambda s: I.incremental_slice(
@@ -991,21 +1037,20 @@ def _(spark, data):
     return spark.read.parquet(f"{path}/data").select(*S.FACT)
 
 
-def _timed(log: DataFrame) -> DataFrame:
-    return log.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+def _closed(spark: SparkSession, data: str, job: Callable, name: str) -> DataFrame:
+    """All that a stream writes, from its start to after its closing marker."""
+    path = scratch_path(spark, name)
+    job(ST.stream_log(spark, data), path)
+    ST.close(spark, path)
+    job(ST.stream_log(spark, data), path)
+    return spark.read.parquet(f"{path}/data")
 
 
 @query("stream_tumbling_quality")
 def _(spark, data):
-    path = scratch_path(spark, "stream-hours")
-    ST.tumbling_quality(ST.stream_log(spark, data), path)
-    events = _timed(L.load_log(spark, data))
-    return ST.with_open_rows(ST.quality_windows(events), path, ["window_start", "device_type"])
+    return _closed(spark, data, ST.tumbling_quality, "stream-hours")
 
 
 @query("stream_sessions")
 def _(spark, data):
-    path = scratch_path(spark, "stream-sessions")
-    ST.stream_sessions(ST.stream_log(spark, data), path)
-    events = _timed(L.load_log(spark, data))
-    return ST.with_open_rows(ST.sessions(events), path, ["user_id_masked", "session_start"])
+    return _closed(spark, data, ST.stream_sessions, "stream-sessions")

@@ -830,6 +830,26 @@ def statements() -> dict[str, str]:
     sql["incremental_fact"] = on_log(
         "SELECT * FROM target UNION ALL SELECT * FROM fresh", FACT, _LINEUP
     )
+    sql["load_incremental"] = sql["incremental_fact"]
+    moved = _LINEUP + """,
+moved AS (
+  SELECT * REPLACE (event_timestamp + INTERVAL 60 DAY AS event_timestamp)
+    FROM fact WHERE event_timestamp <= TIMESTAMP '2024-01-21 06:00:00'
+    AND CAST(concat('0x', substr(md5(event_id), 1, 8)) AS BIGINT) % 7 = 0
+    AND event_timestamp + INTERVAL 60 DAY > (SELECT max(event_timestamp) FROM target)
+)"""
+    sql["load_incremental_moved"] = on_log(
+        "SELECT * FROM target WHERE event_id NOT IN (SELECT event_id FROM moved) UNION ALL "
+        "SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_timestamp, event_id) "
+        "AS session_event_sequence FROM moved",
+        FACT,
+        moved,
+    )
+    sql["load_incremental_days"] = on_log(
+        "SELECT CAST(event_timestamp AS DATE) AS event_date, count(*) AS row_count, "
+        "max(event_timestamp) AS newest FROM fact GROUP BY 1",
+        FACT,
+    )
     sql["incremental_continue"] = on_log(
         "SELECT f.event_id, f.session_id, f.session_event_sequence + coalesce(t.n, 0) AS "
         "session_event_sequence FROM fresh f LEFT JOIN (SELECT session_id, "
@@ -1132,7 +1152,7 @@ def statements() -> dict[str, str]:
 
     sql["attribution_additivity"] = on_log("SELECT event_id, true AS adds_up FROM log")
 
-    # streams: rows still open at the final watermark are added by a closing step
+    # streams, each with its closing marker
     sql["stream_ingest_fact"] = on_log("SELECT * FROM fact", FACT)
     sql["stream_tumbling_quality"] = on_log(
         "SELECT date_trunc('hour', \"timestamp\") AS window_start, device_type, count(*) AS "

@@ -8,6 +8,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app_name: str = "serpscope", master: str | None = None, **conf) -> SparkSession:
     """Session with the settings the operators assume (UTC, AQE with skew handling)."""
     builder = SparkSession.builder.appName(app_name)
@@ -21,9 +24,7 @@ def build_session(app_name: str = "serpscope", master: str | None = None, **conf
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Streaming state off the heap, so that it may outgrow executor memory.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
         **conf,
     }
     for key, value in settings.items():

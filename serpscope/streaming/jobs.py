@@ -1,14 +1,25 @@
-"""Structured Streaming counterparts of the load, the hourly metrics and the sessions."""
+"""Structured Streaming counterparts of the load, the hourly metrics and the sessions.
+
+Windows and sessions are written once the watermark has closed them. What is still open when a source
+ends stays in the state until a closing marker moves the watermark past it: a row without an event,
+read from a folder that is part of the stream. So all results come out of the stream itself, each
+once, and an event that the watermark has dropped as late is in none of them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from datetime import datetime, timedelta
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from serpscope import schema as S
 from serpscope.operators.kpi import mart
 from serpscope.operators.star import fact_with_keys
-from serpscope.session import materialize
+from serpscope.session import STATE_STORE
 from serpscope.sources.log import derive_log
 
 
@@ -22,11 +33,35 @@ def stream_log(spark: SparkSession, folder: str, pattern: str = "events.parquet"
     return derive_log(raw)
 
 
-def with_watermark(df: DataFrame, delay: str, ts: str = "timestamp") -> DataFrame:
-    """Watermarks need a timestamp with zone; log times are UTC."""
-    return df.withColumn("event_time", F.col(ts).cast("timestamp")).withWatermark(
-        "event_time", delay
-    )
+#: Times from here on are closing markers, not events.
+CLOSING = "9000-01-01 00:00:00"
+MARKER = "event_time timestamp"
+
+
+def with_watermark(
+    df: DataFrame, delay: str, ts: str = "timestamp", path: str | None = None
+) -> DataFrame:
+    """Watermarks need a timestamp with zone; log times are UTC. ``path`` is that of the stream's
+    results, whose closing markers then move the watermark like events."""
+    timed = df.withColumn("event_time", F.col(ts).cast("timestamp"))
+    if path is None:
+        return timed.withWatermark("event_time", delay)
+    spark = df.sparkSession
+    # The folder has to be there before the first marker is.
+    spark.createDataFrame([], MARKER).write.mode("append").parquet(f"{path}/closing")
+    markers = spark.readStream.schema(MARKER).parquet(f"{path}/closing")
+    marked = timed.unionByName(markers, allowMissingColumns=True)
+    # By event time, so that the filter stays above the watermark, which sees the markers.
+    return marked.withWatermark("event_time", delay).where(F.col("event_time") < F.lit(CLOSING))
+
+
+def close(spark: SparkSession, path: str) -> None:
+    """Leave a marker after which nothing is open: the next run of the stream writes the rest.
+
+    All events after it are late. A source that goes on has to go on in a new stream.
+    """
+    marker = spark.sql("SELECT timestamp '9999-01-01 00:00:00' AS event_time")
+    marker.coalesce(1).write.mode("append").parquet(f"{path}/closing")
 
 
 def run_available(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -69,38 +104,124 @@ def tumbling_quality(
     log: DataFrame, path: str, width: str = "1 hour", delay: str = "2 hours"
 ) -> None:
     """Metrics per device and window, written once the window is closed by the watermark."""
-    run_available(quality_windows(with_watermark(log, delay), width), path)
-
-
-def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Sessions per user by ``event_time``, for a stream or a table."""
-    return (
-        events.groupBy("user_id_masked", F.session_window("event_time", gap).alias("session"))
-        .agg(F.count(F.lit(1)).alias("events"), F.sum("clicks").alias("clicks"))
-        .select(
-            "user_id_masked",
-            F.col("session.start").cast("timestamp_ntz").alias("session_start"),
-            F.col("session.end").cast("timestamp_ntz").alias("session_end"),
-            "events",
-            "clicks",
+    run_available(quality_windows(with_watermark(log, delay, path=path), width), path)
+
+
+SESSION = (
+    "user_id_masked string, session_start timestamp, session_end timestamp, events long, clicks long"
+)
+_MILLI = timedelta(milliseconds=1)
+
+
+class SessionChain(StatefulProcessor):
+    """Joins the pieces of one user to sessions, and writes each when nothing can join it any more.
+
+    A piece is what a user did within one window no wider than the gap, so it lies in one session,
+    and a session is a chain of pieces. State is the sessions that are still open: a few rows,
+    however many events they have.
+    """
+
+    def __init__(self, gap: timedelta, width: timedelta):
+        self.gap, self.width = gap, width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        schema = "first timestamp, last timestamp, events long, clicks long"
+        self.open = handle.getListState("open", schema)
+
+    def _due(self, last: datetime) -> int:
+        """When all pieces are in that may begin within the gap: at the end of their window."""
+        width = self.width // _MILLI
+        latest = int(pd.Timestamp(last + self.gap).tz_localize("UTC").timestamp() * 1000)
+        return (latest // width + 1) * width
+
+    def _keep(self, sessions: list[tuple]) -> None:
+        timers = {int(t[0]) if isinstance(t, tuple) else int(t) for t in self.handle.listTimers()}
+        due = {self._due(s[1]) for s in sessions}
+        for t in timers - due:
+            self.handle.deleteTimer(t)
+        for t in due - timers:
+            self.handle.registerTimer(t)
+        if sessions:
+            self.open.put(sessions)
+        else:
+            self.open.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        columns = ["first", "last", "events", "clicks"]
+        pieces = [tuple(r) for frame in rows for r in frame[columns].itertuples(index=False)]
+        pieces = [(_plain(a), _plain(b), int(n), int(c)) for a, b, n, c in pieces]
+        chained: list[tuple] = []
+        for piece in sorted([*(tuple(s) for s in self.open.get()), *pieces]):
+            if chained and piece[0] - chained[-1][1] <= self.gap:
+                one = chained.pop()
+                last = max(one[1], piece[1])
+                piece = (one[0], last, one[2] + piece[2], one[3] + piece[3])
+            chained.append(piece)
+        self._keep(chained)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        sessions = [tuple(s) for s in self.open.get()]
+        done = [s for s in sessions if self._due(s[1]) <= now]
+        rest = [s for s in sessions if self._due(s[1]) > now]
+        if rest:
+            self.open.put(rest)
+        else:
+            self.open.clear()
+        if done:
+            yield pd.DataFrame(
+                {
+                    "user_id_masked": key[0],
+                    "session_start": [s[0] for s in done],
+                    "session_end": [s[1] + self.gap for s in done],
+                    "events": [s[2] for s in done],
+                    "clicks": [s[3] for s in done],
+                }
+            )
+
+    def close(self) -> None:
+        pass
+
+
+def _plain(at) -> datetime:
+    return pd.Timestamp(at).to_pydatetime().replace(tzinfo=None)
+
+
+def sessions(events: DataFrame, gap_minutes: int = S.SESSION_GAP_MINUTES) -> DataFrame:
+    """Sessions per user of a stream with a watermark.
+
+    Events are first counted up per user and window of the gap's width, which combines them before
+    the shuffle; only these pieces reach the state of a user.
+    """
+    gap = timedelta(minutes=gap_minutes)
+    pieces = (
+        events.groupBy("user_id_masked", F.window("event_time", f"{gap_minutes} minutes").alias("window"))
+        .agg(
+            F.min("event_time").alias("first"),
+            F.max("event_time").alias("last"),
+            F.count(F.lit(1)).alias("events"),
+            F.sum("clicks").alias("clicks"),
         )
+        .select("user_id_masked", F.window_time("window").alias("piece_time"), "first", "last", "events", "clicks")
+    )
+    chained = pieces.groupBy("user_id_masked").transformWithStateInPandas(
+        SessionChain(gap, gap), SESSION, "Append", "EventTime"
+    )
+    return chained.select(
+        "user_id_masked",
+        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+        "events",
+        "clicks",
     )
 
 
 def stream_sessions(
-    log: DataFrame, path: str, gap: str = "30 minutes", delay: str = "2 hours"
+    log: DataFrame, path: str, gap_minutes: int = S.SESSION_GAP_MINUTES, delay: str = "2 hours"
 ) -> None:
     """Sessions per user, written once no further event can join them."""
-    run_available(sessions(with_watermark(log, delay), gap), path)
-
-
-def with_open_rows(computed: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """What a stream has written, and the rows it still holds open at its end.
-
-    ``computed`` is the same result over all events as a table; rows of it whose keys the stream
-    has not written are those that the watermark left open.
-    """
-    # Written first: the optimizer would move the anti-join below the merging of session windows.
-    computed = materialize(computed, "batch-rows")
-    written = computed.sparkSession.read.schema(computed.schema).parquet(f"{path}/data")
-    return written.unionByName(computed.join(written.select(*keys), keys, "left_anti"))
+    # States with timers need this store.
+    log.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    run_available(sessions(with_watermark(log, delay, path=path), gap_minutes), path)

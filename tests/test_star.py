@@ -15,6 +15,7 @@ from serpscope.operators.joins import attach_key, orphans
 from serpscope.session import scratch_path
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
+from serpscope.sources import versioned as V
 
 
 def test_two_events_give_two_rows_everywhere(spark):
@@ -55,12 +56,14 @@ def test_user_profile_is_reproducible(spark):
     assert user.record_end_timestamp is None and user.is_current_record == 1
 
 
-def test_staging_trims_cuts_and_renames(spark):
+def test_staging_trims_and_renames(spark):
     star = D.build_star(event_rows(spark))
     queries = star["dim_queries"].withColumn("search_query_masked", F.lit("  Python TUTORIAL "))
     assert G.stg_queries(queries).first().search_query_masked == "python tutorial"
     users = star["dim_users"].withColumn("gender", F.lit("x" * 20))
-    assert len(G.stg_users(users).first().gender) == 10
+    assert G.stg_users(users).first().gender == "x" * 20
+    counts = {r.column_name: r.overlong for r in G.overlong_values(users).collect()}
+    assert counts["gender"] == users.count() and counts["user_segment"] == 0
     geo = star["dim_geography"].withColumnRenamed("language", "primary_language")
     assert G.stg_geography(geo).columns == S.DIM_GEOGRAPHY
 
@@ -117,33 +120,122 @@ def test_load_into_empty_target(log):
     assert I.incremental_fact(fact, empty).count() == fact.count()
 
 
-def test_physical_upsert(spark, log):
+CUT = "2024-01-20 13:00:00"
+
+
+def _table(spark, fact):
+    """A versioned table with the rows before CUT."""
+    before = D.add_sequence(fact.where(F.col("event_timestamp") < F.lit(CUT).cast("timestamp_ntz")))
+    table = V.VersionedTable(spark, scratch_path(spark, "fact"), before.schema)
+    table.commit(0, table.write(before))
+    return table, before
+
+
+def test_versioned_upsert(spark, log):
     fact = _staged(log)
-    cut = F.lit("2024-01-20 13:00:00").cast("timestamp_ntz")
-    path = scratch_path(spark, "fact")
-    before = D.add_sequence(fact.where(F.col("event_timestamp") < cut))
-    W.write_fact(before, path, "event_date")
-    I.load_incremental(fact, path)
-    loaded = spark.read.parquet(path).drop("event_date")
+    table, before = _table(spark, fact)
+    assert I.load_incremental(fact, table) == 2
+    loaded = table.read().drop("event_date")
     assert rows(loaded) == rows(I.incremental_fact(fact, before).select(*loaded.columns))
+    # Nothing new: no version. The first one is still there.
+    assert I.load_incremental(fact, table) == 2
+    assert table.read(1).count() == before.count()
     # An existing event arrives again with a later time: it moves, and is not doubled.
-    moved = loaded.orderBy("event_timestamp").limit(1).drop("session_event_sequence")
+    moved = loaded.orderBy("event_timestamp").limit(1).select(*S.FACT)
     later = F.lit("2024-02-03 00:00:00").cast("timestamp_ntz")
-    I.load_incremental(moved.withColumn("event_timestamp", later).select(*S.FACT), path)
-    again = spark.read.parquet(path)
+    listed = table.folders()
+    I.load_incremental(moved.withColumn("event_timestamp", later), table)
+    again = table.read()
     assert again.count() == fact.count()
     assert again.where("event_date = '2024-02-03'").count() == 1
     assert Q.duplicate_keys(again, ["event_id"]).count() == 0
+    # One folder was written anew, all others are listed as they were.
+    assert len(set(listed) - set(table.folders())) == 1
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_ids_are_found_by_filters_or_join(spark, log, monkeypatch, few):
+    fact = _staged(log)
+    table, before = _table(spark, fact)
+    monkeypatch.setattr(I, "LOOKUP_IDS", few)
+    some = fact.where("event_id like '%7'").withColumn(
+        "event_timestamp", F.col("event_timestamp") + F.make_dt_interval(days=F.lit(90))
+    )
+    I.load_incremental(some, table, continue_sequences=True)
+    got = table.read().drop("event_date")
+    want = I.incremental_fact(some, before)
+    assert rows(got.select(*S.FACT)) == rows(want.select(*S.FACT))
 
 
 def test_upsert_that_empties_a_day(spark, log):
     fact = _staged(log).limit(1)
-    path = scratch_path(spark, "fact")
-    W.write_fact(D.add_sequence(fact), path, "event_date")
+    before = D.add_sequence(fact)
+    table = V.VersionedTable(spark, scratch_path(spark, "fact"), before.schema)
+    table.commit(0, table.write(before))
     later = F.lit("2024-02-03 00:00:00").cast("timestamp_ntz")
-    I.load_incremental(fact.withColumn("event_timestamp", later), path)
-    got = spark.read.parquet(path).collect()
+    I.load_incremental(fact.withColumn("event_timestamp", later), table)
+    got = table.read().collect()
     assert len(got) == 1 and str(got[0].event_date) == "2024-02-03"
+    assert [f.day for f in table.folders()] == ["2024-02-03"]
+    assert str(table.read(1).first().event_date) != "2024-02-03"
+
+
+@pytest.mark.parametrize("step", ["read_folders", "write", "_days", "commit"])
+def test_a_broken_load_leaves_the_old_version(spark, log, monkeypatch, step):
+    fact = _staged(log)
+    table, before = _table(spark, fact)
+
+    def broken(*args, **kwargs):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(table, step, broken)
+        with pytest.raises(OSError, match="lost"):
+            I.load_incremental(fact, table)
+    assert table.version() == 1 and rows(table.read().drop("event_date")) == rows(before)
+    # The same load, run again, gives the whole result.
+    I.load_incremental(fact, table)
+    assert table.read().count() == fact.count()
+
+
+def test_one_of_two_loads_at_a_time_is_refused(spark, log):
+    fact = _staged(log)
+    table, before = _table(spark, fact)
+    first, second = table.write(before.limit(5)), table.write(before.limit(7))
+    table.commit(1, [*table.folders(), *first])
+    with pytest.raises(V.Conflict):
+        table.commit(1, [*table.folders(), *second])
+    assert table.read().count() == before.count() + 5
+
+
+def test_rows_without_time_and_empty_tables(spark, log):
+    fact = _staged(log)
+    table = V.VersionedTable(spark, scratch_path(spark, "fact"), D.add_sequence(fact).schema)
+    assert table.version() == 0 and table.read().count() == 0
+    assert I.load_incremental(fact.where("false"), table) == 0
+    timeless = fact.limit(3).withColumn("event_timestamp", F.lit(None).cast("timestamp_ntz"))
+    assert I.load_incremental(timeless.unionByName(fact.where("event_id like '%1'")), table) == 1
+    assert table.read().where("event_timestamp is null").count() == 3
+    assert table.newest([f for f in table.folders() if f.day is None]) is None
+
+
+def test_id_lookup_skips_row_groups(spark, log):
+    fact = _staged(log)
+    table, before = _table(spark, fact)
+    folders = table.folders()
+
+    def scanned(ids):
+        found = table.find(ids, folders)
+        n = len(found.collect())
+        scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return n, scan.metrics().apply("numOutputRows").value()
+
+    assert len(folders) > 10
+    ids = [r.event_id for r in before.orderBy(F.md5("event_id")).limit(2).collect()]
+    found, read = scanned(ids)
+    assert found == 2 and read < before.count() / 4
+    # Ids between others of a file, so that only its Bloom filter can rule them out.
+    assert scanned([i + "x" for i in ids]) == (0, 0)
 
 
 # --- user versions ---------------------------------------------------------------------------------
