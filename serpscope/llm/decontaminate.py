@@ -117,12 +117,17 @@ def _ranges(starts: list[int], budget: int, size: int):
 _indexes: dict[str, Index] = {}
 
 
+def _index(key: str, block: Broadcast, rate: float) -> Index:
+    """This worker's index of a block."""
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = Index(block.value, rate)
+    return _indexes[key]
+
+
 def _search(key: str, block: Broadcast, rate: float):
     def run(batches):
-        if key not in _indexes:
-            _indexes.clear()
-            _indexes[key] = Index(block.value, rate)
-        index = _indexes[key]
+        index = _index(key, block, rate)
         for batch in batches:
             rows = []
             for doc_id, text in zip(
@@ -138,6 +143,30 @@ def _search(key: str, block: Broadcast, rate: float):
     return run
 
 
+def _without(key: str, block: Broadcast, rate: float):
+    def run(batches):
+        index = _index(key, block, rate)
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield batch.filter(pa.array([not index.search(normal(t)) for t in texts], pa.bool_()))
+
+    return run
+
+
+def _blocks(items: DataFrame) -> list[tuple[str, Broadcast]]:
+    """The items in blocks of bounded size, each broadcast under a name."""
+    spark = items.sparkSession
+    items = items.where("text is not null and item_id is not null")
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, math.ceil(size / BLOCK_CHARACTERS))
+    found = []
+    for i in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i)
+        block = sorted((r["item_id"], normal(r["text"])) for r in own.collect())
+        found.append((uuid.uuid4().hex, spark.sparkContext.broadcast(block)))
+    return found
+
+
 def benchmark_matches(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
     """Every benchmark item that a document holds within the error budget.
 
@@ -146,19 +175,17 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, rate: float = RATE) ->
     normalised text. Documents without a match have no row.
 
     Null and empty texts and items match nothing. An item too short for a single edit must occur
-    unchanged. Rows that share an id are reported for each.
+    unchanged. Rows that share an id are reported for each. Empty tables have no matches.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = items.where("text is not null and item_id is not null")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(size / BLOCK_CHARACTERS))
-    found = []
-    for i in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == i)
-        block = sorted((r["item_id"], normal(r["text"])) for r in own.collect())
-        search = _search(uuid.uuid4().hex, spark.sparkContext.broadcast(block), rate)
-        found.append(
-            docs.mapInArrow(search, "doc_id long, item_id long, distance long, match_end long")
-        )
+    kinds = "doc_id long, item_id long, distance long, match_end long"
+    found = [docs.mapInArrow(_search(*block, rate), kinds) for block in _blocks(items)]
     return reduce(DataFrame.unionByName, found)
+
+
+def without_benchmark(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """The rows of `docs`, with all their columns, that hold no benchmark item. Each row is judged
+    by its own text, whatever ids it shares; nothing is shuffled."""
+    for block in _blocks(items):
+        docs = docs.mapInArrow(_without(*block, rate), docs.schema)
+    return docs

@@ -233,8 +233,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     whether that is its own id.
 
     Null and empty texts have no shingles and no links. Texts of fewer than five words are one
-    shingle. Equal texts always share a component. Rows without an id are returned alone, kept.
-    Rows that share an id but not a text count as linked with both texts' partners.
+    shingle. Equal texts always share a component. Rows without an id are returned alone, kept,
+    without a component. Repeated rows are one document; rows that share an id but not a text count
+    as linked with both texts' partners. Texts are hashed by slices. An empty table has no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marked = materialize(docs.mapInArrow(_sign, SIGNED), "minmax-signatures")
@@ -298,10 +299,25 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     own = own.join(last, "component", "left")
     found = own.select("set_key", F.coalesce("last", "component").alias("component_id"))
     result = marked.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
-    own = F.coalesce("component_id", "doc_id")
+    # A row without an id is alone, whatever its text.
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select(
         "doc_id",
         "n_shingles",
         own.alias("component_id"),
         F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of `docs`, with all their columns, without those that are near copies of an earlier
+    row. Rows are told apart by a number of their own, so rows that share an id, or have none, are
+    near copies like others: of repeated rows the first stays. Texts without words all stay."""
+    number = "row"
+    while number in docs.columns:
+        number += "_"
+    # Written, so that numbers do not change when a task runs again.
+    numbered = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "minmax-rows")
+    found = near_duplicates(numbered.select(F.col(number).alias("doc_id"), "text"), percent)
+    copies = found.where("not kept").select(F.col("doc_id").alias(number))
+    return numbered.join(copies, number, "left_anti").select(docs.columns)

@@ -29,7 +29,8 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _DIALLED = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOGIN = re.compile(r"://[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+")
-_ASSIGNED = re.compile(r"['\"]?\s?[:=]\s?['\"]?([A-Za-z0-9+/_.=-]{16,})")
+_ASSIGNMENT = re.compile(r"['\"]?\s?[:=]\s?['\"]?")
+_ASSIGNED = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _ACCOUNT = re.compile(r"[\s:#.]{0,3}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
 _SECRET_CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key")
 _ACCOUNT_CUES = ("iban", "account")
@@ -119,9 +120,12 @@ def find(text: str) -> list[tuple[int, int, str]]:
             if login and start < at:
                 add("login", start, login.end())
         elif anchor == "secret":
-            value = _ASSIGNED.match(text, last + 1)
-            if value and value.start(1) >= free["secret"]:
-                add("secret", value.start(1), value.end(1))
+            lead = _ASSIGNMENT.match(text, last + 1)
+            # Values run on over further cues, so each is read once.
+            if lead and lead.end() >= free["secret"]:
+                value = _ASSIGNED.match(text, lead.end())
+                if value:
+                    add("secret", *value.span())
         elif anchor == "account":
             value = _ACCOUNT.match(text, last + 1)
             # The longest valid beginning: words after the number may look like its last groups.
@@ -181,7 +185,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
     email, ip, card and phone; added are logins in addresses, account numbers after a cue with
     valid check digits, and secrets assigned to a cue.
 
-    A null text is empty and has no spans. Rows without an id are searched like others.
+    A null text is empty and has no spans. Repeated rows and rows without an id are searched like
+    others. Each text is read once from left to right, however long. An empty table has no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return docs.mapInArrow(_find, FOUND)

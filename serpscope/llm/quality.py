@@ -40,9 +40,15 @@ for _group, _members in enumerate(
     _KINDS[list(_members)] = _group
 _KINDS[list(_MARKS)] = np.arange(7, 7 + len(_MARKS))
 _N_KINDS = 7 + len(_MARKS)
+_SOLID = np.ones(256, dtype=bool)
+_SOLID[[9, 10, 11, 12, 13, 32]] = False
 FEATURES = _N_KINDS + 7 + BUCKETS
 
 
+#: Passages whose bytes are counted at a time, to bound memory for very long texts.
+COUNTED = 2000
+
+
 def passages(text: bytes | None) -> np.ndarray:
     """One row of features for each passage of a text; an empty text is one empty passage."""
     text = text or b""
@@ -52,16 +58,21 @@ def passages(text: bytes | None) -> np.ndarray:
     if not n:
         return np.zeros((1, FEATURES), dtype=np.float32)
     solid = np.zeros(len(codes) + 2, dtype=bool)
-    solid[1:-1] = ~np.isin(codes, (9, 10, 11, 12, 13, 32))
+    solid[1:-1] = _SOLID[codes]
     edge = np.flatnonzero(solid[1:] != solid[:-1])
     start, end = edge[::2], edge[1::2]
     own = np.arange(n) // PASSAGE
     count = own[-1] + 1
     words = np.bincount(own)
     # Bytes belong to the passage of the word they follow.
-    at = np.repeat(own, np.diff(start, append=len(codes)))
-    codes = codes[start[0] :]
-    kinds = np.bincount(at * _N_KINDS + _KINDS[codes], minlength=count * _N_KINDS)
+    kinds = np.zeros(count * _N_KINDS)
+    for a in range(0, n, PASSAGE * COUNTED):
+        begin = start[a : a + PASSAGE * COUNTED + 1]
+        end_byte = begin[-1] if len(begin) > PASSAGE * COUNTED else len(codes)
+        begin = begin[: PASSAGE * COUNTED]
+        at = np.repeat(own[a : a + len(begin)] - own[a], np.diff(begin, append=end_byte))
+        found = np.bincount(at * _N_KINDS + _KINDS[codes[begin[0] : end_byte]])
+        kinds[own[a] * _N_KINDS : own[a] * _N_KINDS + len(found)] += found
     kinds = kinds.reshape(count, _N_KINDS)
     size = (end - start).astype(np.float64)
 
@@ -203,14 +214,16 @@ def held_out(doc_id) -> F.Column:
 def drawn(docs: DataFrame, labels: DataFrame, label: str, n: int) -> DataFrame:
     """At most n labelled documents that may be learnt from, drawn by hash, with their label.
 
-    Only the ids of the sample are broadcast.
+    Only the ids of the sample are broadcast. Of rows that share an id the least text is taken.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).alias("label"))
     known = known.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.join(F.broadcast(known), "doc_id")
+    # One row of each id, so that the sample's bounds hold whatever repeats.
+    drawn = docs.join(F.broadcast(known), "doc_id").groupBy("doc_id", "label")
+    return drawn.agg(F.min("text").alias("text"))
 
 
 def _encode(batches):
@@ -245,19 +258,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return fit(bags, np.array([r["label"] for r in found]))
 
 
+def _scores(model: Model | None, texts: list[bytes | None]) -> np.ndarray:
+    scores = [np.zeros(0)]
+    for at in range(0, len(texts), 256):
+        bags = [passages(t) for t in texts[at : at + 256]]
+        start = np.cumsum([0, *(len(b) for b in bags[:-1])])
+        if model is None:
+            scores.append(np.full(len(bags), 0.5))
+        else:
+            scores.append(model.scores(np.concatenate(bags).astype(float), start))
+    return np.concatenate(scores)
+
+
 def _score(model: Model | None):
     def run(batches):
         for batch in batches:
-            scores = []
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for at in range(0, len(texts), 256):
-                bags = [passages(t) for t in texts[at : at + 256]]
-                start = np.cumsum([0, *(len(b) for b in bags[:-1])])
-                if model is None:
-                    scores.append(np.full(len(bags), 0.5))
-                else:
-                    scores.append(model.scores(np.concatenate(bags).astype(float), start))
-            score = pa.array(np.concatenate(scores) if scores else np.zeros(0))
+            score = pa.array(_scores(model, batch.column("text").cast(pa.binary()).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score], ["doc_id", "score"])
 
     return run
@@ -271,7 +287,9 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     `predicted` (1 from a score of GOOD). Only the text decides the score.
 
     Null and empty texts are one empty passage and get its score. Rows without an id are scored and
-    are not held out. Without any labelled document every score is 0.5.
+    are not held out. Repeated rows get equal scores; the model learns from one row of each id.
+    Long texts are read by slices. Without any labelled document every score is 0.5; an empty table
+    has no rows.
     """
     model = train(docs, labels)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -282,3 +300,16 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "score",
         (F.col("score") >= GOOD).cast("int").alias("predicted"),
     )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that the classifier does not reject. Each row is
+    judged by its own text, whatever ids it shares; nothing is shuffled."""
+    model = train(docs, labels)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            yield batch.filter(pa.array(_scores(model, texts) >= GOOD))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -260,7 +260,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     whether the last reaches LIMIT. Only the text decides.
 
     Null and empty texts have no words and get the chain's base rates. Rows without an id are
-    scored like others. Without any labelled document all probabilities are 0.
+    scored like others, and so are repeated rows; the chain learns from one row of each id. Words of
+    long texts are hashed by slices. Without any labelled document all probabilities are 0; an empty
+    table has no rows.
     """
     chain = train(docs, labels)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

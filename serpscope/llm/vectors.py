@@ -221,7 +221,9 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
 
     Vectors without a label, an id or a direction (null, empty, zero, null or non-finite
     components) link with nothing. Vectors of different lengths are not compared. Equal vectors
-    are linked with each other.
+    are linked with each other, repeated rows too. An id under two labels is two vectors: they share
+    no links and no component. Vectors are compared in blocks, however many a label has. An empty
+    table has no rows.
     """
     table = table.select(
         F.col("vec_id").cast("long").alias("vec_id"),
@@ -230,15 +232,16 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     )
     kinds = dict(table.dtypes)
     good = table.where(f"vec_id is not null and label is not null and {_valid('vector')}")
+    classes = good.groupBy("label", "vector").agg(
+        F.min("vec_id").alias("least"), F.count("*").alias("size")
+    )
+    # Classes go by a number of their own: labels may share ids.
     classes = materialize(
-        good.groupBy("label", "vector").agg(
-            F.min("vec_id").alias("node"), F.count("*").alias("size")
-        ),
-        "vector-classes",
+        classes.withColumn("node", F.monotonically_increasing_id()), "vector-classes"
     )
-    sized = classes.drop("size").withColumn("width", F.size("vector"))
+    sized = classes.drop("size", "least").withColumn("width", F.size("vector"))
     depths = materialize(
-        _depths(classes.drop("size"), kinds["label"], kinds["vector"], threshold), "vector-depths"
+        _depths(classes.drop("size", "least"), kinds["label"], kinds["vector"], threshold), "vector-depths"
     )
     hashed = sized.join(depths, ["label", "width"]).mapInArrow(
         _hash, _hashed(kinds["label"], kinds["vector"])
@@ -288,14 +291,17 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
         .groupBy("node")
         .agg(F.sum("n").alias("n"))
     )
+    names = merged.join(classes.select("node", "least"), "node")
+    names = names.groupBy("component").agg(F.min("least").alias("name"))
     facts = (
         classes.join(merged, "node", "left")
+        .join(names, "component", "left")
         .join(counts, "node", "left")
         .select(
             F.col("label"),
             "vector",
             (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.coalesce("name", "least").alias("component_id"),
         )
     )
     alone = table.where(f"not (vec_id is not null and label is not null and {_valid('vector')})")

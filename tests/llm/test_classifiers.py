@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -113,3 +114,19 @@ def test_without_labels_or_rows(spark, tables):
     assert {r["p_toxic"] for r in X.score_toxicity(docs, none).collect()} == {0.0}
     assert Q.score_quality(docs.where("false"), labels).count() == 0
     assert X.score_toxicity(docs.where("false"), labels).count() == 0
+
+
+def test_passages_are_counted_in_slices(monkeypatch):
+    text = ("Some words, in 12 LINES! é-ü\n\n" * 900).encode() + b" end"
+    whole = Q.passages(text)
+    monkeypatch.setattr(Q, "COUNTED", 1)
+    assert (Q.passages(text) == whole).all() and len(whole) > 50
+
+
+def test_an_id_that_repeats_is_learnt_from_once(spark):
+    rows = [(3, f"text {i}") for i in range(200)] + [(4, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1), (4, 0), (3, 1)], "doc_id long, quality int")
+    got = Q.drawn(docs, labels, "quality", 10).collect()
+    kept = [r for r in (3, 4) if zlib.crc32(str(r).encode()) % 5]
+    assert sorted(r["doc_id"] for r in got) == kept and kept

@@ -46,5 +46,17 @@ def test_rows_without_id_repeated_rows_and_empty_table(spark):
         (5, 4, 5, True),
         (7, 4, 5, False),
     ]
-    assert sum(r[0] is None for r in got) == 2
+    # Without an id a row is alone, even if its text is another's.
+    assert sorted(r for r in got if r[0] is None) == [(None, 0, None, True), (None, 4, None, True)]
     assert M.near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    text, other = "a b c d e f g h", "some other words that nothing else has in it"
+    rows = [(1, text), (1, text), (None, text), (None, other), (1, other), (2, None), (2, None), (3, "")]
+    docs = documents(spark, rows).withColumnRenamed("node", "row").coalesce(1)
+    kept = M.one_of_each(docs, 80)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(1, text), (None, other), (2, None), (2, None), (3, "")], key=str)
+    assert M.one_of_each(docs.limit(0)).count() == 0

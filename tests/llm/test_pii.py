@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from brute import base_spans, documents
 from hypothesis import given, settings
@@ -58,3 +59,12 @@ def test_table(spark, corpus):
     empty = next(r for r in got if r["doc_id"] == 300)
     assert empty["spans"] == "" and empty["base_sha256"] == hashlib.sha256(b"").hexdigest()
     assert pii.personal_data(documents(spark, [])).count() == 0
+
+
+def test_cues_that_run_on_take_linear_time():
+    """Each of these has a cue or anchor every few characters, in one run without end."""
+    for unit in ("token=", "://a", "a@", "+1", "1.", "1-", "iban AB12", "a.b@c."):
+        start = time.process_time()
+        pii.find(unit * 40_000)
+        assert time.process_time() - start < 5
+    assert [s for s in pii.find("token=" * 4) if s[2] == "secret"] == [(6, 24, "secret")]

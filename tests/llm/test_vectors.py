@@ -92,3 +92,16 @@ def test_passes_give_the_chance_asked_for():
     for depth in V.DEPTHS:
         meet = (1 - np.arccos(0.93) / np.pi) ** depth
         assert 1 - (1 - meet) ** V.passes_for(depth, 0.93) >= V.RECALL
+
+
+def test_an_id_under_two_labels_joins_nothing(spark):
+    x, y = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
+    rows = [(1, x, 1), (1, y, 2), (2, x, 1), (3, y, 2), (1, x, 1)]
+    got = sorted(map(tuple, V.near_vectors(table(spark, rows)).collect()))
+    assert got == [
+        (1, 1, 1, True),
+        (1, 2, 1, True),
+        (1, 2, 1, True),
+        (2, 2, 1, False),
+        (3, 1, 1, False),
+    ]
