@@ -20,7 +20,7 @@ def test_each_stage_against_brute_force(spark, data):
             scores = queries.quality(spark, data).collect()
             assert kept == {r["doc_id"] for r in scores if r["predicted"]} and len(kept) < len(before)
         elif name == "minhash_near_dedup":
-            want = near_copies([(r["doc_id"], r["text"]) for r in before], 85)
+            want = near_copies([(r["doc_id"], r["text"]) for r in before], P.SIMILAR)
             assert kept == {r[0] for r in want if r[3]} and len(kept) < len(before)
         elif name == "benchmark_decontamination":
             items = [normal(r["text"]) for r in queries.table(spark, data, "benchmark").collect()]
@@ -55,3 +55,24 @@ def test_near_copies_of_four_fifths_are_dropped(spark, data):
     kept = {r["doc_id"] for r in P.keep_one_of_each(spark, docs, data).collect()}
     assert kept == {r[0] for r in near_copies(rows, 80) if r[3]} == {1, 3}
     assert all(r[3] for r in near_copies(rows, 85))
+
+
+def test_stages_judge_rows_whatever_their_ids(spark, data):
+    items = queries.table(spark, data, "benchmark").collect()
+    good = [r["text"] for r in queries.table(spark, data, "documents").limit(3).collect()]
+    rows = [(1, good[0]), (1, good[0]), (None, good[0]), (1, items[0]["text"]), (None, good[1])]
+    rows += [(2, None), (2, None), (3, "")]
+    schema = "doc_id long, text string, row long, label int, n_chars int"
+    docs = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], schema).coalesce(1)
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, data)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), data).count() == 0
+        texts = [(r["doc_id"], r["text"]) for r in out.collect()]
+        if name == "minhash_near_dedup":
+            want = [rows[0], *rows[3:]]
+            assert sorted(texts, key=str) == sorted(want, key=str)
+        elif name == "benchmark_decontamination":
+            assert sorted(texts, key=str) == sorted([r for r in rows if r != rows[3]], key=str)
+        elif name == "pii":
+            assert len(texts) == len(rows)
+    assert P.STAGES[-1][1](spark, docs.limit(0), data).count() == 0
