@@ -3,6 +3,11 @@
 Each stage takes the documents its predecessor kept and returns documents of the same columns; the
 last returns the packed pieces. Between stages the rows are written and read again, so a lost
 executor costs one stage at most.
+
+Every stage judges rows, not ids: rows that share an id or have none are judged one by one, and of
+repeated rows the first stays. Null and empty texts are scored like others, have no near copies and
+no benchmark items, and are packed as their end token. Long texts are read whole. An empty table
+gives an empty table. Further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -10,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from serpscope.llm.decontaminate import benchmark_matches
-from serpscope.llm.minmax import near_duplicates
+from serpscope.llm.decontaminate import without_benchmark
+from serpscope.llm.minmax import one_of_each
 from serpscope.llm.packing import pack
 from serpscope.llm.pii import redacted
-from serpscope.llm.quality import score_quality
+from serpscope.llm.quality import good_documents
 from serpscope.session import materialize, ship_package
 
 
@@ -25,24 +30,19 @@ SIMILAR = 80
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     ship_package(spark)
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = score_quality(docs, labels).where("predicted = 0 and doc_id is not null")
-    return docs.join(scored.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
+    """One document of each group of near copies, the first."""
     ship_package(spark)
-    copies = near_duplicates(docs, SIMILAR).where("not kept").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return one_of_each(docs, SIMILAR)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     ship_package(spark)
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = benchmark_matches(docs, items).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(docs.columns)
+    return without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
