@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import gc
 import shutil
 import tempfile
 import uuid
@@ -73,3 +74,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps whose results are written.
+
+    Spark removes them when the driver's garbage collector finds that no plan refers to them, which
+    in a large heap can take hours; until then they fill the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
