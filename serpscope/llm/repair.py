@@ -393,7 +393,9 @@ def _long(rows: DataFrame, segment: int, keep: bool) -> DataFrame:
         F.col("rows.initial").alias("initials"),
     ).withColumn("illegal", F.size(F.filter(pairs, lambda p: ~p.isin("su", "ua", "au"))))
     segments = materialize(segments, "repair-segments")
-    ways = segments.select(*key, "segment", "segments", "codes").repartition(*key, "segment")
+    # So many partitions in any case: searches take long for their few bytes.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ways = segments.select(*key, "segment", "segments", "codes").repartition(tasks, *key, "segment")
     ways = materialize(ways.mapInArrow(_ways, WAYS), "repair-ways")
     chain = ways.drop("edits").groupBy(*key).applyInPandas(
         _chain, "conv_id long, segment long, entry int, exit int, cost long"
