@@ -30,21 +30,40 @@ def _powers_of(base: int, n: int) -> np.ndarray:
     return known[:n]
 
 
+#: Bytes of text that are hashed at a time; a longer word is hashed whole.
+HASHED_AT_ONCE = 1 << 20
+
+
+def hash_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, those of `text.split()`, and the number of words before
+    each text, with that of all at the end. Memory beyond the texts and hashes is bounded."""
+    joined = b" ".join(t or b"" for t in texts)
+    begin = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+    solid = joined.translate(_SOLID)
+    hashes, starts, at = [], [], 0
+    while at < len(joined):
+        end = solid.find(b"\0", at + HASHED_AT_ONCE)
+        end = len(joined) if end < 0 else end
+        flags = np.frombuffer(b"\0" + solid[at:end], dtype=bool)
+        start = np.flatnonzero(flags[1:] > flags[:-1])
+        if len(start):
+            codes = np.frombuffer(joined, dtype=np.uint8)[at + start[0] : end]
+            size = np.diff(start, append=end - at)
+            starts.append(start + at)
+            start = start - start[0]
+            place = np.arange(len(codes)) - np.repeat(start, size)
+            powers = _powers_of(BASE, int(size.max()))
+            terms = np.take(_BYTES, codes, mode="clip") * np.take(powers, place, mode="clip")
+            hashes.append(mix(np.add.reduceat(terms, start)))
+        at = end
+    if not hashes:
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(begin), dtype=np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), begin)
+
+
 def word_hashes(text: bytes | None) -> np.ndarray:
-    """Hashes of the words of a text, those of `text.split()`."""
-    if not text:
-        return np.zeros(0, dtype=np.uint64)
-    solid = np.frombuffer(b"\0" + text.translate(_SOLID), dtype=bool)
-    start = np.flatnonzero(solid[1:] > solid[:-1])
-    if not len(start):
-        return np.zeros(0, dtype=np.uint64)
-    codes = np.frombuffer(text, dtype=np.uint8)[start[0] :]
-    size = np.diff(start, append=len(text))
-    start -= start[0]
-    place = np.arange(len(codes)) - np.repeat(start, size)
-    powers = _powers_of(BASE, int(size.max()))
-    terms = np.take(_BYTES, codes, mode="clip") * np.take(powers, place, mode="clip")
-    return mix(np.add.reduceat(terms, start))
+    """Hashes of the words of a text."""
+    return hash_words([text])[0]
 
 
 def mix(values: np.ndarray) -> np.ndarray:

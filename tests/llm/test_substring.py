@@ -2,6 +2,7 @@ import pytest
 from brute import documents, windows_removed
 from texts import corpus  # noqa: F401
 
+from serpscope.llm import common, substring
 from serpscope.llm.substring import substring_dedup
 
 COLUMNS = ["doc_id", "n_words", "n_removed", "kept_sha256"]
@@ -24,22 +25,41 @@ def test_repeated_rows_are_no_copies_of_each_other(spark, corpus):
     assert len(found) == 4 and all(r["n_removed"] == 0 for r in found)
 
 
-def test_factors_name_their_source_and_cover_what_is_removed(spark, corpus):
-    texts = dict(corpus)
-    for row in substring_dedup(documents(spark, corpus)).collect():
-        own, gone = (row["kept_text"] or "").split(), set()
-        words = (texts[row["doc_id"]] or "").encode().split()
-        for factor in row["factors"]:
-            piece = words[factor["start"] : factor["end"]]
-            source = (texts[factor["source"]] or "").encode().split()
-            assert factor["source"] < row["doc_id"] and len(piece) >= 13
-            starts = [i for i, w in enumerate(source) if w == piece[0]]
-            for at in range(len(piece) - 12):
-                window = piece[at : at + 13]
-                assert any(source[i : i + 13] == window for i in range(len(source) - 12)), starts
-            gone.update(range(factor["start"], factor["end"]))
+def test_factors_stand_whole_in_their_source(spark, corpus):
+    a = [f"a{i}" for i in range(1, 15)]
+    split = " ".join([*a[:13], "zz", *a[1:]])
+    texts = dict(corpus) | {400: split, 401: " ".join(a)}
+    whole = 0
+    for row in substring_dedup(documents(spark, [*texts.items()])).collect():
+        words, gone = (texts[row["doc_id"]] or "").encode().split(), set()
+        for start, end, source, there in row["factors"]:
+            other = (texts[source] or "").encode().split()
+            assert source < row["doc_id"] and end - start >= 13
+            assert words[start:end] == other[there : there + end - start]
+            gone.update(range(start, end))
+            whole += end - start > 13
+        kept = [w.decode() for i, w in enumerate(words) if i not in gone]
+        assert row["kept_text"] == " ".join(kept)
         assert len(gone) == row["n_removed"] and len(words) == row["n_words"]
-        assert len(own) >= 0
+        if row["doc_id"] == 401:
+            assert [tuple(f)[2:] for f in row["factors"]] == [(400, 0), (400, 14)]
+    assert whole > 20
+
+
+def test_slices_change_nothing(spark, corpus, monkeypatch):
+    want = windows_removed(corpus, 13)
+    for module, name, value in ((common, "HASHED_AT_ONCE", 50), (substring, "TOGETHER", 300)):
+        monkeypatch.setattr(module, name, value)
+        given = [t.encode() if t is not None else None for _, t in corpus]
+        hashes, begin = common.hash_words(given)
+        monkeypatch.undo()
+        assert hashes.tolist() == [h for t in given for h in common.word_hashes(t).tolist()]
+        assert begin.tolist()[-1] == sum(r[1] for r in want)
+    texts = substring.Texts(given, 13)
+    first, count, anchor, block = texts.blocks()
+    alone = [substring.Texts([t], 13).blocks() for t in given]
+    for k, whole in enumerate((count, anchor, block), 1):
+        assert whole.tolist() == [v for one in alone for v in one[k].tolist()]
 
 
 def test_empty_table(spark):
