@@ -70,30 +70,56 @@ def leaf_paths(nodes: list) -> list[tuple]:
     return leaves
 
 
-def attribute(x: np.ndarray, leaves: list[tuple]) -> np.ndarray:
-    """Shapley values of each row: exact, because a leaf's value is a product over its path's
-    features of 'inside the interval' when the feature is known, else its pass-through share."""
-    out = np.zeros(x.shape)
+def leaf_tables(leaves: list[tuple]) -> list[tuple]:
+    """Per leaf the features of its path, their intervals, and a table of Shapley values.
+
+    A leaf's value is a product over its path's features: of a known feature whether it is inside
+    its interval, of an unknown one its pass-through share. So its contributions depend on a row
+    only through which of its m features are inside: one row of 2**m, indexed by these bits. Tables
+    of leaves with the same m are computed together.
+    """
+    by_size: dict[int, list[tuple]] = {}
     for value, path in leaves:
-        features = list(path)
-        m = len(features)
+        if path:
+            by_size.setdefault(len(path), []).append((value, path))
+    tables = []
+    for m, group in sorted(by_size.items()):
         weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
-        inside = {
-            f: ((x[:, f] > lo) & (x[:, f] <= hi)).astype(float)
-            for f, (lo, hi, _) in path.items()
-        }
-        for f in features:
-            # Coefficients by number of known features among the others.
-            sums = [np.ones(len(x))]
-            for g in features:
-                if g == f:
-                    continue
-                share = path[g][2]
-                known = [np.zeros(len(x))] + [c * inside[g] for c in sums]
-                unknown = [c * share for c in sums] + [np.zeros(len(x))]
-                sums = [a + b for a, b in zip(known, unknown, strict=True)]
-            total = sum(w * c for w, c in zip(weight, sums, strict=True))
-            out[:, f] += value * (inside[f] - path[f][2]) * total
+        inside = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
+        for at in range(0, len(group), TOGETHER):
+            some = group[at : at + TOGETHER]
+            value = np.array([v for v, _ in some])
+            share = np.array([[s for _, _, s in path.values()] for _, path in some])
+            found = np.empty((len(some), 1 << m, m))
+            for f in range(m):
+                # Coefficients by number of known features among the others.
+                sums = [np.ones((len(some), 1 << m))]
+                for g in range(m):
+                    if g != f:
+                        known = [0.0] + [c * inside[:, g] for c in sums]
+                        unknown = [c * share[:, g, None] for c in sums] + [0.0]
+                        sums = [a + b for a, b in zip(known, unknown, strict=True)]
+                total = sum(w * c for w, c in zip(weight, sums, strict=True))
+                found[:, :, f] = value[:, None] * (inside[:, f] - share[:, f, None]) * total
+            for (_, path), table in zip(some, found):
+                bounds = [(f, lo, hi) for f, (lo, hi, _) in path.items()]
+                tables.append((bounds, table))
+    return tables
+
+
+#: Leaves whose tables are computed together.
+TOGETHER = 2000
+
+
+def attribute(x: np.ndarray, tables: list[tuple]) -> np.ndarray:
+    """Shapley values of each row: for every leaf, one look-up by the bits of its path."""
+    out = np.zeros(x.shape)
+    columns = np.ascontiguousarray(x.T)
+    for bounds, table in tables:
+        bits = np.zeros(len(x), dtype=np.int64)
+        for k, (f, lo, hi) in enumerate(bounds):
+            bits |= ((columns[f] > lo) & (columns[f] <= hi)).astype(np.int64) << k
+        out[:, [f for f, _, _ in bounds]] += table[bits]
     return out
 
 
@@ -116,8 +142,10 @@ def feature_attribution(model: GBTRegressionModel, df: DataFrame, key: str) -> D
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # A few kilobytes a leaf, computed where they are used: a task computes them once.
+        tables = leaf_tables(shared.value)
         for batch in batches:
-            values = attribute(batch[S.FEATURES].to_numpy(dtype=float), shared.value)
+            values = attribute(batch[S.FEATURES].to_numpy(dtype=float), tables)
             out = pd.DataFrame(values, columns=names)
             out.insert(0, "base_value", base)
             out.insert(0, key, batch[key].to_numpy())

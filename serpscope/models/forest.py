@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from serpscope import schema as S
-from serpscope.operators.ordered import HOT_ROWS
-from serpscope.operators.quantiles import group_quantiles
+from serpscope.operators.quantiles import MAP_ROWS, group_quantiles
 from serpscope.session import materialize
 
 NODE_SCHEMA = (
@@ -30,24 +29,53 @@ def mean_depth(rows: float) -> float:
     return 2.0 * (np.log(rows - 1.0) + np.euler_gamma) - 2.0 * (rows - 1.0) / rows
 
 
+#: Positions on the circle that a row's hash is spread over, for each tree anew.
+CIRCLE = 1 << 31
+
+
+def _position(tree: Column) -> Column:
+    """Where a tree sees a row. The multiplier is odd, so the circle is mapped onto itself, and each
+    tree turns it by an offset of its own."""
+    factor = (tree * 1103515245 + 12345) % (CIRCLE // 2) * 2 + 1
+    offset = (tree * 22695477 + 97) % CIRCLE
+    return (F.col("_high") * factor + offset) % CIRCLE * F.lit(CIRCLE) + F.col("_low")
+
+
 def tree_samples(
     df: DataFrame, columns: list[str], key: str, trees: int, rows_per_tree: int, seed: int
 ) -> DataFrame:
-    """Exactly min(rows_per_tree, rows) distinct rows for every tree: those with its smallest
-    salted hashes. Only rows with a hash below a bound just above the share wanted are ranked."""
+    """Exactly min(rows_per_tree, rows) distinct rows for every tree: those it sees first.
+
+    A row is hashed once. Where it lies on a circle of 2**62 positions differs from tree to tree by
+    arithmetic alone, and it is emitted only for the trees that see it within an arc just above the
+    share wanted: rows made are in proportion to the samples, not to the table times the trees.
+    """
     narrow = df.select(F.col(key).cast("string").alias("_id"), *columns).na.drop("any")
     total = narrow.count()
     wanted = min(rows_per_tree, total)
-    rank = F.md5(F.concat(F.lit(f"{seed}/"), F.col("tree").cast("string"), F.lit("/"), F.col("_id")))
-    placed = narrow.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    placed = placed.withColumn("_rank", rank)
+    digest = F.md5(F.concat(F.lit(f"{seed}/"), F.col("_id")))
+    hashed = narrow.withColumns(
+        {
+            "_high": F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % CIRCLE,
+            "_low": F.conv(F.substring(digest, 9, 8), 16, 10).cast("long") % CIRCLE,
+        }
+    )
+    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
+
+    def seen(arc: int) -> DataFrame:
+        near = F.filter(numbers, lambda t: _position(t.cast("long")) < arc) if arc else numbers
+        placed = hashed.withColumn("tree", F.explode(near))
+        return placed.withColumn("_position", _position(F.col("tree").cast("long")))
+
     share = (rows_per_tree + 6 * math.sqrt(rows_per_tree) + 10) / max(1, total)
     if share < 1:
-        few = placed.where(F.col("_rank") < f"{math.ceil(share * (1 << 32)):08x}")
-        few = materialize(few, "tree-samples")
-        enough = few.groupBy("tree").count().where(F.col("count") >= wanted).count() == trees
-        placed = few if enough else placed
-    place = F.row_number().over(Window.partitionBy("tree").orderBy("_rank", "_id"))
+        placed = materialize(seen(math.ceil(share * CIRCLE * CIRCLE)), "tree-samples")
+        enough = placed.groupBy("tree").count().where(F.col("count") >= wanted).count() == trees
+        if not enough:
+            placed = seen(0)
+    else:
+        placed = seen(0)
+    place = F.row_number().over(Window.partitionBy("tree").orderBy("_position", "_id"))
     return placed.withColumn("_place", place).where(F.col("_place") <= wanted).select(
         "tree", "_id", *columns
     )
@@ -145,20 +173,15 @@ def score_outliers(
     forest: DataFrame,
     df: DataFrame,
     columns: list[str] | None = None,
-    contamination: float = 0.1,
-    offset: float | None = None,
-    hot_rows: int = HOT_ROWS,
+    *,
+    offset: float | None,
 ) -> DataFrame:
     """Decision score and flag per row. ``offset`` is the cut that ``training_cut`` found on the
-    training rows; without one the rows scored are taken to be those, and the contamination share
-    of them is flagged. Rows with a missing input keep a null score and no flag."""
+    training rows, None if there were none. Rows with a missing input keep a null score and no
+    flag."""
     columns = columns or S.OUTLIER_FEATURES
     scored = df.withColumn("_score", outlier_score(forest, columns))
-    if offset is None:
-        # Scoring is the costly pass: keep its result for the cut and the output.
-        scored = materialize(scored, "scores")
-        offset = contamination_cut(scored, contamination, hot_rows)
-    decision = F.col("_score") - F.lit(offset)
+    decision = F.col("_score") - F.lit(offset).cast("double")
     return scored.withColumns(
         {
             "anomaly_score": decision,
@@ -173,14 +196,14 @@ def training_cut(
     df: DataFrame,
     columns: list[str] | None = None,
     contamination: float = 0.1,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = MAP_ROWS,
 ) -> float:
     """The cut to keep beside a forest: the contamination share of its training rows lies below."""
     scored = df.select(outlier_score(forest, columns or S.OUTLIER_FEATURES).alias("_score"))
     return contamination_cut(materialize(scored, "scores"), contamination, hot_rows)
 
 
-def contamination_cut(scored: DataFrame, contamination: float, hot_rows: int = HOT_ROWS) -> float:
+def contamination_cut(scored: DataFrame, contamination: float, hot_rows: int = MAP_ROWS) -> float:
     """Score below which the contamination share of the rows lies."""
     whole = scored.where("_score is not null").select(F.lit(1).alias("_all"), "_score")
     cut = group_quantiles(whole, ["_all"], "_score", {"cut": contamination}, hot_rows=hot_rows)

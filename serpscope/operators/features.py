@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from serpscope import schema as S
 from serpscope.functions import keys as K
 from serpscope.functions import scalars as X
-from serpscope.operators.ordered import HOT_ROWS
-from serpscope.operators.quantiles import group_quantiles
+from serpscope.operators.quantiles import MAP_ROWS, group_quantiles
 
 
 def _total(column: str) -> Column:
@@ -36,7 +35,7 @@ def user_daily_features(log: DataFrame) -> DataFrame:
     )
 
 
-def query_daily_features(log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def query_daily_features(log: DataFrame, hot_rows: int = MAP_ROWS) -> DataFrame:
     """Per query and day: ctr, exact p95 latency, reformulation rate, in one aggregation."""
     keyed = log.where(F.col("timestamp").isNotNull()).select(
         K.query_key().alias("query_key"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from serpscope import schema as S
 from serpscope.functions import scalars as X
 from serpscope.operators.ordered import HOT_ROWS, over_order
-from serpscope.operators.quantiles import group_quantiles
+from serpscope.operators.quantiles import MAP_ROWS, group_quantiles
 
 SEGMENTS = ["country", "device_type", "browser_name", "os_name", "search_intent"]
 
@@ -48,7 +48,7 @@ def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) ->
     )
 
 
-def describe_exact(df: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+def describe_exact(df: DataFrame, columns: list[str], hot_rows: int = MAP_ROWS) -> DataFrame:
     """Count, mean, sample deviation, min, quartiles and max per numeric column."""
     pairs = F.array(
         *[
@@ -70,6 +70,7 @@ def describe_exact(df: DataFrame, columns: list[str], hot_rows: int = HOT_ROWS)
             "max": F.max("value"),
         },
         hot_rows,
+        costly=True,
     )
     order = ["mean", "std", "min", "p25", "p50", "p75", "max"]
     return stats.select(
@@ -256,7 +257,7 @@ def rolling_metrics(
 
 
 def latency_percentiles(
-    log: DataFrame, keys: list[str] | None = None, hot_rows: int = HOT_ROWS
+    log: DataFrame, keys: list[str] | None = None, hot_rows: int = MAP_ROWS
 ) -> DataFrame:
     keys = keys or ["device_type", "browser_name"]
     result = group_quantiles(

@@ -11,7 +11,7 @@ from serpscope import schema as S
 from serpscope.functions import keys as K
 from serpscope.operators.kpi import mart
 from serpscope.operators.ordered import HOT_ROWS, over_order
-from serpscope.operators.quantiles import group_quantiles
+from serpscope.operators.quantiles import MAP_ROWS, group_quantiles
 
 DRIFT_COLUMNS = ["latency_ms", "page_speed_score", "bounce_rate", "position", S.LABEL]
 
@@ -83,7 +83,7 @@ def alert_levels(
     log: DataFrame,
     segments: list[str] | None = None,
     history: int = 24,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = MAP_ROWS,
 ) -> DataFrame:
     """Level 1: the global score falls more than 5 % below its preceding hours, or p99 latency
     passes the limit. Level 2: a segment stays more than 2 % below for over two hours. Level 3:
@@ -381,7 +381,7 @@ def time_cuts(
     df: DataFrame,
     ts: str,
     shares: list[float],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = MAP_ROWS,
     accuracy: int | None = None,
 ) -> list[float]:
     """Times (in microseconds) below which the given shares of the rows lie; ``accuracy``

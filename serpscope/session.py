@@ -69,10 +69,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/serpscope/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage through a written table: one pass, columnar, survives lost executors."""
+def materialize(df: DataFrame, name: str = "stage", **options) -> DataFrame:
+    """Cut lineage through a written table: one pass, columnar, survives lost executors. ``options``
+    go to the writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

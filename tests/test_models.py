@@ -53,7 +53,7 @@ def test_attributions_add_up(model, matrix):
 def test_attributions_equal_brute_force_shapley(spark, model, matrix):
     leaves = A.leaf_paths(A.tree_nodes(model, spark).collect())
     x = matrix.limit(3).select(*S.FEATURES).toPandas().to_numpy(dtype=np.float32).astype(float)
-    got = A.attribute(x, leaves)
+    got = A.attribute(x, A.leaf_tables(leaves))
     used = sorted({f for _, path in leaves for f in path})
 
     def value(row, known):
@@ -93,6 +93,45 @@ def test_search_returns_the_best_trial(matrix):
     best, table = QM.tune_quality_model(matrix, trials=2, depths=(2, 3), trees=(2, 4))
     top = table.orderBy("mae").first()
     assert best["maxDepth"] == top.max_depth and table.count() == 2
+    # The winner's settings are those of a model.
+    model = QM.train_quality_model(matrix, **best)
+    assert model.getNumTrees == top.trees and model.getOrDefault("maxDepth") == top.max_depth
+    again = QM.tune_quality_model(matrix.repartition(3), trials=2, depths=(2, 3), trees=(2, 4), rows=200)
+    assert again[1].count() == 2
+
+
+def test_tables_of_leaves_equal_the_polynomials():
+    """Deep paths: the look-up gives what sums over subsets give, to nine places."""
+    draw = np.random.default_rng(8)
+
+    def polynomials(x, leaves):
+        out = np.zeros(x.shape)
+        for value, path in leaves:
+            features, m = list(path), len(path)
+            weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
+            inside = {f: ((x[:, f] > lo) & (x[:, f] <= hi)) * 1.0 for f, (lo, hi, _) in path.items()}
+            for f in features:
+                sums = [np.ones(len(x))]
+                for g in features:
+                    if g != f:
+                        known = [0.0] + [c * inside[g] for c in sums]
+                        unknown = [c * path[g][2] for c in sums] + [0.0]
+                        sums = [a + b for a, b in zip(known, unknown)]
+                total = sum(w * c for w, c in zip(weight, sums))
+                out[:, f] += value * (inside[f] - path[f][2]) * total
+        return out
+
+    leaves = []
+    for _ in range(300):
+        path = {}
+        for f in draw.permutation(10)[: draw.integers(0, 9)]:
+            lo, hi = sorted(draw.normal(size=2))
+            path[int(f)] = (lo, hi, draw.random())
+        leaves.append((draw.normal(), path))
+    x = draw.normal(size=(500, 10))
+    got = A.attribute(x, A.leaf_tables(leaves))
+    assert np.abs(got - polynomials(x, leaves)).max() < 1e-9
+    assert A.attribute(x, A.leaf_tables([(3.0, {})])).any() == False  # noqa: E712
 
 
 def test_records_and_promotion(spark, matrix, model):
@@ -118,7 +157,8 @@ def points(spark):
 def test_forest_finds_far_points(points):
     forest = materialize(OF.train_outlier_model(points, ["a", "b"], "id", 50, 64), "forest")
     assert forest.select("tree").distinct().count() == 50
-    scored = OF.score_outliers(forest, points, ["a", "b"]).collect()
+    cut = OF.training_cut(forest, points, ["a", "b"])
+    scored = OF.score_outliers(forest, points, ["a", "b"], offset=cut).collect()
     flagged = {r.id for r in scored if r.is_anomaly}
     assert {f"far{i}" for i in range(5)} <= flagged
     assert len(flagged) / len(scored) == pytest.approx(0.1, abs=0.01)
@@ -163,6 +203,27 @@ def test_tree_samples_stay_small_and_distinct(points):
     assert many.groupBy("tree", "a", "b").count().where("count > 1").count() == 0
 
 
+def test_rows_made_follow_the_samples_and_trees_differ(spark, monkeypatch):
+    """One hash a row: a row is made only for the trees that may take it."""
+    made = []
+
+    def counted(df, name):
+        made.append(df.count())
+        return materialize(df, name)
+
+    monkeypatch.setattr(OF, "materialize", counted)
+    table = spark.range(60_000).select(F.col("id").cast("string").alias("id"), F.rand(3).alias("a"))
+    drawn = OF.tree_samples(table, ["a"], "id", 40, 64, 1).collect()
+    assert len(made) == 1 and 40 * 64 <= made[0] < 40 * 64 * 3
+    ids = {}
+    for r in drawn:
+        ids.setdefault(r.tree, set()).add(r["_id"])
+    assert all(len(v) == 64 for v in ids.values()) and len(ids) == 40
+    # Trees draw from the whole table, each its own rows.
+    assert len(set().union(*ids.values())) > 0.95 * 40 * 64
+    assert abs(np.mean([int(r["_id"]) for r in drawn]) - 30_000) < 2_500
+
+
 def test_path_depths_follow_the_tree():
     tree = {
         "feature": np.array([0, -1, -1]),

@@ -1,5 +1,6 @@
 """Hot-key paths must equal the plain windows, and both must equal brute force."""
 
+import math
 import random
 from bisect import bisect_right
 from datetime import datetime, timedelta
@@ -14,9 +15,11 @@ from serpscope.operators import joins as J
 from serpscope.operators import kpi as R
 from serpscope.operators import monitor as M
 from serpscope.operators import star as D
+from serpscope.operators import quantiles as Q
 from serpscope.operators.ordered import CHUNK, over_order, range_chunks
-from serpscope.operators.quantiles import group_quantiles
+from serpscope.operators.quantiles import group_quantiles, narrowed_quantiles
 from serpscope.plans import training as T
+from serpscope.session import materialize
 
 HOT = 40
 
@@ -73,7 +76,46 @@ def test_hot_key_spreads_over_chunks(skewed):
     assert len(sizes) > 5 and max(sizes) < 4 * HOT
 
 
-@pytest.mark.parametrize("hot_rows", [HOT, 10_000])
+def test_narrowing_is_exact_for_any_doubles(spark):
+    draw = random.Random(7)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 1.0, 1.0 + 2**-52, -1e308, 1e308, float("inf"), float("-inf")]
+    data = [("odd", v) for v in odd] + [("same", 2.5)] * 40 + [("one", -3.0), (None, 7.0), ("none", None)]
+    data += [("many", draw.gauss(0, 1) * 10 ** draw.randint(-9, 9)) for _ in range(3000)]
+    data += [("ties", float(draw.randint(-3, 3))) for _ in range(500)]
+    df = spark.createDataFrame(data, "k string, v double").repartition(5)
+    asked = {"q0": 0.0, "q10": 0.1, "q50": 0.5, "q95": 0.95, "q1": 1.0}
+    got = {r.k: tuple(r)[1:] for r in narrowed_quantiles(df, ["k"], "v", asked).collect()}
+    by = {}
+    for k, v in data:
+        if v is not None:
+            by.setdefault(k, []).append(v)
+    assert got.keys() == by.keys()
+    for k, values in by.items():
+        values.sort()
+        for name, found in zip(asked, got[k]):
+            place = (len(values) - 1) * asked[name]
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            want = low if low == high else (1 - place % 1) * low + place % 1 * high
+            assert found == want or abs(found - want) <= 1e-12 * abs(want)
+
+
+def test_narrowing_reads_its_input_a_fixed_number_of_times(spark, monkeypatch):
+    written = []
+
+    def counted(df, name):
+        written.append(name)
+        return materialize(df, name)
+
+    monkeypatch.setattr(Q, "materialize", counted)
+    for n in (10, 5000):
+        written.clear()
+        df = spark.range(n).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v"))
+        row = narrowed_quantiles(df, ["k"], "v", {"p50": 0.5}).first()
+        assert row.p50 == (n - 1) / 2
+        assert written.count("value-codes") == 1 and written.count("value-ranks") == Q.ROUNDS
+
+
+@pytest.mark.parametrize("hot_rows", [HOT, 10_000, 0])
 def test_quantiles_match_percentile(skewed, hot_rows):
     got = group_quantiles(
         skewed,
