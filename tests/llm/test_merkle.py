@@ -76,14 +76,14 @@ def rows(n, sources, seed=1):
     return out
 
 
-@pytest.mark.parametrize("block", [1, 16, 256, None])
+@pytest.mark.parametrize("block", [16, None])
 def test_hot_source_and_many_small_ones(spark, block):
     some = rows(700, ["big", "big", None, "a", *(f"é{k}" for k in range(40))])
     got, want = proved(spark, [*some, *[some[3]] * 20, *rows(600, ["big"], 2)], block=block)
     assert got == want
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 4, 8, 9, 10, 26, 27, 28, 30, 55])
+@pytest.mark.parametrize("n", [2, 9, 10, 28, 55])
 def test_any_number_of_blocks(spark, n):
     got, want = proved(spark, rows(n, ["one"]), fanout=3, block=1)
     assert got == want
