@@ -26,7 +26,11 @@ def kpi_overview(log: DataFrame) -> DataFrame:
 
 def daily_volume(log: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Rows per calendar day; days without rows appear with 0."""
-    counts = log.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("_n"))
+    return with_empty_days(log.groupBy(F.to_date(ts).alias("day")).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def with_empty_days(counts: DataFrame) -> DataFrame:
+    """Counts `_n` per day as volumes of all calendar days in between."""
     days = counts.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).select(
         F.explode(F.sequence("lo", "hi")).alias("day")
     )
@@ -35,14 +39,19 @@ def daily_volume(log: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
-    """Fixed-width counts; values at or beyond the ends fall into the outer bins."""
+def histogram_bin(column: str, low: float, high: float, bins: int) -> Column:
+    """Number of a value's bin; values at or beyond the ends fall into the outer ones."""
     width = (high - low) / bins
     slot = F.floor((F.col(column) - F.lit(float(low))) / F.lit(width))
-    bin_no = F.greatest(F.lit(0), F.least(F.lit(bins - 1), slot)).cast("int")
+    return F.greatest(F.lit(0), F.least(F.lit(bins - 1), slot)).cast("int")
+
+
+def histogram(df: DataFrame, column: str, low: float, high: float, bins: int) -> DataFrame:
+    """Fixed-width counts."""
+    width = (high - low) / bins
     return (
         df.where(F.col(column).isNotNull())
-        .groupBy(bin_no.alias("bin"))
+        .groupBy(histogram_bin(column, low, high, bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select("bin", (F.lit(float(low)) + F.col("bin") * width).alias("bin_start"), "row_count")
     )
@@ -196,7 +205,7 @@ def mart(log: DataFrame, keys: dict[str, Column]) -> DataFrame:
     )
 
 
-def _merge_sums() -> list[Column]:
+def merge_sums() -> list[Column]:
     return [F.sum(n).alias(n) for n in COUNTED] + [
         F.round(F.sum(n), 6).alias(n) for n in SUMMED
     ]
@@ -213,16 +222,24 @@ def _rates() -> list[Column]:
 
 
 def daily_mart(log: DataFrame) -> DataFrame:
-    keys = {"day": F.to_date("timestamp"), **{c: F.col(c) for c in SEGMENTS}}
-    return mart(log, keys).select(*keys, "events", "clicks", *_rates())
+    return daily_rates(mart(log, {"day": F.to_date("timestamp"), **{c: F.col(c) for c in SEGMENTS}}))
+
+
+def daily_rates(finest: DataFrame) -> DataFrame:
+    """Rates from sums per day and segment."""
+    return finest.select("day", *SEGMENTS, "events", "clicks", *_rates())
 
 
 def segment_metrics(log: DataFrame, dimensions: list[str] | None = None) -> DataFrame:
     """Cube over the segment dimensions; the cube expands the pre-aggregated finest level, so
     its cost follows the number of segments and not the number of rows."""
     dims = dimensions or SEGMENTS
-    finest = mart(log, {c: F.col(c) for c in dims})
-    cubed = finest.cube(*dims).agg(F.grouping_id().alias("grouping_set"), *_merge_sums())
+    return cube_metrics(mart(log, {c: F.col(c) for c in dims}), dims)
+
+
+def cube_metrics(finest: DataFrame, dims: list[str]) -> DataFrame:
+    """Rates of all combinations from sums at the finest level."""
+    cubed = finest.cube(*dims).agg(F.grouping_id().alias("grouping_set"), *merge_sums())
     return cubed.select(
         *dims, F.col("grouping_set").cast("bigint").alias("grouping_set"), "events", *_rates()
     )
@@ -233,7 +250,13 @@ def rolling_metrics(
 ) -> DataFrame:
     """Rolling rates per key over calendar days, as sum over sum of the daily table. A key has
     at most one row per day when the window runs."""
-    daily = mart(log, {key: F.col(key), "day": F.to_date("timestamp")})
+    return rolling_rates(mart(log, {key: F.col(key), "day": F.to_date("timestamp")}), key, windows)
+
+
+def rolling_rates(
+    daily: DataFrame, key: str = "user_id_masked", windows: tuple[int, ...] = (7, 30)
+) -> DataFrame:
+    """Rolling rates from sums per key and day."""
     columns = []
     for n in windows:
         frame = f"INTERVAL '{n - 1}' DAY"
@@ -304,7 +327,11 @@ def ctr_at_rank(log: DataFrame) -> DataFrame:
 def kpi_change(log: DataFrame) -> DataFrame:
     """Daily score against that of the calendar day before, and the revenue exposed to the drop.
     After a day without events there is no change."""
-    daily = mart(log, {"day": F.to_date("timestamp")})
+    return change_by_day(mart(log, {"day": F.to_date("timestamp")}))
+
+
+def change_by_day(daily: DataFrame) -> DataFrame:
+    """Changes from sums per day."""
     # One row per day: the single-partition window runs over the calendar only.
     by_day = Window.orderBy("day")
     score = F.col("score_sum") / F.col("events")

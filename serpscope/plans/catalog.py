@@ -26,6 +26,7 @@ from serpscope.operators import staging as G
 from serpscope.operators import star as D
 from serpscope.operators.ordered import over_order
 from serpscope.operators.quantiles import group_quantiles
+from serpscope.plans import marts as MT
 from serpscope.plans import oracle as O
 from serpscope.plans import training as T
 from serpscope.plans.daily import requests_of
@@ -772,6 +773,24 @@ on_log("rolling_7d_30d", R.rolling_metrics)
 on_log("segment_metrics", R.segment_metrics)
 on_log("daily_metrics_mart", R.daily_mart)
 on_log("latency_percentiles", R.latency_percentiles)
+
+
+def _two_runs(report: str) -> Query:
+    """A report from tables that two runs keep: all but the last days, then the last ten, of which
+    the first is loaded again."""
+
+    def run(spark: SparkSession, data: str) -> DataFrame:
+        log, root = L.load_log(spark, data), scratch_path(spark, "marts")
+        day = F.to_date("timestamp")
+        MT.update(log.where(day <= F.lit(O.KEPT_DAY)), root)
+        MT.update(log.where(day >= F.lit(O.KEPT_DAY)), root)
+        return MT.REPORTS[report](spark, root)
+
+    return run
+
+
+for _name, _report in O.KEPT.items():
+    QUERIES[f"kept_{_name}"] = _two_runs(_report)
 on_log("ctr_at_rank1", R.ctr_at_rank)
 on_log("input_kpis", R.input_kpis)
 on_log("kpi_change_24h", R.kpi_change)

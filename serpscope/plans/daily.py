@@ -13,7 +13,7 @@ from serpscope.functions import keys as K
 from serpscope.models import attribution, forest, quality
 from serpscope.operators import features, kpi, monitor, star
 from serpscope.operators import quality as checks
-from serpscope.plans import training
+from serpscope.plans import marts, training
 from serpscope.session import materialize
 from serpscope.sources import log as source
 from serpscope.sources import sinks
@@ -109,17 +109,18 @@ def score(requests: DataFrame, store: Store, version: str) -> DataFrame:
     return flagged.unionByName(refused, allowMissingColumns=True)
 
 
-def report(log: DataFrame, store: Store) -> list[str]:
-    """KPI and monitoring tables."""
-    tables = {
+def report(log: DataFrame, store: Store, since: str | None = None) -> list[str]:
+    """KPI and monitoring tables.
+
+    Those that add up come from tables kept by days, of which only the days from `since` on are read
+    and replaced. The others look at all events that the log has.
+    """
+    spark = log.sparkSession
+    marts.update(source.time_slice(log, since), store.path("marts"))
+    tables = {n: build(spark, store.path("marts")) for n, build in marts.REPORTS.items()} | {
         "overview": kpi.kpi_overview(log),
-        "daily_volume": kpi.daily_volume(log),
-        "score_histogram": kpi.histogram(log, S.LABEL, 0.0, 100.0, 50),
         "input_kpis": kpi.input_kpis(log),
-        "daily_mart": kpi.daily_mart(log),
-        "segments": kpi.segment_metrics(log),
         "latency_percentiles": kpi.latency_percentiles(log),
-        "score_change": kpi.kpi_change(log),
         "alerts": monitor.alert_levels(log),
         "anomalies": monitor.zscore_anomalies(log),
     }

@@ -244,6 +244,16 @@ sessions AS (
 CUT = "2024-01-16 00:00:00"
 AS_OF = "2024-01-20 12:00:00"
 FRESH_AS_OF = "2024-02-01 12:00:00"
+#: The day at which the second of two runs begins, and which reports they keep.
+KEPT_DAY = "2024-01-21"
+KEPT = {
+    "daily_volume": "daily_volume",
+    "score_histogram": "score_histogram",
+    "daily_metrics_mart": "daily_mart",
+    "segment_metrics": "segments",
+    "rolling_7d_30d": "rolling",
+    "kpi_change_24h": "score_change",
+}
 WATERMARK_CUT = "2024-01-21 06:00:00"
 INCIDENT_DAY = "2024-01-15"
 
@@ -1167,6 +1177,10 @@ moved AS (
 
     sql["attribution_additivity"] = on_log("SELECT event_id, true AS adds_up FROM log")
 
+    # reports from tables that two runs keep
+    for name in KEPT:
+        sql[f"kept_{name}"] = sql[name]
+
     # the paths of hot groups, forced
     for name in ["exact_quantile", "latency_percentiles", "query_daily_features"]:
         sql[f"{name}_narrowed"] = sql[name]

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from serpscope import schema as S
 from serpscope.operators import incremental as I
+from serpscope.operators import kpi as R
 from serpscope.operators import quality as Q
 from serpscope.operators import star as D
-from serpscope.plans import daily
+from serpscope.plans import daily, marts
 from serpscope.session import scratch_path
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
@@ -93,3 +94,18 @@ def test_checks_read_needed_columns_only(spark, stored):
     plan = _plan(Q.validate_events(L.scan_events(spark, stored)))
     schema = [x for x in plan.splitlines() if "ReadSchema" in x]
     assert len(schema) == 1 and "serp_features" not in schema[0]
+
+
+def test_two_runs_keep_what_one_would(spark, log, stored):
+    """The second run replaces the days it gets, reads their folders only, and can be repeated."""
+    scanned = L.scan_events(spark, stored)
+    whole, parts = scratch_path(spark, "marts"), scratch_path(spark, "marts")
+    marts.update(scanned, whole)
+    marts.update(L.time_slice(scanned, None, "2024-01-20 12:00:00"), parts)
+    last = L.time_slice(scanned, "2024-01-20 00:00:00")
+    assert "PartitionFilters: [isnotnull(" in _plan(last)
+    for _ in range(2):
+        marts.update(last, parts)
+        for build in marts.REPORTS.values():
+            assert rows(build(spark, parts)) == rows(build(spark, whole))
+    assert rows(marts.daily_mart(spark, whole)) == rows(R.daily_mart(log))
