@@ -31,6 +31,7 @@ from serpscope.plans import oracle as O
 from serpscope.plans import training as T
 from serpscope.plans.daily import requests_of
 from serpscope.session import materialize, scratch_path
+from serpscope.sources import clustered as CL
 from serpscope.sources import log as L
 from serpscope.sources import sinks as W
 from serpscope.sources import versioned as V
@@ -340,6 +341,21 @@ def _looked_up(log, uf, qf) -> DataFrame:
 
 
 on_features("online_lookup", _looked_up)
+@query("online_lookup_clustered")
+def _(spark, data):
+    """The look-up against stored latest tables, clustered by key."""
+    log = L.load_log(spark, data)
+    found = T.entity_rows(log).select("event_id", "user_id_masked", "query_key")
+    for key, features, columns in [
+        ("user_id_masked", FT.user_daily_features(log), S.USER_FEATURES),
+        ("query_key", FT.query_daily_features(log), S.QUERY_FEATURES),
+    ]:
+        latest, path = FT.latest_snapshot(features, key, "2024-01-15 00:00:00"), scratch_path(spark, "latest")
+        CL.write_clustered(latest, path, key)
+        found = CL.lookup_clustered(found, path, latest.schema, key, columns)
+    return found
+
+
 on_features("cold_start_defaults", lambda log, uf, qf: J.fill_cold(_looked_up(log, uf, qf)))
 
 

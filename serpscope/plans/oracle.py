@@ -561,6 +561,7 @@ def statements() -> dict[str, str]:
         MATRIX,
     )
     sql["online_lookup"] = on_log("SELECT * FROM looked", FEATURES, _REQUESTS)
+    sql["online_lookup_clustered"] = sql["online_lookup"]
     sql["cold_start_defaults"] = on_log(
         "SELECT event_id, user_id_masked, query_key, "
         + ", ".join(
