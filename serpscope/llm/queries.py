@@ -30,7 +30,7 @@ def table(spark: SparkSession, data: str, name: str) -> DataFrame:
 def substring(spark: SparkSession, data: str) -> DataFrame:
     """Windows of 13 words that also start in an earlier document are removed."""
     docs = table(spark, data, "documents")
-    return substring_dedup(docs, width=13, keep_text=False).drop("kept_text")
+    return substring_dedup(docs, width=13, keep_text=False).drop("kept_text", "factors")
 
 
 def sharding(spark: SparkSession, data: str) -> DataFrame:
@@ -94,7 +94,79 @@ def merkle(spark: SparkSession, data: str) -> DataFrame:
     return proofs(manifest(docs, seen={"text": tampered_text()}), keep=False).drop("proof")
 
 
-ORACLES: dict[str, str] = {}
+# SQL for small tables: it compares all pairs that share a shingle or a label.
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Smallest id that each of `nodes` reaches over `links` (a, b).
+_REACH = """
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, low) AS (
+  SELECT id, id FROM nodes
+  UNION
+  SELECT ends.b, reach.low FROM reach JOIN ends ON ends.a = reach.node WHERE reach.low < ends.b
+),
+named AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node)
+"""
+ORACLES: dict[str, str] = {
+    "op1_relative_parsing": f"""
+WITH d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS w
+  FROM d, unnest(range(1, greatest(len(ws) - 11, 1))) AS t(i)
+),
+firsts AS (SELECT w, min(doc_id) AS f FROM win GROUP BY w),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS p
+  FROM win JOIN firsts USING (w), (SELECT unnest(range(13)) AS k) WHERE f < doc_id
+),
+word AS (SELECT doc_id, p, ws[p] AS x FROM d, unnest(range(1, len(ws) + 1)) AS t(p)),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op9_minmax_dedup": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id,
+    array_to_string(CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i + 4] END, ' ') AS g
+  FROM d, unnest(range(1, greatest(len(ws) - 3, 2))) AS t(i) WHERE len(ws) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM s AS x JOIN s AS y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2
+  ) JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b
+  WHERE 100 * c >= 85 * (na.n + nb.n - c)
+),
+nodes AS (SELECT doc_id AS id FROM documents),
+{_REACH}
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN named ON node = doc_id
+""",
+    "op10_projection_passes": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v AS x JOIN v AS y
+  ON x.label = y.label AND x.vec_id < y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.93
+),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{_REACH}
+SELECT vec_id, (SELECT count(*) FROM ends WHERE a = vec_id) AS n_links, component_id,
+  vec_id = component_id AS kept
+FROM embeddings JOIN named ON node = vec_id
+""",
+}
 QUERIES: dict[str, Query] = {
     "op1_relative_parsing": substring,
     "op2_hilbert_shards": sharding,
