@@ -9,11 +9,12 @@ that filters on any of them skips most files.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from serpscope.llm.common import global_rank
+from serpscope.session import materialize
 
 #: Bits of a cell; with three dimensions the curve has 4096 points.
 BITS = 4
@@ -21,8 +22,6 @@ BITS = 4
 MOST_POINTS = 1 << 16
 #: Accuracy of the quantiles that separate cells.
 ACCURACY = 10_000
-#: Bytes of a text value that order it, after what all values begin with.
-PREFIX = 7
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -49,40 +48,52 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _shared_prefix(low: str | None, high: str | None) -> int:
-    """Bytes that all values between two begin with."""
-    a, b = (low or "").encode(), (high or "").encode()
-    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+def _text_cuts(values: DataFrame, cells: int) -> list[str]:
+    """The values at which whole text values, in byte order, are cut into cells of equal counts.
 
-
-def _number(column: Column, numeric: bool, skip: int) -> Column:
-    """The value as a number of the same order; text by its first bytes after those to skip."""
-    if numeric:
-        return column.cast("double")
-    digits = F.hex(F.substring(F.encode(column, "UTF-8"), skip + 1, PREFIX))
-    return F.conv(F.rpad(digits, 2 * PREFIX, "0"), 16, 10).cast("double")
+    Distinct values with their counts are sorted by range; counts add up within each range and over
+    the ranges, one number each. Only the cuts reach the driver.
+    """
+    counted = values.where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    counted = counted.repartitionByRange("v").withColumn("part", F.spark_partition_id())
+    counted = materialize(counted, "shard-values")
+    sums = counted.groupBy("part").agg(F.sum("n")).collect()
+    total, before = 0, {}
+    for part, n in sorted(map(tuple, sums)):
+        before[part] = total
+        total += n
+    if not total:
+        return []
+    offsets = values.sparkSession.createDataFrame([*before.items()], "part int, before long")
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v")) + F.col("before")
+    placed = counted.join(F.broadcast(offsets), "part").withColumn("upto", upto)
+    # Values with which the count passes multiples of a cell's share: a cut for each multiple, so
+    # that few distinct values still lie as far apart as their counts.
+    passed = F.expr(f"upto * {cells} div {total} - (upto - n) * {cells} div {total}")
+    found = placed.where(F.col("upto") < total).select("v", passed.alias("cuts")).where("cuts > 0")
+    return sorted((v for v, n in found.collect() for _ in range(n)), key=str.encode)
 
 
 def with_curve(df: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """The rows with `curve`, their index on the curve over the columns named.
 
-    Numbers are cut at their quantiles, other types as text. A null shares the lowest cell.
+    Numbers are cut at their quantiles, other types as text at those of their whole values. A null
+    shares the lowest cell.
     """
     if 1 << (bits * len(dims)) > MOST_POINTS:
         raise ValueError("the curve has too many points; use fewer bits or dimensions")
     numeric = {f.name: isinstance(f.dataType, NumericType) for f in df.schema.fields}
-    own = {d: F.col(d) if numeric[d] else F.col(d).cast("string") for d in dims}
-    text = [d for d in dims if not numeric[d]]
-    ends = df.agg(F.lit(0), *[f(own[d]) for d in text for f in (F.min, F.max)]).first()[1:]
-    skip = {d: _shared_prefix(*ends[2 * i : 2 * i + 2]) for i, d in enumerate(text)}
-    number = {d: _number(own[d], numeric[d], skip.get(d, 0)) for d in dims}
+    own = {d: F.col(d).cast("double" if numeric[d] else "string") for d in dims}
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(number[d], shares, ACCURACY) for d in dims]).first()
+    numbers = [d for d in dims if numeric[d]]
+    cuts = df.agg(F.lit(0), *[F.percentile_approx(own[d], shares, ACCURACY) for d in numbers])
+    cuts = dict(zip(numbers, cuts.first()[1:]))
+    cuts |= {d: _text_cuts(df.select(own[d].alias("v")), 1 << bits) for d in dims if not numeric[d]}
     code = F.lit(0)
-    for d, bounds in zip(dims, cuts):
+    for d in dims:
         cell = F.lit(0)
-        for bound in bounds or []:
-            cell = cell + F.coalesce(number[d] > bound, F.lit(False)).cast("int")
+        for bound in cuts[d] or []:
+            cell = cell + F.coalesce(own[d] > bound, F.lit(False)).cast("int")
         code = code * (1 << bits) + cell
     points = np.indices([1 << bits] * len(dims)).reshape(len(dims), -1).T
     places = [(i, int(h)) for i, h in enumerate(hilbert_index(points, bits))]
@@ -100,8 +111,9 @@ def hilbert_shards(
     place there, gapless from 0), `grown_shard` (null: counts change with every row) and `curve`.
 
     A null text is empty. Null dimensions share the lowest cell. Rows at one point of the curve are
-    ordered by checksum, so that equal texts stay together, then by id. With fewer rows than
-    shards, some shards stay empty.
+    ordered by checksum, so that equal texts stay together, then by id; repeated rows are rows of
+    their own. With fewer rows than shards, some shards stay empty; an empty table has no rows. Only
+    lengths and checksums of texts are moved, however long they are.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(

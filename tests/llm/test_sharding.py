@@ -1,8 +1,10 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
 
+from serpscope.llm import sharding
 from serpscope.llm.sharding import hilbert_index, hilbert_shards, write_shards
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank long, curve int"
@@ -60,3 +62,46 @@ def test_files_can_be_skipped(spark, rows, tmp_path):
 
 def test_empty_table(spark):
     assert hilbert_shards(table(spark, []), ["lang", "source", "n_chars"]).count() == 0
+
+
+def test_text_cells_hold_equal_counts_whatever_values_begin_with(spark):
+    """One value that breaks the shared beginning leaves all cells in use."""
+    urls = [f"https://www.site{i:03}.org" for i in range(100)] + ["ftp://x", "", None]
+    df = spark.createDataFrame([(u, i) for i, u in enumerate(urls)], "d string, i int").repartition(3)
+    cells = {r["d"]: r["curve"] for r in sharding.with_curve(df, ["d"]).collect()}
+    used = sorted(cells.values())
+    assert len(set(used)) == 16 and max(map(used.count, set(used))) <= 9
+    assert cells[None] == cells[""]
+    # In one dimension the curve is the order of the values.
+    known = sorted((u for u in urls if u is not None), key=str.encode)
+    assert [cells[u] for u in known] == sorted(cells[u] for u in known)
+
+
+def test_shards_by_brute_force(spark):
+    """The assignment recomputed: rows in the order of curve, checksum and id, cut in even runs."""
+    draw = random.Random(1)
+    rows = [
+        (i if i % 9 else None, draw.choice(["a", "b c", None, "", f"t{i}"]), draw.choice(["x", "y", None]), i % 13)
+        for i in range(150)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(4)
+    got = sharding.hilbert_shards(docs, ["source", "n"], 16).collect()
+    order = sorted(got, key=lambda r: (r.curve, r.text_crc32, r.doc_id is not None, r.doc_id or 0, r["size"]))
+    n = len(order)
+    want, slots = [], {}
+    for rank, r in enumerate(order):
+        shard = rank * 16 // n
+        want.append((r.doc_id, shard, slots.get(shard, 0)))
+        slots[shard] = slots.get(shard, 0) + 1
+    key = lambda r: (r[1], r[2])
+    assert sorted(((r.doc_id, r.shard, r.slot) for r in got), key=key) == sorted(want, key=key)
+    assert max(slots.values()) - min(slots.values()) <= 1 and len(slots) == 16
+    for r in got:
+        assert r.text_crc32 in {zlib.crc32((t or "").encode()) for _, t, _, _ in rows}
+    by_point = {(s, m): None for _, _, s, m in rows}
+    curves = sharding.with_curve(docs.select("source", "n"), ["source", "n"]).collect()
+    for r in curves:
+        assert by_point[r.source, r.n] in (None, r.curve)
+        by_point[r.source, r.n] = r.curve
+    empty = sharding.hilbert_shards(docs.limit(0), ["source", "n"], 16)
+    assert empty.count() == 0
