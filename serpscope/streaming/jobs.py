@@ -9,7 +9,7 @@ once, and an event that the watermark has dropped as late is in none of them.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -107,10 +107,7 @@ def tumbling_quality(
     run_available(quality_windows(with_watermark(log, delay, path=path), width), path)
 
 
-SESSION = (
-    "user_id_masked string, session_start timestamp, session_end timestamp, events long, clicks long"
-)
-_MILLI = timedelta(milliseconds=1)
+SESSION = "user_id_masked string, session_start long, session_end long, events long, clicks long"
 
 
 class SessionChain(StatefulProcessor):
@@ -122,18 +119,17 @@ class SessionChain(StatefulProcessor):
     """
 
     def __init__(self, gap: timedelta, width: timedelta):
-        self.gap, self.width = gap, width
+        self.gap, self.width = (t // timedelta(microseconds=1) for t in (gap, width))
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        schema = "first timestamp, last timestamp, events long, clicks long"
-        self.open = handle.getListState("open", schema)
+        # Times are microseconds, which no time zone of a worker can shift.
+        self.open = handle.getListState("open", "first long, last long, events long, clicks long")
 
-    def _due(self, last: datetime) -> int:
-        """When all pieces are in that may begin within the gap: at the end of their window."""
-        width = self.width // _MILLI
-        latest = int(pd.Timestamp(last + self.gap).tz_localize("UTC").timestamp() * 1000)
-        return (latest // width + 1) * width
+    def _due(self, last: int) -> int:
+        """When all pieces are in that may begin within the gap: the end of their window, in
+        milliseconds."""
+        return ((last + self.gap) // self.width + 1) * self.width // 1000
 
     def _keep(self, sessions: list[tuple]) -> None:
         timers = {int(t[0]) if isinstance(t, tuple) else int(t) for t in self.handle.listTimers()}
@@ -149,8 +145,7 @@ class SessionChain(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         columns = ["first", "last", "events", "clicks"]
-        pieces = [tuple(r) for frame in rows for r in frame[columns].itertuples(index=False)]
-        pieces = [(_plain(a), _plain(b), int(n), int(c)) for a, b, n, c in pieces]
+        pieces = [tuple(map(int, r)) for frame in rows for r in frame[columns].itertuples(index=False)]
         chained: list[tuple] = []
         for piece in sorted([*(tuple(s) for s in self.open.get()), *pieces]):
             if chained and piece[0] - chained[-1][1] <= self.gap:
@@ -185,10 +180,6 @@ class SessionChain(StatefulProcessor):
         pass
 
 
-def _plain(at) -> datetime:
-    return pd.Timestamp(at).to_pydatetime().replace(tzinfo=None)
-
-
 def sessions(events: DataFrame, gap_minutes: int = S.SESSION_GAP_MINUTES) -> DataFrame:
     """Sessions per user of a stream with a watermark.
 
@@ -199,10 +190,10 @@ def sessions(events: DataFrame, gap_minutes: int = S.SESSION_GAP_MINUTES) -> Dat
     pieces = (
         events.groupBy("user_id_masked", F.window("event_time", f"{gap_minutes} minutes").alias("window"))
         .agg(
-            F.min("event_time").alias("first"),
-            F.max("event_time").alias("last"),
+            F.unix_micros(F.min("event_time")).alias("first"),
+            F.unix_micros(F.max("event_time")).alias("last"),
             F.count(F.lit(1)).alias("events"),
-            F.sum("clicks").alias("clicks"),
+            F.coalesce(F.sum("clicks"), F.lit(0)).alias("clicks"),
         )
         .select("user_id_masked", F.window_time("window").alias("piece_time"), "first", "last", "events", "clicks")
     )
@@ -211,8 +202,7 @@ def sessions(events: DataFrame, gap_minutes: int = S.SESSION_GAP_MINUTES) -> Dat
     )
     return chained.select(
         "user_id_masked",
-        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+        *[F.timestamp_micros(c).cast("timestamp_ntz").alias(c) for c in ("session_start", "session_end")],
         "events",
         "clicks",
     )
