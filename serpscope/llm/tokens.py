@@ -26,12 +26,12 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 #: Ends each document.
 END_ID = 2
 #: Pieces a worker remembers, and the length beyond which it doesn't.
-REMEMBERED = 1_600_000
+REMEMBERED = 1_000_000
 REMEMBERED_LENGTH = 64
 #: Words that are encoded as one text.
 TOGETHER = 2000
 #: Characters of text that are cut at a time.
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 # Fixed: blank characters as the library has them; Python also counts 0x1c-0x1f. Latin letters are
 # those that no normalisation takes apart.
