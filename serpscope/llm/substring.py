@@ -43,7 +43,9 @@ ANCHOR = 4
 #: In place of a source.
 NONE = np.iinfo(np.int64).min
 #: Bytes of the texts that are hashed together; a longer text is hashed alone.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 20
+#: Bytes of a row group of written texts.
+ROW_GROUP = 8 << 20
 #: Bits of a word's place beside its anchor's order; the others are of the hash.
 PLACE_BITS = 30
 
@@ -334,7 +336,8 @@ def substring_dedup(docs: DataFrame, width: int = 13, keep_text: bool = True) ->
         F.col("whole.first").alias("whole_source"),
         F.col("whole.place").alias("whole_place"),
     )
-    judged = materialize(judged, "substring-verdicts")
+    # Writers buffer a row group for each task.
+    judged = materialize(judged, "substring-verdicts", **{"parquet.block.size": ROW_GROUP})
     release(spark)
     windows = judged.where("size(open) > 0").mapInArrow(
         _open_windows(width), "window long, doc_id long, place int"
