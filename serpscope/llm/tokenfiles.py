@@ -16,7 +16,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,9 +38,11 @@ def encode_values(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
     values = np.ascontiguousarray(values, dtype="<u4")
     extra = np.zeros((len(values) + 3) // 4 * 4, dtype=np.uint8)
-    for limit in (1 << 8, 1 << 16, 1 << 24):
-        extra[: len(values)] += values >= limit
-    data = values.view(np.uint8).reshape(-1, 4)[_KEPT[extra[: len(values)]]]
+    longest = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    for n in range(1, longest):
+        extra[: len(values)] += values >= 1 << 8 * n
+    kept = _KEPT[:, :longest][extra[: len(values)]]
+    data = values.view(np.uint8).reshape(-1, 4)[:, :longest][kept]
     codes = extra.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
     return control.tobytes(), data.tobytes()
@@ -55,28 +56,27 @@ def decode_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values.view("<u4").ravel()
 
 
-def _packed(batches):
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        packed = [press.compress(t or b"") for t in texts]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "packed"]
-        )
-
-
 def _tokens(path: str):
-    """Blocks of raw ids, in the order of the rows."""
+    """Blocks of raw ids, in the order of the rows; a task's last one says how often it had each."""
 
     def run(batches):
-        own, press = encoder(path), zstandard.ZstdDecompressor()
+        own = encoder(path)
         part, number, ids, tokens, n = TaskContext.get().partitionId(), 0, [], [], 0
+        count = np.zeros(own.tokenizer.get_vocab_size(), dtype="<i8")
 
-        def block():
+        def block(last: bool):
             sizes = np.array([len(t) for t in tokens], dtype="<u8").tobytes()
-            flat = np.concatenate(tokens).tobytes()
+            flat = np.concatenate(tokens)
+            count[:] += np.bincount(flat, minlength=len(count))
             return pa.RecordBatch.from_pydict(
-                {"part": [part], "block": [number], "doc_ids": [ids], "sizes": [sizes], "raw": [flat]},
+                {
+                    "part": [part],
+                    "block": [number],
+                    "doc_ids": [ids],
+                    "sizes": [sizes],
+                    "raw": [flat.tobytes()],
+                    "counts": [count.tobytes() if last else None],
+                },
                 pa.schema(
                     [
                         ("part", pa.int32()),
@@ -84,28 +84,28 @@ def _tokens(path: str):
                         ("doc_ids", pa.list_(pa.int64())),
                         ("sizes", pa.binary()),
                         ("raw", pa.binary()),
+                        ("counts", pa.binary()),
                     ]
                 ),
             )
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 names = some.column("doc_id").to_pylist()
-                texts = [
-                    press.decompress(p).decode("utf-8", "replace")
-                    for p in some.column("packed").to_pylist()
-                ]
+                # As bytes first: a text may hold some that are no UTF-8.
+                raw = some.column("text").cast(pa.binary()).to_pylist()
+                texts = [(t or b"").decode("utf-8", "replace") for t in raw]
                 for a, b in groups_of(texts):
                     for doc_id, found in zip(names[a:b], own.encode(texts[a:b])):
+                        if n >= BLOCK_IDS:
+                            yield block(False)
+                            number, ids, tokens, n = number + 1, [], [], 0
                         ids.append(doc_id)
                         tokens.append(with_end(found))
                         n += len(found) + 1
-                        if n >= BLOCK_IDS:
-                            yield block()
-                            number, ids, tokens, n = number + 1, [], [], 0
         if ids:
-            yield block()
+            yield block(True)
 
     return run
 
@@ -114,19 +114,13 @@ def _raw_ids(column: pa.Array, at: int, path: str) -> np.ndarray:
     return np.frombuffer(column[at].as_buffer(), dtype=encoder(path).kind)
 
 
-def _frequencies(path: str):
-    """How often each id occurs in a task."""
-
-    def run(batches):
-        count = np.zeros(encoder(path).tokenizer.get_vocab_size(), dtype=np.int64)
-        for batch in batches:
-            for at in range(batch.num_rows):
-                ids = _raw_ids(batch.column("raw"), at, path)
-                count += np.bincount(ids, minlength=len(count))
-        used = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], ["id", "n"])
-
-    return run
+def _frequencies(batches):
+    """How often each id occurs in the tasks that wrote these counts."""
+    for batch in batches:
+        for counts in batch.column("counts"):
+            count = np.frombuffer(counts.as_buffer(), dtype="<i8")
+            used = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(count[used])], ["id", "n"])
 
 
 def _code(path: str, rank_of: np.ndarray):
@@ -162,23 +156,20 @@ def write_tokens(docs: DataFrame, target: str, path: str = BYTE_BPE) -> None:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
-    ordered = (
-        docs.mapInArrow(_packed, "doc_id long, packed binary")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id")
-    )
+    ordered = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     held = scratch_path(spark, "token-blocks")
-    schema = f"{BLOCK}, raw binary"
+    schema = f"{BLOCK}, raw binary, counts binary"
     ordered.mapInArrow(_tokens(path), schema).write.options(**_WRITER).parquet(held)
     raw = spark.read.schema(schema).parquet(held)
-    counts = raw.select("raw").mapInArrow(_frequencies(path), "id long, n long")
+    counts = raw.select("counts").where("counts is not null")
+    counts = counts.mapInArrow(_frequencies, "id long, n long")
     counts = counts.groupBy("id").agg(F.sum("n").alias("n")).collect()
     by_rank = [r["id"] for r in sorted(counts, key=lambda r: (-r["n"], r["id"]))]
     rank_of = np.zeros(max(by_rank, default=0) + 1, dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
     ranks = spark.createDataFrame(list(enumerate(by_rank)), "rank long, id long")
     ranks.coalesce(1).write.parquet(f"{target}/ranks")
-    coded = raw.mapInArrow(_code(path, rank_of), f"{BLOCK}, control binary, data binary")
+    coded = raw.drop("counts").mapInArrow(_code(path, rank_of), f"{BLOCK}, control binary, data binary")
     coded.write.options(**_WRITER).parquet(f"{target}/blocks")
 
 

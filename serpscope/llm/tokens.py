@@ -1,11 +1,13 @@
 """Token ids of whole texts by the tokenizers library, with ids of repeated words remembered.
 
 Neither vocabulary joins text across the end of a run of non-blank characters, nor across the border
-between an ASCII letter and a mark, so a text's ids are those of its pieces between such ends and
+between a Latin letter and a mark, so a text's ids are those of its pieces between such ends and
 borders. Pieces are cut by numpy from the bytes of many texts at once, dictionary-encoded by Arrow,
-and each distinct piece is looked up once; the ids of all pieces are one gather from the ids of the
-distinct ones. The library encodes each new piece once per worker. New words of plain letters are
-encoded as one text and told apart by the tokens that end or begin a word.
+and each distinct piece is looked up once; the ids of all pieces are taken from those of the distinct
+ones. The library encodes each new piece once per worker. A new word of Latin letters is one word to
+a byte-level vocabulary too, so it goes straight to the library's model, past the steps that would
+find the words; for other vocabularies such words are encoded as one text and told apart by the
+tokens that end or begin a word.
 
 Texts with blanks beyond ASCII are cut by a pattern instead; texts with a special token's string go
 to the library whole.
@@ -56,12 +58,15 @@ _PIECES = {
 #: Words of one token run each.
 _LATIN_BYTES = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+"
 _PLAIN = {True: re.compile(b" " + _LATIN_BYTES).fullmatch, False: re.compile(_LATIN_BYTES).fullmatch}
+#: Words that a byte-level vocabulary's model may get, and the characters in them.
+_WORD = re.compile(b" ?" + _LATIN_BYTES).fullmatch
+_WORD_CHARACTERS = re.findall(f" |{_LATIN}", "".join(map(chr, range(256))))
 #: A blank that is none of ASCII's.
 _ODD = re.compile(r"[^\S\t-\r\x1c-\x20]").search
 #: Where a text may be cut whatever follows.
 _EDGE = re.compile(r"(?<=[^\t-\r ])[\t-\r ]").search
 
-# Classes of bytes; letters beyond ASCII, digits and controls are 0.
+# Classes of bytes; bytes beyond ASCII, digits and controls are 0.
 _SPACE, _OTHER_BLANK, _LETTER, _APOSTROPHE, _OTHER_MARK = 1, 2, 3, 4, 5
 _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[0x09:0x0E] = _OTHER_BLANK
@@ -71,6 +76,8 @@ for _from, _to in ((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)):
 _CLASS[0x27] = _APOSTROPHE
 for _from, _to in ((0x41, 0x5A), (0x61, 0x7A)):
     _CLASS[_from : _to + 1] = _LETTER
+# Latin letters beyond ASCII are the first of these bytes and another, but for two signs.
+_LATIN_LEAD, _TIMES, _DIVIDED = 0xC3, 0x97, 0xB7
 
 
 def _lower(text: str) -> str:
@@ -86,12 +93,18 @@ def _starts(data: np.ndarray, blanks: bool) -> np.ndarray:
     """Where pieces begin, as flags; the first byte's is not set."""
     kind = _CLASS[data]
     blank = (kind == _SPACE) | (kind == _OTHER_BLANK)
-    letter, mark = kind == _LETTER, kind >= _APOSTROPHE
+    mark = kind >= _APOSTROPHE
     starts = np.zeros(len(data), dtype=bool)
     before = slice(None, -1)
+    # Where a letter begins and where it ends.
+    first = kind == _LETTER
+    last = first.copy()
+    beyond = (data[before] == _LATIN_LEAD) & (data[1:] != _TIMES) & (data[1:] != _DIVIDED)
+    first[before] |= beyond
+    last[1:] |= beyond
     starts[1:] = ~blank[before] & blank[1:]
-    starts[1:] |= letter[before] & mark[1:]
-    starts[1:] |= (kind[before] == _OTHER_MARK) & letter[1:]
+    starts[1:] |= last[before] & mark[1:]
+    starts[1:] |= (kind[before] == _OTHER_MARK) & first[1:]
     if blanks:
         # A space belongs to what follows it; any other blank does not.
         starts[1:] |= (kind[before] == _OTHER_BLANK) & ~blank[1:]
@@ -110,19 +123,28 @@ class Encoder:
 
     def __init__(self, path: str, special_as_text: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         special = self.tokenizer.get_added_tokens_decoder().values()
-        special = [] if special_as_text else [re.escape(t.content) for t in special]
-        self.special = re.compile("|".join(special) or r"(?!)").search
+        self.special = [] if special_as_text else [t.content for t in special]
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.blanks = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
         # Tokens at which a word begins (with its blank) or ends.
         self.turns = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.turns[i] = token.startswith("Ġ") if self.blanks else token.endswith("</w>")
+        # The model of a byte-level vocabulary, and the characters that stand for a word's bytes.
+        self.model, by_bytes = None, self.tokenizer.pre_tokenizer
+        if (
+            isinstance(by_bytes, pre_tokenizers.ByteLevel)
+            and self.tokenizer.normalizer is None
+            and by_bytes.use_regex
+            and not by_bytes.add_prefix_space
+        ):
+            self.model = self.tokenizer.model
+            self.as_bytes = {ord(c): by_bytes.pre_tokenize_str(c)[0][0] for c in _WORD_CHARACTERS}
         # Two generations: when the younger is full, what the older alone has is forgotten.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -142,13 +164,22 @@ class Encoder:
         raw, size = ids.tobytes(), self.kind.itemsize
         return [raw[a * size : b * size] for a, b in zip([0, *ends], ends)]
 
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of Latin letters by the model of a byte-level vocabulary."""
+        ids, ends, tokenize = [], [0], self.model.tokenize
+        for word in b"\n".join(words).decode().translate(self.as_bytes).split("\n"):
+            ids += [token.id for token in tokenize(word)]
+            ends.append(len(ids))
+        raw, size = np.array(ids, dtype=self.kind).tobytes(), self.kind.itemsize
+        return [raw[a * size : b * size] for a, b in zip(ends, ends[1:])]
+
     def _learn(self, new: list[bytes]) -> None:
-        is_plain = _PLAIN[self.blanks]
+        is_plain = _WORD if self.model else _PLAIN[self.blanks]
         plain = [piece for piece in new if is_plain(piece)]
         other = [piece for piece in new if not is_plain(piece)] if len(plain) < len(new) else []
         for at in range(0, len(plain), TOGETHER):
             some = plain[at : at + TOGETHER]
-            found = self._together(some)
+            found = self._words(some) if self.model else self._together(some)
             if found is None:
                 other += some
             else:
@@ -159,11 +190,18 @@ class Encoder:
     def _look_up(self, pieces: list[bytes]) -> list[bytes]:
         if len(self.known) + len(pieces) > REMEMBERED // 2:
             self.known, self.older = {}, self.known
-        missing = [piece for piece in pieces if piece not in self.known]
-        new = [piece for piece in missing if piece not in self.older]
-        self.known.update((piece, self.older[piece]) for piece in missing if piece in self.older)
+        found = list(map(self.known.get, pieces))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        new = []
+        for k in missing:
+            ids = self.older.get(pieces[k])
+            if ids is None:
+                new.append(pieces[k])
+            else:
+                self.known[pieces[k]] = ids
         self._learn(new)
-        found = [self.known[piece] for piece in pieces]
+        for k in missing:
+            found[k] = self.known[pieces[k]]
         for piece in new:
             if len(piece) > REMEMBERED_LENGTH:
                 del self.known[piece]
@@ -192,16 +230,11 @@ class Encoder:
         else:
             pieces, begin = self._cut(texts)
         coded = pieces.dictionary_encode()
-        which = coded.indices.to_numpy()
         known = self._look_up(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        flat = np.frombuffer(b"".join(known), dtype=self.kind)
-        size = np.array([len(k) for k in known], dtype=np.int64) // self.kind.itemsize
-        first = np.cumsum(size) - size
-        # One gather: each piece's ids lie in a row among those of the distinct pieces.
-        size, first = size[which], first[which]
-        end = np.concatenate(([0], np.cumsum(size)))
-        ids = flat[np.repeat(first - end[:-1], size) + np.arange(end[-1])]
-        return np.split(ids, end[begin[1:-1]])
+        _, end, flat = pa.array(known, pa.binary()).take(coded.indices).buffers()
+        end = np.frombuffer(end, dtype=np.int32)[begin] // self.kind.itemsize
+        ids = np.frombuffer(flat, dtype=self.kind)
+        return [ids[a:b] for a, b in zip(end[:-1].tolist(), end[1:].tolist())]
 
     def _slices(self, text: str) -> list[str]:
         cuts = [0]
@@ -227,7 +260,7 @@ class Encoder:
             some.clear()
 
         for k, text in enumerate(texts):
-            if self.special(text):
+            if any(token in text for token in self.special):
                 found[k].append(self._ids([text])[0])
                 continue
             for part in self._slices(text):

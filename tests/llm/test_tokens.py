@@ -130,3 +130,38 @@ def test_costs_are_balanced():
     cost = np.bincount(sequence, packing.LINEAR * lengths + packing.QUADRATIC * lengths**2)
     full = np.bincount(sequence, lengths) > 4000
     assert full.mean() > 0.95 and cost[full].std() < 0.05 * cost[full].mean()
+
+
+@pytest.mark.parametrize("path", OWN)
+def test_borders_of_latin_letters(path):
+    @settings(max_examples=1500, deadline=None)
+    @given(st.text("aÉéßÀÿÖö×÷.'s$ \u0301Ãķ", max_size=24))
+    def check(text):
+        assert OWN[path].encode([text])[0].tolist() == LIBRARY[path](text)
+
+    check()
+
+
+def test_new_words_go_to_the_model_alone(monkeypatch):
+    own = Encoder(BYTE_BPE)
+    text = "Qwertzuö asdfghjé yxcvbnmß"
+    with monkeypatch.context() as m:
+        m.setattr(own, "_ids", lambda texts: pytest.fail("whole library") if texts else [])
+        assert own.encode([text])[0].tolist() == LIBRARY[BYTE_BPE](text)
+    text = "Qwertzuö. asdfghjé, yxcvbnmß"
+    assert own.encode([text])[0].tolist() == LIBRARY[BYTE_BPE](text)
+    assert {"Qwertzuö".encode(), " asdfghjé".encode(), b".", b","} < own.known.keys()
+
+
+def test_range_sort_samples_plain_rows(spark, monkeypatch):
+    """Ranges come from a sample of the sort's input: Python work before it would run twice."""
+    docs, plans = documents(spark, [(i, f"word {i}") for i in range(50)]), []
+    plain = type(docs).repartitionByRange
+
+    def spied(df, *columns):
+        plans.append(df._jdf.queryExecution().toString())
+        return plain(df, *columns)
+
+    monkeypatch.setattr(type(docs), "repartitionByRange", spied)
+    assert tokenfiles.through_files(docs).count() == 50
+    assert plans and not any("mapinarrow" in p.lower() for p in plans)
