@@ -89,8 +89,8 @@ def _lower(text: str) -> str:
     return text.lower()
 
 
-def _starts(data: np.ndarray, blanks: bool) -> np.ndarray:
-    """Where pieces begin, as flags; the first byte's is not set."""
+def _starts(data: np.ndarray, begin: np.ndarray, blanks: bool) -> np.ndarray:
+    """Where pieces begin, as flags; `begin` is where texts do, each of them one byte at least."""
     kind = _CLASS[data]
     blank = (kind == _SPACE) | (kind == _OTHER_BLANK)
     mark = kind >= _APOSTROPHE
@@ -106,11 +106,15 @@ def _starts(data: np.ndarray, blanks: bool) -> np.ndarray:
     starts[1:] |= last[before] & mark[1:]
     starts[1:] |= (kind[before] == _OTHER_MARK) & first[1:]
     if blanks:
-        # A space belongs to what follows it; any other blank does not.
+        # A space belongs to what follows it; any other blank does not. Either way the last of some
+        # blanks is apart from those before it, unless the text ends there.
         starts[1:] |= (kind[before] == _OTHER_BLANK) & ~blank[1:]
-        starts[1:-1] |= blank[:-2] & (kind[1:-1] == _SPACE) & ~blank[2:]
+        follows = ~blank
+        follows[begin] = False
+        starts[1:-1] |= blank[:-2] & blank[1:-1] & follows[2:]
     else:
         starts[1:] |= blank[before] & ~blank[1:]
+    starts[begin] = True
     return starts
 
 
@@ -212,9 +216,8 @@ class Encoder:
         raw = [(t if self.blanks else _lower(t)).encode() for t in texts]
         data = b"".join(raw)
         begin = np.cumsum([0, *map(len, raw)])
-        starts = _starts(np.frombuffer(data, dtype=np.uint8), self.blanks)
-        starts[begin[:-1][begin[:-1] < len(data)]] = True
-        starts = np.flatnonzero(starts)
+        own = begin[begin < len(data)]
+        starts = np.flatnonzero(_starts(np.frombuffer(data, dtype=np.uint8), own, self.blanks))
         offsets = np.append(starts, len(data)).astype(np.int32)
         buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
         return pa.Array.from_buffers(pa.binary(), len(starts), buffers), np.searchsorted(starts, begin)

@@ -142,6 +142,18 @@ def test_borders_of_latin_letters(path):
     check()
 
 
+@pytest.mark.parametrize("path", OWN)
+def test_runs_of_blanks(path):
+    @settings(max_examples=1500, deadline=None)
+    @given(st.lists(st.text("a.é \n\t\r\u3000", max_size=8), max_size=4))
+    def check(texts):
+        assert [i.tolist() for i in OWN[path].encode(texts)] == [LIBRARY[path](t) for t in texts]
+
+    check()
+    for texts in (["a\n\nb", "a\n\n.", "\n\n\n"], ["a\n\n", "b\n\n", "", "c", "\n\n", " d"]):
+        assert [i.tolist() for i in OWN[path].encode(texts)] == [LIBRARY[path](t) for t in texts]
+
+
 def test_new_words_go_to_the_model_alone(monkeypatch):
     own = Encoder(BYTE_BPE)
     text = "Qwertzuö asdfghjé yxcvbnmß"
