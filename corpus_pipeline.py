@@ -20,34 +20,40 @@ from serpscope.llm.minmax import one_of_each
 from serpscope.llm.packing import pack
 from serpscope.llm.pii import redacted
 from serpscope.llm.quality import good_documents
-from serpscope.session import materialize, ship_package
+from serpscope.session import bound_batches, materialize, ship_package
 
 
 #: Percent of their joint five-word shingles that near copies share; op9 alone has 85 by contract.
 SIMILAR = 80
 
 
+def _ready(spark: SparkSession) -> None:
+    """All that a stage needs of its session."""
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    ship_package(spark)
+    _ready(spark)
     return good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the first."""
-    ship_package(spark)
+    _ready(spark)
     return one_of_each(docs, SIMILAR)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    ship_package(spark)
+    _ready(spark)
     return without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
-    ship_package(spark)
+    _ready(spark)
     clean = redacted(docs)
     changed = F.length("text").cast(dict(docs.dtypes)["n_chars"])
     return clean.withColumn("n_chars", changed).select(docs.columns)
@@ -55,7 +61,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of 4096 tokens."""
-    ship_package(spark)
+    _ready(spark)
     return pack(docs)
 
 

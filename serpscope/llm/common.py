@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -122,7 +123,11 @@ def global_rank(df: DataFrame, order: list[str], name: str) -> DataFrame:
         offsets.append((part, total))
         total += n
     spark = df.sparkSession
-    before = spark.createDataFrame(offsets, "_part int, _before long")
+    # As an Arrow table: a list of rows would start a second set of Python workers for itself.
+    parts, starts = zip(*offsets) if offsets else ((), ())
+    before = spark.createDataFrame(
+        pa.table({"_part": pa.array(parts, pa.int32()), "_before": pa.array(starts, pa.int64())})
+    )
     return (
         placed.join(F.broadcast(before), "_part")
         .withColumn("rank", F.col("_before") + F.col("_pos"))

@@ -9,6 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of rows that go to a Python worker at a time where texts are long. Executor and worker each
+#: hold a batch several times over; Spark's own bound is on rows, whatever their length.
+BATCH_BYTES = 4 << 20
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -51,6 +54,15 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on no batch for a Python worker grows beyond BATCH_BYTES and a row. A smaller bound
+    that the session has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    jvm = spark._jvm.org.apache.spark.network.util.JavaUtils
+    if jvm.byteStringAsBytes(spark.conf.get(key)) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only for local runs that name none."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -3,6 +3,7 @@ from brute import documents, near_copies
 from texts import corpus  # noqa: F401
 
 from serpscope.llm import minmax as M
+from serpscope.llm.common import global_rank
 
 
 def found(spark, rows, percent=85):
@@ -60,3 +61,11 @@ def test_one_row_of_each_group_stays(spark):
     got = [(r["doc_id"], r["text"]) for r in kept.collect()]
     assert sorted(got, key=str) == sorted([(1, text), (None, other), (2, None), (2, None), (3, "")], key=str)
     assert M.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_ranks_start_no_workers_for_plain_rows(spark):
+    """Offsets are a local relation; from a list of rows they came by an RDD of Python's own."""
+    ranked = global_rank(spark.range(100).toDF("n").repartition(3), ["n"], "test-ranks")
+    assert "ExistingRDD" not in ranked._jdf.queryExecution().toString()
+    assert sorted(map(tuple, ranked.collect())) == [(i, i) for i in range(100)]
+    assert global_rank(spark.range(0).toDF("n"), ["n"], "test-ranks").count() == 0

@@ -1,9 +1,10 @@
+import pyarrow as pa
 from brute import base_spans, edit_distance, near_copies
 
 import corpus_pipeline as P
 from serpscope.llm import queries
 from serpscope.llm.decontaminate import RATE, normal
-from serpscope.session import materialize
+from serpscope.session import BATCH_BYTES, bound_batches, materialize
 
 
 def test_each_stage_against_brute_force(spark, data):
@@ -76,3 +77,27 @@ def test_stages_judge_rows_whatever_their_ids(spark, data):
         elif name == "pii":
             assert len(texts) == len(rows)
     assert P.STAGES[-1][1](spark, docs.limit(0), data).count() == 0
+
+
+def test_batches_are_bounded_by_bytes(spark, data):
+    """Long rows come to a Python worker in batches of some megabytes, not by thousands."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    docs = spark.range(3000, numPartitions=1).selectExpr(
+        "id as doc_id", f"concat(id, repeat(' w', {1 << 13})) as text", "1L as n_chars"
+    )
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    for _, stage in P.STAGES:
+        spark.conf.unset(key)
+        stage(spark, docs.limit(0), data)
+        found = docs.mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in found) == 3000
+        assert max(r["bytes"] for r in found) <= BATCH_BYTES + (1 << 16)
+    spark.conf.set(key, "1m")
+    bound_batches(spark)
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
