@@ -4,6 +4,9 @@ Ordinary keys use one shuffle and one window sort. Keys above ``hot_rows`` are t
 range-partitioned by (key, order), so a hot key spreads over many chunks; every chunk computes
 locally and receives a carry (row count, running sum, last value) from the chunks before it.
 
+Chunks hold about hot_rows rows each. Where that is less than a task is worth its start for, a task
+holds several chunks, cut off its sorted rows: tasks and files go by the rows, not by hot_rows.
+
 Size bounds of what is broadcast: with n rows, at most n / hot_rows keys are hot, and chunks hold
 about hot_rows rows each, so hot key tables stay below n / hot_rows rows and carry tables, one row
 per key and chunk, below twice that: 400,000 narrow rows for 10^12 rows at the default setting.
@@ -186,13 +189,27 @@ class Ordered:
         return self._with(self.df.withColumns(columns))
 
 
+#: Rows for which a task and its file are worth their start, and tasks that fewer rows may have.
+TASK_ROWS = 100_000
+FEW_TASKS = 64
+
+
 def range_chunks(
     hot: DataFrame, keys: list[str], order: list[str], total: int, rows: int
 ) -> DataFrame:
     """Contiguous chunks of (key, order), frozen in a written table so all readers agree."""
     chunks = max(2, -(-total // rows))
-    ranged = hot.repartitionByRange(chunks, *keys, *order)
-    return materialize(ranged.withColumn(CHUNK, F.spark_partition_id()), "chunks")
+    tasks = min(chunks, max(FEW_TASKS, -(-total // TASK_ROWS)))
+    ranged = hot.repartitionByRange(tasks, *keys, *order)
+    if tasks == chunks:
+        chunk = F.spark_partition_id().cast("bigint")
+    else:
+        # Places in the sorted rows of a task, each task's above those of the task before; a chunk
+        # is named by its first place.
+        ranged = ranged.sortWithinPartitions(*keys, *order)
+        place = F.monotonically_increasing_id()
+        chunk = place - place.bitwiseAND((1 << 33) - 1) % rows
+    return materialize(ranged.withColumn(CHUNK, chunk), "chunks")
 
 
 def over_order(
