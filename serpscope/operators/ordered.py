@@ -7,9 +7,10 @@ locally and receives a carry (row count, running sum, last value) from the chunk
 Chunks hold about hot_rows rows each. Where that is less than a task is worth its start for, a task
 holds several chunks, cut off its sorted rows: tasks and files go by the rows, not by hot_rows.
 
-Size bounds of what is broadcast: with n rows, at most n / hot_rows keys are hot, and chunks hold
-about hot_rows rows each, so hot key tables stay below n / hot_rows rows and carry tables, one row
-per key and chunk, below twice that: 400,000 narrow rows for 10^12 rows at the default setting.
+Size bounds of what is broadcast: with n rows, at most n / hot_rows keys are hot, so hot key tables
+stay below n / hot_rows rows. Only a chunk's first key has earlier chunks, so carry tables have at
+most a row per chunk: 200,000 narrow rows for 10^12 rows at the default setting. Either table is
+joined by a shuffle when a small hot_rows makes it larger than BROADCAST_ROWS.
 """
 
 from __future__ import annotations
@@ -59,9 +60,9 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
     At most rows / hot_rows keys qualify, whatever the data looks like.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    if counted.isEmpty():
-        return None
-    return materialize(counted, "hot-keys")
+    # Written first, so that the input is counted once.
+    hot = materialize(counted, "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def split_hot(
@@ -78,9 +79,10 @@ def split_hot(
     if hot is None:
         return df, None, None
     names = hot.select(*keys)
+    bounded = hot.count() <= BROADCAST_ROWS
     return (
-        join_keys(df, names, keys, "left_anti", bounded=True),
-        join_keys(df, names, keys, "left_semi", bounded=True),
+        join_keys(df, names, keys, "left_anti", bounded),
+        join_keys(df, names, keys, "left_semi", bounded),
         hot,
     )
 
@@ -88,17 +90,26 @@ def split_hot(
 class Ordered:
     """One slice of a table, ready for ordered computations within its keys."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], chunked: bool):
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: list[str],
+        order: list[str],
+        chunked: bool,
+        bounded: bool = True,
+    ):
         self.df = df
         self.keys = keys
         self.order = order
         self.chunked = chunked
+        # Whether one row per chunk may be broadcast.
+        self.bounded = bounded
         parts = [CHUNK, *keys] if chunked else keys
         self.window = Window.partitionBy(*parts).orderBy(*order)
         self.running = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def _with(self, df: DataFrame) -> Ordered:
-        return Ordered(df, self.keys, self.order, self.chunked)
+        return Ordered(df, self.keys, self.order, self.chunked, self.bounded)
 
     def _carried(self, df: DataFrame, tails: dict[str, Column], carries: dict) -> DataFrame:
         """Join what the earlier chunks of the same key hand over."""
@@ -111,7 +122,12 @@ class Ordered:
         carry = tail.select(
             CHUNK, *self.keys, *[build(before).alias(n) for n, build in carries.items()]
         )
-        return join_keys(df, carry, [CHUNK, *self.keys], "left", bounded=True)
+        return self._joined(df, carry, list(carries))
+
+    def _joined(self, df: DataFrame, carry: DataFrame, names: list[str]) -> DataFrame:
+        """A chunk without a carry needs no row: a left join gives null as well."""
+        some = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])
+        return join_keys(df, carry.where(some), [CHUNK, *self.keys], "left", self.bounded)
 
     def _last_value(self, value: Column) -> Column:
         order = F.struct(*self.order)
@@ -179,7 +195,7 @@ class Ordered:
             )
             after = Window.partitionBy(*self.keys).orderBy(CHUNK)
             head = head.withColumn("_carry", F.lead("_carry").over(after))
-            df = join_keys(df, head, [CHUNK, *self.keys], "left", bounded=True)
+            df = self._joined(df, head, ["_carry"])
             df = df.withColumn(
                 out, F.when(F.col("_chunk_end"), F.col("_carry.v")).otherwise(F.col(out))
             ).drop("_carry", "_chunk_end")
@@ -232,5 +248,6 @@ def over_order(
         return result
     total = counts.agg(F.sum("_n")).first()[0]
     chunks = range_chunks(hot, keys, order, total, hot_rows)
-    scanned = build(Ordered(chunks, keys, order, chunked=True)).df.drop(CHUNK)
+    bounded = total // hot_rows <= BROADCAST_ROWS
+    scanned = build(Ordered(chunks, keys, order, True, bounded)).df.drop(CHUNK)
     return result.unionByName(scanned)
