@@ -115,7 +115,9 @@ class SessionChain(StatefulProcessor):
 
     A piece is what a user did within one window no wider than the gap, so it lies in one session,
     and a session is a chain of pieces. State is the sessions that are still open: a few rows,
-    however many events they have.
+    however many events they have. A run over a long past opens and closes many sessions of a user at
+    once: what the watermark has closed by then is written without going through the state, and one
+    timer stands for all that stay open.
     """
 
     def __init__(self, gap: timedelta, width: timedelta):
@@ -131,48 +133,52 @@ class SessionChain(StatefulProcessor):
         milliseconds."""
         return ((last + self.gap) // self.width + 1) * self.width // 1000
 
-    def _keep(self, sessions: list[tuple]) -> None:
-        timers = {int(t[0]) if isinstance(t, tuple) else int(t) for t in self.handle.listTimers()}
-        due = {self._due(s[1]) for s in sessions}
-        for t in timers - due:
-            self.handle.deleteTimer(t)
-        for t in due - timers:
-            self.handle.registerTimer(t)
-        if sessions:
-            self.open.put(sessions)
-        else:
-            self.open.clear()
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         columns = ["first", "last", "events", "clicks"]
-        pieces = [tuple(map(int, r)) for frame in rows for r in frame[columns].itertuples(index=False)]
+        pieces = [p for frame in rows for p in zip(*(frame[c].tolist() for c in columns))]
+        before = [tuple(s) for s in self.open.get()]
         chained: list[tuple] = []
-        for piece in sorted([*(tuple(s) for s in self.open.get()), *pieces]):
+        for piece in sorted([*before, *pieces]):
             if chained and piece[0] - chained[-1][1] <= self.gap:
                 one = chained.pop()
                 last = max(one[1], piece[1])
                 piece = (one[0], last, one[2] + piece[2], one[3] + piece[3])
             chained.append(piece)
-        self._keep(chained)
-        yield from ()
+        # All of a user's rows of a batch come in one call, and its timers expire after them.
+        yield from self._write(key, before, chained, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
         sessions = [tuple(s) for s in self.open.get()]
+        yield from self._write(key, None, sessions, timerValues.getCurrentWatermarkInMs())
+
+    def _write(
+        self, key, before: list[tuple] | None, sessions: list[tuple], now: int
+    ) -> Iterator[pd.DataFrame]:
+        """Writes what is due and keeps the rest, with one timer for the session that is due first.
+
+        ``before`` is what the state had, or None when its timer has expired."""
         done = [s for s in sessions if self._due(s[1]) <= now]
         rest = [s for s in sessions if self._due(s[1]) > now]
         if rest:
             self.open.put(rest)
-        else:
+        elif before is None or before:
             self.open.clear()
+        old = min((self._due(s[1]) for s in before or ()), default=None)
+        new = min((self._due(s[1]) for s in rest), default=None)
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
         if done:
+            first, last, events, clicks = (list(c) for c in zip(*done))
             yield pd.DataFrame(
                 {
                     "user_id_masked": key[0],
-                    "session_start": [s[0] for s in done],
-                    "session_end": [s[1] + self.gap for s in done],
-                    "events": [s[2] for s in done],
-                    "clicks": [s[3] for s in done],
+                    "session_start": first,
+                    "session_end": [t + self.gap for t in last],
+                    "events": events,
+                    "clicks": clicks,
                 }
             )
 
