@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import factorial
+from math import factorial, prod
 
 import numpy as np
 import pandas as pd
@@ -70,24 +70,24 @@ def leaf_paths(nodes: list) -> list[tuple]:
     return leaves
 
 
-def leaf_tables(leaves: list[tuple]) -> list[tuple]:
-    """Per leaf the features of its path, their intervals, and a table of Shapley values.
+def shapley_tables(leaves: list[tuple]) -> list[tuple]:
+    """Per leaf its path, and a table of Shapley values.
 
     A leaf's value is a product over its path's features: of a known feature whether it is inside
     its interval, of an unknown one its pass-through share. So its contributions depend on a row
     only through which of its m features are inside: one row of 2**m, indexed by these bits. Tables
-    of leaves with the same m are computed together.
+    of leaves with the same m are computed together. Leaves without a path contribute nothing.
     """
-    by_size: dict[int, list[tuple]] = {}
-    for value, path in leaves:
+    by_size: dict[int, list[int]] = {}
+    for at, (_, path) in enumerate(leaves):
         if path:
-            by_size.setdefault(len(path), []).append((value, path))
-    tables = []
+            by_size.setdefault(len(path), []).append(at)
+    tables: dict[int, tuple] = {}
     for m, group in sorted(by_size.items()):
         weight = [factorial(k) * factorial(m - k - 1) / factorial(m) for k in range(m)]
         inside = ((np.arange(1 << m)[:, None] >> np.arange(m)) & 1).astype(float)
         for at in range(0, len(group), TOGETHER):
-            some = group[at : at + TOGETHER]
+            some = [leaves[i] for i in group[at : at + TOGETHER]]
             value = np.array([v for v, _ in some])
             share = np.array([[s for _, _, s in path.values()] for _, path in some])
             found = np.empty((len(some), 1 << m, m))
@@ -101,26 +101,97 @@ def leaf_tables(leaves: list[tuple]) -> list[tuple]:
                         sums = [a + b for a, b in zip(known, unknown, strict=True)]
                 total = sum(w * c for w, c in zip(weight, sums, strict=True))
                 found[:, :, f] = value[:, None] * (inside[:, f] - share[:, f, None]) * total
-            for (_, path), table in zip(some, found):
-                bounds = [(f, lo, hi) for f, (lo, hi, _) in path.items()]
-                tables.append((bounds, table))
-    return tables
+            for i, (_, path), table in zip(group[at : at + TOGETHER], some, found):
+                tables[i] = (path, table)
+    return [tables[i] for i in sorted(tables)]
 
 
 #: Leaves whose tables are computed together.
 TOGETHER = 2000
-
-
-def attribute(x: np.ndarray, tables: list[tuple]) -> np.ndarray:
-    """Shapley values of each row: for every leaf, one look-up by the bits of its path."""
-    out = np.zeros(x.shape)
-    columns = np.ascontiguousarray(x.T)
-    for bounds, table in tables:
-        bits = np.zeros(len(x), dtype=np.int64)
-        for k, (f, lo, hi) in enumerate(bounds):
-            bits |= ((columns[f] > lo) & (columns[f] <= hi)).astype(np.int64) << k
-        out[:, [f for f, _, _ in bounds]] += table[bits]
-    return out
+#: Cells of the grid that leaves share.
+CELLS = 1 << 12
+
+
+def _cuts(path: dict) -> dict[int, set]:
+    return {f: {t for t in (lo, hi) if np.isfinite(t)} for f, (lo, hi, _) in path.items()}
+
+
+def shared_grids(tables: list[tuple]) -> list[tuple]:
+    """Leaves, in their order, in groups whose bounds cut the values into at most CELLS cells: the
+    cuts of each feature and the group's leaves. The leaves of a tree have most bounds in common. A
+    leaf whose own cells are more has a group of its own."""
+    groups: list[tuple] = []
+    for path, table in tables:
+        own = _cuts(path)
+        if groups:
+            cuts, members = groups[-1]
+            both = {f: cuts.get(f, set()) | own.get(f, set()) for f in {*cuts, *own}}
+            if prod(len(c) + 1 for c in both.values()) <= CELLS:
+                groups[-1] = (both, members)
+                members.append((path, table))
+                continue
+        groups.append((own, [(path, table)]))
+    return [({f: np.array(sorted(c)) for f, c in sorted(cuts.items())}, m) for cuts, m in groups]
+
+
+def _filled(cuts: dict[int, np.ndarray], members: list[tuple]) -> np.ndarray:
+    """Sums of the members' Shapley values, by feature and cell."""
+    place = {f: i for i, f in enumerate(cuts)}
+    sizes = [len(c) + 1 for c in cuts.values()]
+    grid = np.zeros((len(cuts), *sizes))
+    for path, table in members:
+        bits = np.zeros([1] * len(sizes), dtype=np.int64)
+        for k, (f, (lo, hi, _)) in enumerate(path.items()):
+            # Cell c holds the values above c cuts.
+            cell = np.arange(sizes[place[f]])
+            low = 0 if lo == -np.inf else np.searchsorted(cuts[f], lo) + 1
+            high = len(cuts[f]) if hi == np.inf else np.searchsorted(cuts[f], hi)
+            shape = [-1 if i == place[f] else 1 for i in range(len(sizes))]
+            bits = bits + (((cell >= low) & (cell <= high)).astype(np.int64) << k).reshape(shape)
+        for k, f in enumerate(path):
+            grid[place[f]] += table[:, k][bits]
+    return grid.reshape(len(cuts), -1)
+
+
+def leaf_tables(leaves: list[tuple]) -> tuple[dict, list[tuple]]:
+    """All cuts of each feature, and per group of leaves what a row's cell is and gives.
+
+    Shapley values of leaves add up, and each depends on a row only through its cell in the leaf's
+    bounds. So leaves with common bounds are summed into one grid: a row takes a look-up per group
+    and feature, not per leaf. A group has the step of each place between all cuts of a feature,
+    whose sum over features is the row's cell, and the sums by feature and cell.
+    """
+    groups = shared_grids(shapley_tables(leaves))
+    every = {
+        f: np.unique(np.concatenate([c[f] for c, _ in groups if f in c]))
+        for f in sorted({f for c, _ in groups for f in c})
+    }
+    found = []
+    for cuts, members in groups:
+        steps, stride = {}, 1
+        for f, own in reversed(cuts.items()):
+            # Places above i of all cuts are above as many of the group's as lie below the next.
+            above = np.searchsorted(own, every[f], side="right")
+            steps[f] = np.concatenate([[0], above]) * stride
+            stride *= len(own) + 1
+        found.append((steps, dict(zip(cuts, _filled(cuts, members), strict=True))))
+    return every, found
+
+
+def attribute(x: np.ndarray, tables: tuple[dict, list[tuple]]) -> np.ndarray:
+    """Shapley values of each row, summed over groups of leaves.
+
+    A missing value lies above all cuts, as the model sends it right at every split."""
+    every, groups = tables
+    out = np.zeros(x.shape[::-1])
+    place = {f: np.searchsorted(cuts, np.ascontiguousarray(x[:, f])) for f, cuts in every.items()}
+    for steps, sums in groups:
+        cell = np.zeros(len(x), dtype=np.int64)
+        for f, step in steps.items():
+            cell += step.take(place[f])
+        for f, values in sums.items():
+            out[f] += values.take(cell)
+    return out.T
 
 
 def base_value(leaves: list[tuple]) -> float:
@@ -142,7 +213,7 @@ def feature_attribution(model: GBTRegressionModel, df: DataFrame, key: str) -> D
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # A few kilobytes a leaf, computed where they are used: a task computes them once.
+        # Larger than the leaves, so computed where they are used: a task computes them once.
         tables = leaf_tables(shared.value)
         for batch in batches:
             values = attribute(batch[S.FEATURES].to_numpy(dtype=float), tables)
