@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from math import factorial, prod
 
@@ -194,6 +195,17 @@ def attribute(x: np.ndarray, tables: tuple[dict, list[tuple]]) -> np.ndarray:
     return out.T
 
 
+_built: dict[str, tuple] = {}
+
+
+def _tables(name: str, leaves: list[tuple]) -> tuple:
+    """Those of the last model stay with the worker: its next tasks need them again."""
+    if name not in _built:
+        _built.clear()
+        _built[name] = leaf_tables(leaves)
+    return _built[name]
+
+
 def base_value(leaves: list[tuple]) -> float:
     """Expected prediction when no feature is known."""
     return float(sum(v * np.prod([s for _, _, s in p.values()]) for v, p in leaves))
@@ -204,7 +216,7 @@ def feature_attribution(model: GBTRegressionModel, df: DataFrame, key: str) -> D
     spark = df.sparkSession
     # Bounded by the model: trees x nodes per tree.
     leaves = leaf_paths(tree_nodes(model, spark).collect())
-    shared = spark.sparkContext.broadcast(leaves)
+    shared, name = spark.sparkContext.broadcast(leaves), uuid.uuid4().hex
     base = base_value(leaves)
     names = [f"phi_{f}" for f in S.FEATURES]
     schema = T.StructType(
@@ -213,8 +225,8 @@ def feature_attribution(model: GBTRegressionModel, df: DataFrame, key: str) -> D
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Larger than the leaves, so computed where they are used: a task computes them once.
-        tables = leaf_tables(shared.value)
+        # Larger than the leaves, so computed where they are used: a worker computes them once.
+        tables = _tables(name, shared.value)
         for batch in batches:
             values = attribute(batch[S.FEATURES].to_numpy(dtype=float), tables)
             out = pd.DataFrame(values, columns=names)
