@@ -37,22 +37,29 @@ DEFAULTS = {"maxDepth": 5, "stepSize": 0.1, "maxIter": 50, "subsamplingRate": 0.
 TASK_ROWS = 100_000
 
 
+def training_vectors(matrix: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Input vectors and label of every row, written in ``partitions`` parts, by default one for
+    each TASK_ROWS rows. Trainings on the same rows share them."""
+    vectors = assemble(matrix).select("features", S.LABEL)
+    if partitions is None:
+        vectors = materialize(vectors, "vectors")
+        partitions = max(1, -(-vectors.count() // TASK_ROWS))
+    return materialize(vectors.repartition(partitions), "vectors")
+
+
 def train_quality_model(
     matrix: DataFrame, seed: int = 42, partitions: int | None = None, **params
 ) -> GBTRegressionModel:
     """Trains on every row given; statistics per split are aggregated on the executors.
 
-    The input vectors are assembled and written once, in ``partitions`` parts, by default one for
-    each TASK_ROWS rows. Settings that are not given are those of DEFAULTS.
+    The input vectors are assembled and written first, unless the rows are `training_vectors`
+    already. Settings that are not given are those of DEFAULTS.
     """
     trainer = GBTRegressor(
         labelCol=S.LABEL, featuresCol="features", seed=seed, cacheNodeIds=True, **(DEFAULTS | params)
     )
-    vectors = assemble(matrix).select("features", S.LABEL)
-    if partitions is None:
-        vectors = materialize(vectors, "vectors")
-        partitions = max(1, -(-vectors.count() // TASK_ROWS))
-    return trainer.fit(materialize(vectors.repartition(partitions), "vectors"))
+    ready = "features" in matrix.columns
+    return trainer.fit(matrix if ready else training_vectors(matrix, partitions))
 
 
 def predict(model: GBTRegressionModel, df: DataFrame) -> DataFrame:

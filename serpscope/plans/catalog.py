@@ -944,6 +944,7 @@ def _(spark, data):
 # --- models --------------------------------------------------------------------------------------------
 
 _trained: dict[tuple, tuple] = {}
+_vectors: dict[tuple, DataFrame] = {}
 
 
 def _state(spark: SparkSession, data: str) -> tuple:
@@ -955,16 +956,21 @@ def _state(spark: SparkSession, data: str) -> tuple:
     return tuple((f, s.getLen(), s.getModificationTime()) for f, s in zip(files, states))
 
 
+def _key(spark: SparkSession, data: str) -> tuple:
+    return (spark.sparkContext.applicationId, _state(spark, data))
+
+
 def _quality(spark: SparkSession, data: str):
     """(model, training matrix with split), trained once per session and input."""
-    key = (spark.sparkContext.applicationId, _state(spark, data))
+    key = _key(spark, data)
     if key not in _trained:
         log = L.load_log(spark, data)
         matrix = T.training_matrix(
             log, FT.user_daily_features(log), FT.query_daily_features(log)
         )
         split = materialize(T.train_test_split(matrix), "matrix")
-        model = QM.train_quality_model(split.where(F.col("split") == "train"))
+        _vectors[key] = QM.training_vectors(split.where(F.col("split") == "train"))
+        model = QM.train_quality_model(_vectors[key])
         _trained[key] = (model, split)
     return _trained[key]
 
@@ -1080,10 +1086,11 @@ def _(spark, data):
 
 @query("promote_if_better")
 def _(spark, data):
-    model, split = _quality(spark, data)
+    model, _ = _quality(spark, data)
     path = scratch_path(spark, "model-records")
     W.write_table(_record(spark, data, "1", model), path, "append")
-    train = split.where(F.col("split") == "train")
+    # The rows the active model has learned from, assembled once for both.
+    train = _vectors[_key(spark, data)]
     challenger = QM.train_quality_model(train, maxDepth=3, stepSize=0.05)
     W.write_table(_record(spark, data, "2", challenger), path, "append")
     return QM.promote_if_better(spark.read.parquet(path))
